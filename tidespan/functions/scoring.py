@@ -1,77 +1,60 @@
-"""Banded severity scores, totals and risk."""
+"""Banded severity scores, totals, risk and ratios."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from tidespan.functions.temporal import as_col
+def _points(p: int | None) -> str:
+    return "cast(NULL AS int)" if p is None else str(p)
 
 
-def band_score(value: Column | str, bands: Sequence[tuple[str, float, int]], otherwise: int | None = None) -> Column:
-    """Points of the first band that holds; a NULL value scores NULL.
-
-    ``bands`` is an ordered list of ``(comparison, limit, points)`` with comparison one of
-    ``< <= > >=``.
-    """
-    return rule_score([(compare(value, op, limit), pts) for op, limit, pts in bands], otherwise, present=value)
+def rule_score(rules: Sequence[tuple[str, int | None]], otherwise: int | None = None, present: str | None = None) -> str:
+    """Points of the first condition that holds, NULL while ``present`` is NULL."""
+    arms = [f"WHEN ({present}) IS NULL THEN cast(NULL AS int)"] if present else []
+    arms += [f"WHEN {condition} THEN {_points(points)}" for condition, points in rules]
+    return f"CASE {' '.join(arms)} ELSE {_points(otherwise)} END"
 
 
-def rule_score(rules: Sequence[tuple[Column, int | None]], otherwise: int | None = None,
-               present: Column | str | None = None) -> Column:
-    """Points of the first condition that holds, NULL while ``present`` is NULL."""
-    score = F.when(as_col(present).isNull(), F.lit(None).cast("int")) if present is not None else None
-    for condition, points in rules:
-        hit = F.lit(points).cast("int")
-        score = F.when(condition, hit) if score is None else score.when(condition, hit)
-    return score.otherwise(F.lit(otherwise).cast("int"))
+def band_score(value: str, bands: Sequence[tuple[str, float, int | None]], otherwise: int | None = None) -> str:
+    """Points of the first band ``(comparison, limit, points)`` that holds; a NULL value scores NULL."""
+    return rule_score([(f"{value} {op} {limit}", points) for op, limit, points in bands], otherwise, present=value)
 
 
-def two_sided_score(low: Column | str, high: Column | str, rules: Sequence[tuple[str, str, float, int]],
-                    normal: tuple[float, float]) -> Column:
+def two_sided_score(low: str, high: str, rules: Sequence[tuple[str, str, float, int]], normal: tuple[float, float]) -> str:
     """Score of a measure from its minimum and maximum.
 
-    ``rules`` is an ordered list of ``(side, comparison, limit, points)`` with side ``min`` or
-    ``max``. When no rule holds and both ends lie in ``[normal[0], normal[1])`` the score is 0; a
-    measure outside that range and every rule scores NULL.
+    ``rules`` is an ordered list of ``(side, comparison, limit, points)`` with side ``min`` or ``max``. When
+    no rule holds and both ends lie in ``[normal[0], normal[1])`` the score is 0; a measure outside that
+    range and every rule scores NULL.
     """
     sides = {"min": low, "max": high}
-    conditions = [(compare(sides[s], op, limit), pts) for s, op, limit, pts in rules]
-    in_range = F.lit(True)
-    for c in (as_col(low), as_col(high)):
-        in_range = in_range & (c >= normal[0]) & (c < normal[1])
+    conditions = [(f"{sides[s]} {op} {limit}", points) for s, op, limit, points in rules]
+    in_range = " AND ".join(f"{c} >= {normal[0]} AND {c} < {normal[1]}" for c in (low, high))
     return rule_score([*conditions, (in_range, 0)], present=high)
 
 
-def compare(value: Column | str, op: str, limit: float) -> Column:
-    c = as_col(value)
-    return {"<": c < limit, "<=": c <= limit, ">": c > limit, ">=": c >= limit}[op]
-
-
-def score_total(scores: Sequence[Column | str]) -> Column:
+def score_total(scores: Sequence[str]) -> str:
     """Sum of component scores, a missing component counting as 0."""
-    total = F.lit(0)
-    for s in scores:
-        total = total + F.coalesce(as_col(s), F.lit(0))
-    return total
+    return " + ".join(f"coalesce({s}, 0)" for s in scores)
 
 
-def missing_pct(scores: Sequence[Column | str]) -> Column:
+def missing_pct(scores: Sequence[str]) -> str:
     """Whole per cent of components that are NULL (integer division)."""
-    missing = F.lit(0).cast("long")
-    for s in scores:
-        missing = missing + as_col(s).isNull().cast("long")
-    return F.floor(missing * 100 / F.lit(len(scores))).cast("long")
+    missing = " + ".join(f"cast({s} IS NULL AS bigint)" for s in scores)
+    return f"(({missing}) * 100 div {len(scores)})"
 
 
-def logistic_risk(score: Column | str) -> Column:
-    """Probability of hospital death from the total severity score."""
-    s = as_col(score)
-    return F.lit(1.0) / (1 + F.exp(-(F.lit(-7.7631) + 0.0737 * s + 0.9971 * F.log(s + 1))))
+def logistic_risk(score: str) -> str:
+    """Probability of hospital death from the total severity score (fixed coefficients)."""
+    return f"(1D / (1D + exp(-(-7.7631D + 0.0737D * {score} + 0.9971D * ln({score} + 1)))))"
 
 
-def safe_ratio(numerator: Column | str, denominator: Column | str, scale: float = 1.0) -> Column:
+def safe_ratio(numerator: str, denominator: str, scale: float = 1.0) -> str:
     """Ratio that is NULL, not an error, when the denominator is 0."""
-    return F.try_divide(as_col(numerator), as_col(denominator)) * F.lit(scale)
+    return f"(try_divide({numerator}, {denominator}) * {scale}D)"
+
+
+def weighted_sum(weights: dict[str, float]) -> str:
+    """Sum of ``weight * column`` with NULL as 0."""
+    return " + ".join(f"coalesce({name} * {weight}D, 0D)" for name, weight in weights.items())

@@ -6,62 +6,51 @@ floating point. The session time zone must be UTC (``tidespan.session`` sets it)
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 SECOND = 1_000_000
 HOUR = 3600 * SECOND
 DAY = 24 * HOUR
 
 
-def as_col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def micros(c: Column | str) -> Column:
-    """Microseconds since 1970-01-01 of a timestamp or date column."""
-    return F.unix_micros(as_col(c).cast("timestamp"))
+def micros(c: str) -> str:
+    """Microseconds since 1970-01-01 of a timestamp or date."""
+    return f"unix_micros(cast({c} AS timestamp))"
 
 
-def idiv(value: Column, n: int) -> Column:
-    """Exact floor division of a long column by a positive integer."""
-    return ((value - F.pmod(value, F.lit(n))) / F.lit(n)).cast("long")
+def floor_div(value: str, n: int) -> str:
+    """Exact floor division of a long by a positive integer."""
+    return f"((({value}) - pmod({value}, {n}L)) div {n}L)"
 
 
-def seconds_between(later: Column | str, earlier: Column | str) -> Column:
-    return (micros(later) - micros(earlier)) / F.lit(float(SECOND))
+def seconds_between(later: str, earlier: str) -> str:
+    return f"(({micros(later)} - {micros(earlier)}) / 1000000D)"
 
 
-def hours_between(later: Column | str, earlier: Column | str) -> Column:
-    return (micros(later) - micros(earlier)) / F.lit(float(HOUR))
+def hours_between(later: str, earlier: str) -> str:
+    return f"(({micros(later)} - {micros(earlier)}) / 3600000000D)"
 
 
-def plus_hours(c: Column | str, hours: float) -> Column:
+def plus_hours(c: str, hours: float) -> str:
     minutes = round(hours * 60)
-    return as_col(c) + F.expr(f"INTERVAL '{minutes}' MINUTE") if minutes >= 0 else as_col(c) - F.expr(
-        f"INTERVAL '{-minutes}' MINUTE"
-    )
+    return f"({c} {'+' if minutes >= 0 else '-'} INTERVAL '{abs(minutes)}' MINUTE)"
 
 
-def truncate(c: Column | str, unit: str) -> Column:
+def truncate(c: str, unit: str) -> str:
     """``date_trunc`` that stays ``timestamp_ntz``."""
-    return F.date_trunc(unit, as_col(c)).cast("timestamp_ntz")
+    return f"cast(date_trunc('{unit}', {c}) AS timestamp_ntz)"
 
 
-def age_at(anchor_age: Column | str, anchor_year: Column | str, at: Column | str) -> Column:
+def age_at(anchor_age: str, anchor_year: str, at: str) -> str:
     """Age in years: the anchor age plus the time since 1 January of the anchor year, two decimals."""
-    new_year = F.make_timestamp_ntz(
-        as_col(anchor_year), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)
-    )
-    seconds_per_year = 31556908.8
-    return F.round(as_col(anchor_age) + seconds_between(at, new_year) / F.lit(seconds_per_year), 2)
+    new_year = f"make_timestamp_ntz({anchor_year}, 1, 1, 0, 0, 0)"
+    # fixed value: seconds per year
+    return f"round({anchor_age} + {seconds_between(at, new_year)} / 31556908.8D, 2)"
 
 
-def days_between(later: Column | str, earlier: Column | str, digits: int = 2) -> Column:
+def days_between(later: str, earlier: str, digits: int = 2) -> str:
     """Length of a stay in days."""
-    return F.round(seconds_between(later, earlier) / F.lit(86400.0), digits)
+    return f"round({seconds_between(later, earlier)} / 86400D, {digits})"
 
 
-def died_within(died: Column | str, admitted: Column | str, days: int) -> Column:
+def died_within(died: str, admitted: str, days: int) -> str:
     """1 when the death date lies before ``admitted + days``; a missing death date gives 0."""
-    return F.when(micros(died) < micros(admitted) + F.lit(days * DAY), 1).otherwise(0)
+    return f"CASE WHEN {micros(died)} < {micros(admitted)} + {days * DAY}L THEN 1 ELSE 0 END"

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tidespan.functions.temporal import SECOND, micros
-from tidespan.operators.skew import CHUNK_SECONDS, HOT_ROWS, chunk_carry, last_before, time_chunks
+from tidespan.operators.skew import BEFORE, CHUNK_SECONDS, HOT_ROWS, chunk_carry, last_before, time_chunks
 
 
 def asof_backward(probes: DataFrame, sources: dict[str, DataFrame], by: Sequence[str], time: str,
-                  tolerance_hours: float, hot_rows: int = HOT_ROWS, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+                  tolerance_hours: float, hot_rows: int = HOT_ROWS, chunk_seconds: int = CHUNK_SECONDS,
+                  count_on: DataFrame | None = None) -> DataFrame:
     """For every probe the latest row of each source with ``t - tolerance <= time <= t``.
 
     ``sources`` maps a result column name to a frame with exactly the columns ``by, time`` and one value,
@@ -20,45 +20,44 @@ def asof_backward(probes: DataFrame, sources: dict[str, DataFrame], by: Sequence
     a single window pass; no range join, every probe comes back exactly once.
     """
     by = list(by)
-    columns = probes.columns
-    merged = probes.withColumn("_probe", F.lit(1))
+    merged = probes.selectExpr("*", "1 AS _probe")
     for name, source in sources.items():
         (value,) = [c for c in source.columns if c not in (*by, time)]
-        rows = source.select(*by, time, F.struct(F.col(time).alias("at"), F.col(value).alias("v")).alias(f"_r_{name}"))
-        merged = merged.unionByName(rows.withColumn("_probe", F.lit(0)), allowMissingColumns=True)
-    chunked = time_chunks(merged, by, time, hot_rows, chunk_seconds)
-    window = Window.partitionBy(*by, "_chunk").orderBy(time, "_probe").rowsBetween(Window.unboundedPreceding, 0)
-    seen = chunked.withColumns({f"_s_{n}": F.last(f"_r_{n}", ignorenulls=True).over(window) for n in sources})
+        rows = source.selectExpr(*by, time, f"struct({time} AS at, {value} AS v) AS _r_{name}", "0 AS _probe")
+        merged = merged.unionByName(rows, allowMissingColumns=True)
+    chunked = time_chunks(merged, by, time, hot_rows, chunk_seconds, count_on)
+    upto = (f"(PARTITION BY {', '.join(by)}, _chunk ORDER BY {time}, _probe "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    seen = chunked.selectExpr("*", *[f"last(_r_{n}, true) OVER {upto} AS _s_{n}" for n in sources])
     carried = chunk_carry(
-        chunked, by, {f"_c_{n}": F.max(f"_r_{n}") for n in sources}, {f"_c_{n}": last_before(f"_c_{n}") for n in sources}
+        chunked, by, [f"max(_r_{n}) AS _c_{n}" for n in sources], [f"{last_before(f'_c_{n}')} AS _c_{n}" for n in sources]
     )
     joined = seen.filter("_probe = 1").join(carried, [*by, "_chunk"], "left")
-    limit = F.lit(round(tolerance_hours * 3600 * SECOND))
-    out = []
-    for n in sources:
-        match = F.coalesce(F.col(f"_s_{n}"), F.col(f"_c_{n}"))
-        out.append(F.when(micros(time) - micros(match["at"]) <= limit, match["v"]).alias(n))
-    return joined.select(*columns, *out)
+    limit = round(tolerance_hours * 3600 * SECOND)
+    matches = joined.selectExpr("*", *[f"coalesce(_s_{n}, _c_{n}) AS _m_{n}" for n in sources])
+    return matches.selectExpr(
+        *probes.columns,
+        *[f"CASE WHEN {micros(time)} - {micros(f'_m_{n}.at')} <= {limit}L THEN _m_{n}.v END AS {n}" for n in sources],
+    )
 
 
 def carry_previous(df: DataFrame, keys: Sequence[str], time: str, columns: Sequence[str], limit_hours: float,
-                   tie: Sequence[str] = (), only: Column | None = None, hot_rows: int = HOT_ROWS,
-                   chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+                   tie: Sequence[str] = (), only: str | None = None, hot_rows: int = HOT_ROWS,
+                   chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> DataFrame:
     """Add ``prev_<column>`` from the row just before, if it is less than ``limit_hours`` old.
 
     The previous row counts even when its values are NULL: an older value is never reached back to.
-    ``only`` restricts which rows can be a previous row.
+    ``only`` is a condition on which rows can be a previous row.
     """
     keys = list(keys)
-    original = df.columns
-    row = F.struct(F.col(time).alias("at"), *[F.col(t).alias(f"tie_{i}") for i, t in enumerate(tie)],
-                   *[F.col(c).alias(c) for c in columns])
-    chunked = time_chunks(df, keys, time, hot_rows, chunk_seconds).withColumn(
-        "_row", row if only is None else F.when(only, row)
+    order = [time, *tie]
+    row = "struct(" + ", ".join([f"{time} AS at", *tie, *columns]) + ")"
+    chunked = time_chunks(df, keys, time, hot_rows, chunk_seconds, count_on).selectExpr(
+        "*", f"CASE WHEN {only or 'true'} THEN {row} END AS _row"
     )
-    window = Window.partitionBy(*keys, "_chunk").orderBy(time, *tie).rowsBetween(Window.unboundedPreceding, -1)
-    seen = chunked.withColumn("_prev", F.last("_row", ignorenulls=True).over(window))
-    carried = chunk_carry(chunked, keys, {"_last": F.max("_row")}, {"_carried": last_before("_last")})
-    joined = seen.join(carried, [*keys, "_chunk"], "left").withColumn("_p", F.coalesce("_prev", "_carried"))
-    recent = micros(time) - micros("_p.at") < F.lit(round(limit_hours * 3600 * SECOND))
-    return joined.select(*original, *[F.when(recent, F.col(f"_p.{c}")).alias(f"prev_{c}") for c in columns])
+    window = f"(PARTITION BY {', '.join(keys)}, _chunk ORDER BY {', '.join(order)} {BEFORE})"
+    seen = chunked.selectExpr("*", f"last(_row, true) OVER {window} AS _prev")
+    carried = chunk_carry(chunked, keys, ["max(_row) AS _last"], [f"{last_before('_last')} AS _carried"])
+    joined = seen.join(carried, [*keys, "_chunk"], "left").selectExpr(*df.columns, "coalesce(_prev, _carried) AS _p")
+    recent = f"{micros(time)} - {micros('_p.at')} < {round(limit_hours * 3600 * SECOND)}L"
+    return joined.selectExpr(*df.columns, *[f"CASE WHEN {recent} THEN _p.{c} END AS prev_{c}" for c in columns])

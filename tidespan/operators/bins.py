@@ -14,27 +14,51 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidespan.functions.temporal import DAY, HOUR, SECOND, as_col, idiv, micros
+from tidespan.functions.temporal import DAY, HOUR, SECOND, floor_div, micros
 from tidespan.operators.skew import HOT_ROWS, salted_join
 from tidespan.operators.spine import STEP_HOURS
 
 
-def events_in_window(events: DataFrame, stays: DataFrame, keys: Sequence[str], time: str, low: Column | str,
-                     high: Column | str) -> DataFrame:
-    """Inner join of events with the stay windows ``[low, high]`` that hold them (both ends included)."""
+def events_in_window(events: DataFrame, stays: DataFrame, keys: Sequence[str], time: str, low: str,
+                     high: str) -> DataFrame:
+    """Inner join of events with the stay windows ``[low, high]`` that hold them (both ends included).
+
+    ``low`` and ``high`` are expressions over the columns of ``stays``. The result also has ``_t`` and
+    ``_low``, the event time and the window start in microseconds.
+    """
     keys = list(keys)
-    sliced_events = events.withColumn("_t", micros(time)).withColumn("_day", idiv(F.col("_t"), DAY))
+    sliced_events = events.selectExpr("*", f"{micros(time)} AS _t").selectExpr("*", f"{floor_div('_t', DAY)} AS _day")
     sliced_stays = (
-        stays.withColumn("_low", micros(low))
-        .withColumn("_high", micros(high))
+        stays.selectExpr("*", f"{micros(low)} AS _low", f"{micros(high)} AS _high")
         .filter("_low <= _high")
-        .withColumn("_day", F.explode(F.sequence(idiv(F.col("_low"), DAY), idiv(F.col("_high"), DAY))))
+        .selectExpr("*", f"explode(sequence({floor_div('_low', DAY)}, {floor_div('_high', DAY)})) AS _day")
     )
     joined = sliced_events.join(sliced_stays, [*keys, "_day"])
-    return joined.filter("_t >= _low AND _t <= _high").drop("_t", "_day", "_low", "_high")
+    return joined.filter("_t >= _low AND _t <= _high").drop("_day")
+
+
+def _own_bins(step: int, closed: str) -> tuple[str, str]:
+    """First and last bin of an event at ``_t`` in a stay that starts at ``_low``."""
+    index = floor_div("_t - _low", step)
+    if closed == "left":
+        return index, index
+    return f"CASE WHEN _t > _low AND pmod(_t - _low, {step}L) = 0 THEN {index} - 1 ELSE {index} END", index
+
+
+def _last_lookback(time: str, days: int, step: int) -> str:
+    """Last bin of the stay with ``date(bin) <= date(time) + days``."""
+    horizon = f"{micros(f'cast({time} AS date)')} + {(days + 1) * DAY - 1}L - _low"
+    return f"least({floor_div(horizon, step)}, {floor_div('_high - _low', step)})"
+
+
+def _explode_bins(df: DataFrame, first: str, last: str, *extra: str) -> DataFrame:
+    """One row per bin number from ``first`` to ``last``; no row when the range is empty."""
+    ranged = df.selectExpr("*", f"{first} AS _from", f"{last} AS _to").filter("_from <= _to")
+    exploded = ranged.selectExpr("*", "explode(sequence(_from, _to)) AS bin_index")
+    return (exploded.selectExpr("*", *extra) if extra else exploded).drop("_from", "_to", "_t", "_low", "_high")
 
 
 def assign_bins(events: DataFrame, stays: DataFrame, keys: Sequence[str], time: str, start: str, end: str,
@@ -44,58 +68,57 @@ def assign_bins(events: DataFrame, stays: DataFrame, keys: Sequence[str], time:
     ``closed="both"``: bin *b* takes ``b <= t <= b + step``, so an event on a grid line belongs to two
     bins. ``closed="left"``: ``b <= t < b + step``.
     """
+    inside = events_in_window(events, stays, keys, time, start, end)
+    return _explode_bins(inside, *_own_bins(step_hours * HOUR, closed))
+
+
+def bins_with_lookback(events: DataFrame, stays: DataFrame, keys: Sequence[str], time: str, start: str, end: str,
+                       days: int = 1, step_hours: int = STEP_HOURS) -> DataFrame:
+    """``assign_bins`` and ``lookback_bins`` in one pass over the events.
+
+    The bins an event lies in and the later bins that look back at it are consecutive numbers, so one
+    generator yields both; ``in_bin`` tells them apart.
+    """
     step = step_hours * HOUR
     inside = events_in_window(events, stays, keys, time, start, end)
-    offset = micros(time) - micros(start)
-    index = idiv(offset, step)
-    if closed == "left":
-        return inside.withColumn("bin_index", index)
-    on_grid = (F.pmod(offset, F.lit(step)) == 0) & (offset > 0)
-    both = F.when(on_grid, F.array(index - 1, index)).otherwise(F.array(index))
-    return inside.withColumn("bin_index", F.explode(both))
+    first, own = _own_bins(step, "both")
+    last = f"greatest({own}, {_last_lookback(time, days, step)})"
+    return _explode_bins(inside, first, last, f"bin_index <= {own} AS in_bin")
 
 
 def bin_aggregate(events: DataFrame, stays: DataFrame, keys: Sequence[str], time: str, start: str, end: str,
-                  aggs: Sequence[Column], stay_keys: Sequence[str] | None = None, step_hours: int = STEP_HOURS,
+                  aggs: Sequence[str], stay_keys: Sequence[str] | None = None, step_hours: int = STEP_HOURS,
                   closed: str = "both") -> DataFrame:
-    """Aggregates per ``(stay_keys, bin_index)``, only for bins that hold events.
+    """Aggregates (SQL with alias) per ``(stay_keys, bin_index)``, only for bins that hold events.
 
     Left join the result to the spine to get every bin.
     """
     binned = assign_bins(events, stays, keys, time, start, end, step_hours, closed)
-    return binned.groupBy(*(stay_keys or keys), "bin_index").agg(*aggs)
+    return binned.groupBy(*(stay_keys or keys), "bin_index").agg(*[F.expr(a) for a in aggs])
 
 
 def overlapped_bins(intervals: DataFrame, stays: DataFrame, keys: Sequence[str], start: str, stop: str,
                     stay_start: str, stay_end: str, step_hours: int = STEP_HOURS, reach_minutes: int | None = None,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+                    hot_rows: int = HOT_ROWS, count_on: DataFrame | None = None) -> DataFrame:
     """One row per interval and bin with ``start <= bin + reach`` and ``stop >= bin``.
 
     ``reach_minutes`` defaults to the full step. An interval without ``stop`` matches no bin.
     """
     step = step_hours * HOUR
     reach = (reach_minutes if reach_minutes is not None else step_hours * 60) * 60 * SECOND
-    origin = micros(stay_start)
-    joined = salted_join(
-        intervals.filter(F.col(stop).isNotNull()),
-        stays.filter(F.col(stay_start) <= F.col(stay_end)),
-        keys,
-        hot_rows=hot_rows,
+    # greatest and least skip NULLs, so missing bounds have to go first
+    bounded = intervals.filter(f"{start} IS NOT NULL AND {stop} IS NOT NULL")
+    joined = salted_join(bounded, stays.filter(f"{stay_start} <= {stay_end}"), keys, hot_rows=hot_rows, count_on=count_on)
+    placed = joined.selectExpr(
+        "*",
+        f"greatest({micros(start)} - {reach}L - {micros(stay_start)}, 0L) AS _t",
+        f"least({micros(stop)}, {micros(stay_end)}) - {micros(stay_start)} AS _high",
     )
-    # greatest/least skip NULLs, so missing bounds are filtered out above and here
-    lowest = F.greatest(micros(start) - F.lit(reach) - origin, F.lit(0))
-    highest = F.least(micros(stop) - origin, micros(stay_end) - origin)
-    indexed = (
-        joined.filter(F.col(start).isNotNull())
-        .withColumn("_from", idiv(lowest + F.lit(step - 1), step))
-        .withColumn("_to", idiv(highest, step))
-        .filter("_from <= _to")
-    )
-    return indexed.withColumn("bin_index", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to")
+    return _explode_bins(placed, floor_div(f"_t + {step - 1}L", step), floor_div("_high", step))
 
 
 def lookback_bins(events: DataFrame, stays: DataFrame, keys: Sequence[str], time: str, stay_start: str,
-                  stay_end: str, active_until: Column | str | None = None, days: int = 1,
+                  stay_end: str, active_until: str | None = None, days: int = 1,
                   step_hours: int = STEP_HOURS) -> DataFrame:
     """One row per event and later bin that looks back at it.
 
@@ -105,12 +128,7 @@ def lookback_bins(events: DataFrame, stays: DataFrame, keys: Sequence[str], time
     """
     step = step_hours * HOUR
     inside = events_in_window(events, stays, keys, time, stay_start, stay_end)
-    origin = micros(stay_start)
-    horizon = micros(F.to_date(time)) + F.lit((days + 1) * DAY) - origin
-    last = F.least(idiv(horizon - 1, step), idiv(micros(stay_end) - origin, step))
+    last = _last_lookback(time, days, step)
     if active_until is not None:
-        last = F.least(last, idiv(micros(as_col(active_until)) - origin, step))
-    indexed = (
-        inside.withColumn("_from", idiv(micros(time) - origin, step) + 1).withColumn("_to", last).filter("_from <= _to")
-    )
-    return indexed.withColumn("bin_index", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to")
+        last = f"least({last}, {floor_div(f'{micros(active_until)} - _low', step)})"
+    return _explode_bins(inside, f"{floor_div('_t - _low', step)} + 1", last)

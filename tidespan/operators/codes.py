@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidespan.functions.text import in_list, quote
+
 
 @dataclass(frozen=True)
 class CodeRule:
@@ -22,38 +24,21 @@ class CodeRule:
     members: tuple[str, ...] = ()
     ranges: tuple[tuple[str, str], ...] = ()
 
-    def matches(self, code: Column, version: Column | None) -> Column:
-        head = F.substring(code, 1, self.length) if self.length else code
-        found = head.isin(*self.members) if self.members else F.lit(False)
-        for low, high in self.ranges:
-            found = found | head.between(low, high)
-        if self.version is not None and version is not None:
-            found = found & (version == self.version)
-        return F.coalesce(found, F.lit(False))
-
-
-def code_mask(rules: dict[str, Sequence[CodeRule]], code: Column, version: Column | None) -> Column:
-    """Bit ``i`` is set when any rule of the i-th flag matches."""
-    mask = F.lit(0).cast("long")
-    for bit, flag_rules in enumerate(rules.values()):
-        hit = F.lit(False)
-        for rule in flag_rules:
-            hit = hit | rule.matches(code, version)
-        mask = mask + F.when(hit, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long"))
-    return mask
+    def condition(self, code: str, version: str | None) -> str:
+        head = f"substring({code}, 1, {self.length})" if self.length else code
+        found = [in_list(head, self.members)] if self.members else []
+        found += [f"{head} BETWEEN {quote(low)} AND {quote(high)}" for low, high in self.ranges]
+        either = "(" + " OR ".join(found) + ")"
+        return f"({version} = {self.version} AND {either})" if self.version is not None else either
 
 
-def unpack_mask(rules: dict[str, Sequence[CodeRule]], mask: str) -> list[Column]:
-    return [
-        F.shiftright(F.col(mask), bit).bitwiseAND(F.lit(1).cast("long")).cast("int").alias(name)
-        for bit, name in enumerate(rules)
-    ]
+def any_rule(rules: Sequence[CodeRule], code: str, version: str | None) -> str:
+    return "(" + " OR ".join(r.condition(code, version) for r in rules) + ")"
 
 
 def code_flags(df: DataFrame, keys: Sequence[str], code: str, version: str | None,
                rules: dict[str, Sequence[CodeRule]]) -> DataFrame:
     """One row per ``keys`` with a 0/1 column per flag."""
-    masks = df.groupBy(*keys).agg(
-        F.bit_or(code_mask(rules, F.col(code), F.col(version) if version else None)).alias("_mask")
-    )
-    return masks.select(*keys, *unpack_mask(rules, "_mask"))
+    bits = [f"CASE WHEN {any_rule(r, code, version)} THEN {1 << i}L ELSE 0L END" for i, r in enumerate(rules.values())]
+    masks = df.groupBy(*keys).agg(F.expr(f"bit_or({' + '.join(bits)}) AS _mask"))
+    return masks.selectExpr(*keys, *[f"cast(shiftright(_mask, {i}) & 1L AS int) AS {name}" for i, name in enumerate(rules)])

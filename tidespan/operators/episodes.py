@@ -4,17 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidespan.functions.temporal import HOUR, micros
-from tidespan.operators.skew import CHUNK_SECONDS, HOT_ROWS, chunk_carry, following, time_chunks, total_before
+from tidespan.functions.temporal import HOUR, hours_between, micros
+from tidespan.functions.text import in_list
+from tidespan.operators.skew import (
+    CHUNK_SECONDS,
+    HOT_ROWS,
+    chunk_carry,
+    following,
+    previous,
+    time_chunks,
+    total_before,
+)
 
 
 def state_episodes(df: DataFrame, keys: Sequence[str], time: str, state: str, keep: Sequence[str] | None = None,
                    min_hours: float = 1.0, earliest: Sequence[str] = (), tie: Sequence[str] = (),
                    max_gap_hours: float | None = None, hot_rows: int = HOT_ROWS,
-                   chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+                   chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> DataFrame:
     """Maximal runs of equal ``state`` in time order, one row each: ``keys, state, starttime, endtime``.
 
     Rows without state are ignored. A run ends at the time of the row that follows it (the last run of a
@@ -26,73 +35,68 @@ def state_episodes(df: DataFrame, keys: Sequence[str], time: str, state: str, ke
     chunk border gets one number through the chunk summaries.
     """
     keys = list(keys)
-    rows = df.filter(F.col(state).isNotNull())
-    chunked = time_chunks(rows, keys, time, hot_rows, chunk_seconds)
-    piece = Window.partitionBy(*keys, "_chunk")
-    ordered = piece.orderBy(F.col(time).asc_nulls_first(), state, *tie)
-    # default frame: rows of equal time share the running number
-    running = piece.orderBy(F.col(time).asc_nulls_first())
-    flagged = chunked.withColumns({
-        "_lag": F.lag(state).over(ordered),
-        "_lag_t": F.lag(time).over(ordered),
-        "_lead_t": F.lead(time).over(ordered),
-        "_first": F.row_number().over(ordered) == 1,
-    })
-    broken = F.col("_first") | (F.col("_lag") != F.col(state))
-    if max_gap_hours is not None:
-        broken = broken | (micros(time) - micros("_lag_t") > F.lit(round(max_gap_hours * HOUR)))
-    numbered = flagged.withColumn("_new", broken.cast("int")).withColumn("_seq", F.sum("_new").over(running))
+    key_list = ", ".join(keys)
+    chunked = time_chunks(df.filter(f"{state} IS NOT NULL"), keys, time, hot_rows, chunk_seconds, count_on)
+    piece = f"PARTITION BY {key_list}, _chunk ORDER BY {time} NULLS FIRST"
+    ordered = ", ".join([piece, state, *tie])
+    gap = "" if max_gap_hours is None else f" OR {micros(time)} - {micros('_lag_t')} > {round(max_gap_hours * HOUR)}L"
+    flagged = chunked.selectExpr(
+        "*",
+        f"lag({state}) OVER ({ordered}) AS _lag",
+        f"lag({time}) OVER ({ordered}) AS _lag_t",
+        f"lead({time}) OVER ({ordered}) AS _lead_t",
+    ).selectExpr("*", f"CASE WHEN _lag IS NULL OR _lag <> {state}{gap} THEN 1 ELSE 0 END AS _new")
+    # the default frame of a running sum: rows of equal time share the number
+    numbered = flagged.selectExpr("*", f"sum(_new) OVER ({piece}) AS _seq")
 
+    near = "" if max_gap_hours is None else (
+        f" AND {micros('_first_t')} - {micros(previous('_last_t'))} <= {round(max_gap_hours * HOUR)}L"
+    )
     links = chunk_carry(
         numbered,
         keys,
-        {
-            "_n": F.sum("_new"),
-            "_first_state": F.max(F.when(F.col("_first"), F.col(state))),
-            "_last_state": F.max(F.when(F.col("_lead_t").isNull(), F.col(state))),
-            "_first_t": F.min(time),
-            "_last_t": F.max(time),
-        },
-        {
-            "_n": lambda w: F.col("_n"),
-            "_next_t": following("_first_t"),
-            "_joins": lambda w: _continues(w, max_gap_hours),
-        },
+        [
+            "sum(_new) AS _n",
+            f"max(CASE WHEN _lag IS NULL THEN {state} END) AS _first_state",
+            f"max(CASE WHEN _lead_t IS NULL THEN {state} END) AS _last_state",
+            f"min({time}) AS _first_t",
+            f"max({time}) AS _last_t",
+        ],
+        [
+            f"{total_before('_n')} AS _before",
+            f"{following('_first_t')} AS _next_t",
+            f"CASE WHEN {previous('_last_state')} = _first_state{near} THEN 1 ELSE 0 END AS _joins",
+        ],
+    ).selectExpr(
+        *keys, "_chunk", "_next_t",
+        f"_before - sum(_joins) OVER (PARTITION BY {key_list} ORDER BY _chunk) AS _base",
     )
-    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
-    links = links.withColumn(
-        "_base", total_before("_n")(by_chunk) - F.sum("_joins").over(by_chunk.rowsBetween(Window.unboundedPreceding, 0))
-    ).select(*keys, "_chunk", "_base", "_next_t")
 
     pieces = numbered.groupBy(*keys, "_chunk", "_seq", state).agg(
-        F.min(time).alias("_start"),
-        F.max(time).alias("_last"),
-        F.max(F.coalesce("_lead_t", time)).alias("_end"),
-        F.max(F.col("_lead_t").isNull()).alias("_open"),
-        *[F.min(c).alias(c) for c in earliest],
-    )
-    joined = pieces.join(links, [*keys, "_chunk"], "left")
-    runs = joined.groupBy(*keys, state, (F.col("_seq") + F.coalesce("_base", F.lit(0))).alias("_run")).agg(
-        F.min("_start").alias("starttime"),
-        F.max("_last").alias("_last"),
-        F.max(F.when(F.col("_open"), F.greatest("_end", "_next_t")).otherwise(F.col("_end"))).alias("endtime"),
-        *[F.min(c).alias(c) for c in earliest],
+        *[F.expr(e) for e in (
+            f"min({time}) AS _start",
+            f"max({time}) AS _last",
+            f"max(coalesce(_lead_t, {time})) AS _end",
+            "max(_lead_t IS NULL) AS _open",
+            *[f"min({c}) AS {c}" for c in earliest],
+        )]
     )
-    kept = runs.filter(F.col("starttime") != F.col("_last")).filter(
-        micros("endtime") - micros("starttime") >= F.lit(round(min_hours * HOUR))
+    runs = (
+        pieces.join(links, [*keys, "_chunk"], "left")
+        .selectExpr("*", "_seq + coalesce(_base, 0) AS _run")
+        .groupBy(*keys, state, "_run")
+        .agg(*[F.expr(e) for e in (
+            "min(_start) AS starttime",
+            "max(_last) AS _last",
+            "max(CASE WHEN _open THEN greatest(_end, _next_t) ELSE _end END) AS endtime",
+            *[f"min({c}) AS {c}" for c in earliest],
+        )])
     )
-    if keep is not None:
-        kept = kept.filter(F.col(state).isin(*keep))
+    long_enough = f"starttime <> _last AND {micros('endtime')} - {micros('starttime')} >= {round(min_hours * HOUR)}L"
+    kept = runs.filter(long_enough if keep is None else f"{long_enough} AND {in_list(state, keep)}")
     return kept.drop("_last", "_run")
 
 
-def _continues(w, max_gap_hours: float | None) -> Column:
-    same = F.lag("_last_state").over(w) == F.col("_first_state")
-    if max_gap_hours is not None:
-        same = same & (micros("_first_t") - micros(F.lag("_last_t").over(w)) <= F.lit(round(max_gap_hours * HOUR)))
-    return F.coalesce(same, F.lit(False)).cast("int")
-
-
 def episode_features(episodes: DataFrame, keys: Sequence[str], start: str = "starttime", end: str = "endtime",
                      marker: str | None = None) -> DataFrame:
     """Ordinal, hours, end of the last episode from here on, gap to the next one, any marker per key.
@@ -100,16 +104,14 @@ def episode_features(episodes: DataFrame, keys: Sequence[str], start: str = "sta
     Episodes of one key do not overlap and last at least ``min_hours``, so a key has at most (calendar
     span / ``min_hours``) of them: the windows are bounded by the calendar.
     """
-    whole = Window.partitionBy(*keys)
-    ordered = whole.orderBy(start)
-    hours = (micros(end) - micros(start)) / F.lit(float(HOUR))
-    gap = (F.lead(micros(start)).over(ordered) - micros(end)) / F.lit(float(HOUR))
-    out = {
-        "ventduration": F.round(hours).cast("double"),
-        "num_event": F.row_number().over(ordered).cast("long"),
-        "end_mech_vent": F.max(end).over(whole.orderBy(F.col(start).desc())),
-        "time_no_mech_vent": F.round(gap).cast("double"),
-    }
-    if marker is not None:
-        out["is_tracheo"] = (F.count(marker).over(whole) > 0).cast("int")
-    return episodes.withColumns(out)
+    whole = f"PARTITION BY {', '.join(keys)}"
+    following_start = f"lead({start}) OVER ({whole} ORDER BY {start})"
+    marked = [f"CASE WHEN count({marker}) OVER ({whole}) > 0 THEN 1 ELSE 0 END AS is_tracheo"] if marker else []
+    return episodes.selectExpr(
+        "*",
+        *marked,
+        f"round({hours_between(end, start)}) AS ventduration",
+        f"cast(row_number() OVER ({whole} ORDER BY {start}) AS bigint) AS num_event",
+        f"max({end}) OVER ({whole} ORDER BY {start} DESC) AS end_mech_vent",
+        f"round({hours_between(following_start, end)}) AS time_no_mech_vent",
+    )

@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidespan.operators.skew import HOT_ROWS, salted_join
 
 
 def full_outer_distinct(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of either side matched on ``keys``; identical result rows are kept once."""
-    return left.join(right, list(keys), "full").distinct()
+    """Rows of either side matched on ``keys``; identical result rows are kept once.
+
+    Copies are removed from both sides first, which does not change the result and keeps a group of equal
+    rows from reaching the join.
+    """
+    return left.distinct().join(right.distinct(), list(keys), "full").distinct()
 
 
-def keep_groups(df: DataFrame, key: str, having: Column, aggs: Sequence[Column]) -> DataFrame:
+def keep_groups(df: DataFrame, key: str, having: str, aggs: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose group satisfies ``having`` over the aliased ``aggs`` (``IN (… HAVING …)``)."""
-    groups = df.groupBy(key).agg(*aggs).filter(having).select(key)
-    return df.join(groups, key, "left_semi")
+    groups = df.groupBy(key).agg(*[F.expr(a) for a in aggs]).filter(having).select(key)
+    return salted_join(df, groups, [key], "left_semi", hot_rows)

@@ -2,56 +2,51 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidespan.functions.text import in_list
+
 
 @dataclass(frozen=True)
 class Measure:
-    """A wide column: its codes and the plausible range ``low < v < high`` (``<=`` with ``closed_high``)."""
+    """A wide column: its codes and the plausible range ``low < v < high`` (``<=`` with ``closed_high``).
+
+    ``convert`` is an SQL template with ``{v}`` for the value.
+    """
 
     name: str
     codes: tuple
     low: float | None = None
     high: float | None = None
     closed_high: bool = False
-    convert: Callable[[Column], Column] | None = field(default=None)
+    convert: str = "{v}"
 
-    def value(self, code: Column, value: Column) -> Column:
-        ok = code.isin(*self.codes) if len(self.codes) > 1 else code == self.codes[0]
+    def arm(self, code: str, value: str) -> str:
+        """``WHEN … THEN …`` for a row of this measure inside its range."""
+        ok = [in_list(code, self.codes)]
         if self.low is not None:
-            ok = ok & (value > self.low)
+            ok.append(f"{value} > {self.low}")
         if self.high is not None:
-            ok = ok & ((value <= self.high) if self.closed_high else (value < self.high))
-        return F.when(ok, self.convert(value) if self.convert else value)
+            ok.append(f"{value} {'<=' if self.closed_high else '<'} {self.high}")
+        return f"WHEN {' AND '.join(ok)} THEN {self.convert.format(v=value)}"
 
 
 def all_codes(measures: Sequence[Measure]) -> list:
     return [c for m in measures for c in m.codes]
 
 
-def measure_value(measures: Sequence[Measure], code: Column, value: Column) -> Column:
-    """The guarded value under whichever measure the code belongs to."""
-    return F.coalesce(*[m.value(code, value) for m in measures])
+def guarded_value(measures: Sequence[Measure], code: str, value: str) -> str:
+    """The value under whichever of the measures its code belongs to, NULL outside the range."""
+    return f"CASE {' '.join(m.arm(code, value) for m in measures)} END"
 
 
 def guarded_pivot(events: DataFrame, keys: Sequence[str], measures: Sequence[Measure], code: str, value: str,
-                  agg: Callable[[Column], Column] = F.avg) -> DataFrame:
-    """One row per ``keys``, one guarded aggregate per measure; the code list is pushed to the scan."""
-    columns: dict[str, list[Column]] = {}
-    for m in measures:
-        columns.setdefault(m.name, []).append(m.value(F.col(code), F.col(value)))
-    return events.filter(F.col(code).isin(*all_codes(measures))).groupBy(*keys).agg(
-        *[agg(F.coalesce(*parts)).alias(name) for name, parts in columns.items()]
-    )
-
-
-def weighted_sum(weights: dict[str, float]) -> Column:
-    """Sum of ``weight * column`` with NULL as 0."""
-    total = F.lit(0.0)
-    for name, weight in weights.items():
-        total = total + F.coalesce(F.col(name) * F.lit(weight), F.lit(0.0))
-    return total
+                  agg: str = "avg", extra: Sequence[str] = ()) -> DataFrame:
+    """One row per ``keys``, one guarded aggregate per measure name; the code list is pushed to the scan."""
+    names = list(dict.fromkeys(m.name for m in measures))
+    aggs = [f"{agg}({guarded_value([m for m in measures if m.name == n], code, value)}) AS {n}" for n in names]
+    return events.filter(in_list(code, all_codes(measures))).groupBy(*keys).agg(*[F.expr(a) for a in (*aggs, *extra)])

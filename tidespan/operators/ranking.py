@@ -4,31 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tidespan.operators.skew import CHUNK_SECONDS, HOT_ROWS, chunk_carry, time_chunks, total_before
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of every key.
+def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The first row of every key in the given order (SQL, with explicit null placement).
 
     Spark turns ``row_number() = 1`` into a group limit that runs before the shuffle as well, so a heavy
     key reaches its final task as one row per input partition.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
+    ranked = df.selectExpr("*", f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order}) AS _rn")
+    return ranked.filter("_rn = 1").drop("_rn")
 
 
 def dense_rank_by_time(df: DataFrame, keys: Sequence[str], time: str, name: str, hot_rows: int = HOT_ROWS,
-                       chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+                       chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> DataFrame:
     """``dense_rank`` of ``time`` within ``keys`` (NULL times first), heavy keys ranked in chunks."""
     keys = list(keys)
-    columns = df.columns
-    chunked = time_chunks(df, keys, time, hot_rows, chunk_seconds)
-    local = Window.partitionBy(*keys, "_chunk").orderBy(F.col(time).asc_nulls_first())
-    ranked = chunked.withColumn("_rank", F.dense_rank().over(local).cast("long"))
-    offsets = chunk_carry(ranked, keys, {"_ranks": F.max("_rank")}, {"_offset": total_before("_ranks")})
-    return ranked.join(offsets, [*keys, "_chunk"], "left").select(
-        *columns, (F.col("_rank") + F.coalesce("_offset", F.lit(0))).alias(name)
+    chunked = time_chunks(df, keys, time, hot_rows, chunk_seconds, count_on)
+    ranked = chunked.selectExpr(
+        "*",
+        f"dense_rank() OVER (PARTITION BY {', '.join(keys)}, _chunk ORDER BY {time} NULLS FIRST) AS _rank",
+    )
+    offsets = chunk_carry(ranked, keys, ["max(_rank) AS _ranks"], [f"{total_before('_ranks')} AS _offset"])
+    return ranked.join(offsets, [*keys, "_chunk"], "left").selectExpr(
+        *df.columns, f"cast(_rank + coalesce(_offset, 0) AS bigint) AS {name}"
     )

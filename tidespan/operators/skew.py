@@ -4,7 +4,7 @@ Two tools, both exact and both without a driver-side step:
 
 * ``salted_join`` spreads the rows of heavy keys over several join partitions.
 * ``time_chunks`` cuts the timeline of heavy keys into pieces, so ordered (window) work on one key
-  runs in many tasks; ``chunk_carry`` then hands the last value of a piece on to the next one.
+  runs in many tasks; ``chunk_carry`` then hands values on from piece to piece.
 
 Both start from ``hot_keys``: the keys with more than ``hot_rows`` rows. There are at most
 ``rows / hot_rows`` of them whatever the data looks like (a trillion rows give at most 200,000 keys at
@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidespan.functions.temporal import SECOND, idiv, micros
+from tidespan.functions.temporal import SECOND, floor_div, micros
 
 HOT_ROWS = 5_000_000
 CHUNK_SECONDS = 600
@@ -26,70 +26,74 @@ CHUNK_SECONDS = 600
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """``keys, _hot_n`` for every key with more than ``hot_rows`` rows."""
-    counts = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_hot_n"))
-    return counts.filter(F.col("_hot_n") > hot_rows)
+    return df.groupBy(*keys).agg(F.expr("count(1) AS _hot_n")).filter(f"_hot_n > {hot_rows}")
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner",
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int = HOT_ROWS, count_on: DataFrame | None = None) -> DataFrame:
     """Equi join in which a heavy key of ``big`` is spread over ``ceil(rows / hot_rows)`` salts.
 
     ``small`` is repeated once per salt, for heavy keys only. ``how`` may be any type that keeps rows of
-    ``big`` alone (inner, left, left_semi, left_anti).
+    ``big`` alone (inner, left, left_semi, left_anti). ``count_on`` names a cheaper frame to count the keys
+    on (for example the scan ``big`` was aggregated from); salting too much is harmless.
     """
     keys = list(keys)
-    hot = hot_keys(big, keys, hot_rows).select(
-        *keys, F.ceil(F.col("_hot_n") / F.lit(hot_rows)).cast("int").alias("_salts")
+    hot = hot_keys(count_on if count_on is not None else big, keys, hot_rows).selectExpr(
+        *keys, f"cast(ceil(_hot_n / {hot_rows}D) AS int) AS _salts"
+    )
+    payload = ", ".join(c for c in big.columns if c not in keys) or keys[0]
+    left = big.join(F.broadcast(hot), keys, "left").selectExpr(
+        *big.columns, f"CASE WHEN _salts IS NULL THEN 0 ELSE cast(pmod(xxhash64({payload}), _salts) AS int) END AS _salt"
+    )
+    right = small.join(F.broadcast(hot), keys, "left").selectExpr(
+        *small.columns, "explode(sequence(0, coalesce(_salts, 1) - 1)) AS _salt"
     )
-    payload = [c for c in big.columns if c not in keys] or keys
-    left = big.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt",
-        F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*payload), F.col("_salts")).cast("int")).otherwise(0),
-    ).drop("_salts")
-    right = small.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    ).drop("_salts")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def time_chunks(df: DataFrame, keys: Sequence[str], time: str, hot_rows: int = HOT_ROWS,
-                chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+                chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> DataFrame:
     """Add ``_hot`` and ``_chunk``: one chunk for a normal key, a calendar grid for a heavy one."""
     keys = list(keys)
-    hot = hot_keys(df, keys, hot_rows).select(*keys, F.lit(True).alias("_is_hot"))
-    cell = F.coalesce(idiv(micros(time), chunk_seconds * SECOND), F.lit(-(2**62)))
-    marked = df.join(F.broadcast(hot), keys, "left")
-    return marked.withColumn("_hot", F.coalesce("_is_hot", F.lit(False))).withColumn(
-        "_chunk", F.when(F.col("_hot"), cell).otherwise(F.lit(0).cast("long"))
-    ).drop("_is_hot")
+    hot = hot_keys(count_on if count_on is not None else df, keys, hot_rows)
+    cell = floor_div(micros(time), chunk_seconds * SECOND)
+    return df.join(F.broadcast(hot), keys, "left").selectExpr(
+        *df.columns,
+        "_hot_n IS NOT NULL AS _hot",
+        f"CASE WHEN _hot_n IS NULL THEN 0L ELSE coalesce({cell}, -1L << 62) END AS _chunk",
+    )
 
 
-def chunk_carry(chunked: DataFrame, keys: Sequence[str], summaries: dict[str, Column],
-                carries: dict[str, Column]) -> DataFrame:
+def chunk_carry(chunked: DataFrame, keys: Sequence[str], summaries: Sequence[str], carries: Sequence[str]) -> DataFrame:
     """One row per chunk of a heavy key: values computed over the chunk summaries in time order.
 
-    ``summaries`` are aggregates per chunk; ``carries`` are expressions over them, built with
-    ``before()`` and ``after()``. A key has at most (calendar span / chunk length) chunks, so the window
-    here is bounded by the calendar and not by the row count.
+    ``summaries`` are aggregates per chunk (SQL with alias), ``carries`` window expressions over them, built
+    with the functions below. A key has at most (calendar span / chunk length) chunks, so the window is
+    bounded by the calendar and not by the row count.
     """
     keys = list(keys)
-    per_chunk = chunked.filter("_hot").groupBy(*keys, "_chunk").agg(
-        *[agg.alias(name) for name, agg in summaries.items()]
-    )
-    ordered = Window.partitionBy(*keys).orderBy("_chunk")
-    return per_chunk.select(*keys, "_chunk", *[c(ordered).alias(n) for n, c in carries.items()])
+    per_chunk = chunked.filter("_hot").groupBy(*keys, "_chunk").agg(*[F.expr(s) for s in summaries])
+    return per_chunk.selectExpr(*keys, "_chunk", *[c.format(w=f"PARTITION BY {', '.join(keys)} ORDER BY _chunk") for c in carries])
 
 
-def last_before(name: str):
+BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def last_before(name: str) -> str:
     """Carry: the last non-NULL ``name`` of the earlier chunks."""
-    return lambda w: F.last(name, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return f"last({name}, true) OVER ({{w}} {BEFORE})"
 
 
-def total_before(name: str):
+def total_before(name: str) -> str:
     """Carry: the sum of ``name`` over the earlier chunks."""
-    return lambda w: F.coalesce(F.sum(name).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return f"coalesce(sum({name}) OVER ({{w}} {BEFORE}), 0)"
+
+
+def previous(name: str) -> str:
+    """Carry: ``name`` of the chunk before."""
+    return f"lag({name}) OVER ({{w}})"
 
 
-def following(name: str):
+def following(name: str) -> str:
     """Carry: ``name`` of the chunk after."""
-    return lambda w: F.lead(name).over(w)
+    return f"lead({name}) OVER ({{w}})"

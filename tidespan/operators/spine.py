@@ -4,22 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tidespan.functions.temporal import HOUR, SECOND, idiv, micros
+from tidespan.functions.temporal import HOUR, floor_div, micros
 
 STEP_HOURS = 4
 
 
-def bin_time(start: str, index: str, step_hours: int = STEP_HOURS) -> Column:
-    """Start time of bin ``index`` of a stay that begins at ``start``."""
-    step_seconds = step_hours * HOUR // SECOND
-    return F.col(start) + F.col(index) * F.expr(f"INTERVAL '{step_seconds}' SECOND")
-
-
-def last_bin(start: str, end: str, step_hours: int = STEP_HOURS) -> Column:
-    return idiv(micros(end) - micros(start), step_hours * HOUR)
+def last_bin(start: str, end: str, step_hours: int = STEP_HOURS) -> str:
+    return floor_div(f"({micros(end)} - {micros(start)})", step_hours * HOUR)
 
 
 def time_spine(stays: DataFrame, start: str, end: str, step_hours: int = STEP_HOURS, name: str = "bin_start",
@@ -29,7 +22,9 @@ def time_spine(stays: DataFrame, start: str, end: str, step_hours: int = STEP_HO
     A stay with a missing bound or with ``start > end`` has no bins. Adds ``bin_index`` (0, 1, …) and the
     bin's start time. The row count is bounded by the length of the stays, not by their events.
     """
-    columns = list(columns or stays.columns)
-    valid = stays.filter(F.col(start) <= F.col(end))
-    bins = valid.withColumn("bin_index", F.explode(F.sequence(F.lit(0).cast("long"), last_bin(start, end, step_hours))))
-    return bins.select(*columns, "bin_index", bin_time(start, "bin_index", step_hours).alias(name))
+    bins = stays.filter(f"{start} <= {end}").selectExpr(
+        "*", f"explode(sequence(0L, {last_bin(start, end, step_hours)})) AS bin_index"
+    )
+    return bins.selectExpr(
+        *(columns or stays.columns), "bin_index", f"{start} + bin_index * INTERVAL '{step_hours}' HOUR AS {name}"
+    )

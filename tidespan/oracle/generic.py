@@ -207,7 +207,7 @@ FINALS = {
     "date_key_join": """SELECT f.user_id, f.bin_start, f.any_error, d.day, d.total, d.missing_pct
         FROM all_flags f JOIN daily d ON d.user_id = f.user_id AND CAST(f.bin_start AS DATE) = d.day""",
     "final_semi_filter": """WITH x AS (SELECT f.user_id, f.bin_start, f.overlap, round(m.signup, 6) AS signup FROM all_flags f JOIN means m USING (user_id, bin_start))
-        SELECT * FROM x WHERE user_id IN (SELECT user_id FROM x GROUP BY user_id HAVING max(overlap) > 0 AND max(signup) IS NOT NULL AND max(signup) > 400)""",
+        SELECT * FROM x WHERE user_id IN (SELECT user_id FROM x GROUP BY user_id HAVING max(overlap) > 0 AND max(signup) IS NOT NULL AND max(signup) > 150)""",
 }
 
 

@@ -12,42 +12,51 @@ from pyspark.sql import functions as F
 
 from tidespan.functions import scoring
 from tidespan.functions.temporal import age_at, days_between, died_within, plus_hours, truncate
-from tidespan.functions.text import classify_text, first_match, matches_any
+from tidespan.functions.text import classify_text, first_match, in_list, matches_any
 from tidespan.operators.asof import asof_backward, carry_previous
-from tidespan.operators.bins import assign_bins, bin_aggregate, events_in_window, lookback_bins, overlapped_bins
+from tidespan.operators.bins import (
+    assign_bins,
+    bin_aggregate,
+    bins_with_lookback,
+    events_in_window,
+    lookback_bins,
+    overlapped_bins,
+)
 from tidespan.operators.codes import CodeRule, code_flags
 from tidespan.operators.episodes import episode_features, state_episodes
 from tidespan.operators.outer import full_outer_distinct, keep_groups
-from tidespan.operators.pivot import Measure, guarded_pivot, weighted_sum
+from tidespan.operators.pivot import Measure, guarded_pivot
 from tidespan.operators.ranking import dense_rank_by_time, first_per_key
 from tidespan.operators.spine import time_spine
+from tidespan.sources.registry import Sources, materialize
 
 TYPES = ("click", "error", "purchase", "signup", "view")
+LOOKBACK = ("error", "purchase", "signup")
 USER = ["user_id"]
 BIN = ["user_id", "bin_index"]
 
 
-def r6(c):
-    return F.round(c, 6)
+def r6(c: str, name: str | None = None) -> str:
+    return f"round({c}, 6) AS {name or c}"
+
+
+def group(df: DataFrame, keys: list[str], *aggs: str) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(a) for a in aggs])
 
 
 class Generic:
     """Frames shared by the queries over one set of generic tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        self.table = Sources(spark, sf_dir)
 
     def events(self, *types: str) -> DataFrame:
-        ev = self.table("events").withColumn("th", truncate("ts", "hour"))
-        return ev.filter(F.col("event_type").isin(*types)) if types else ev
+        ev = self.table("events")
+        ev = ev.filter(in_list("event_type", types)) if types else ev
+        return ev.selectExpr("*", f"{truncate('ts', 'hour')} AS th")
 
     def stays(self) -> DataFrame:
-        return self.events().groupBy("user_id").agg(
-            F.min("th").alias("stay_start"), plus_hours(F.max("th"), -37).alias("stay_end")
-        )
+        return group(self.events(), USER, "min(th) AS stay_start", f"{plus_hours('max(th)', -37)} AS stay_end")
 
     def spine(self) -> DataFrame:
         return time_spine(self.stays(), "stay_start", "stay_end", columns=USER)
@@ -57,74 +66,68 @@ class Generic:
 
     # --- scans, filters, joins -------------------------------------------------------------------
     def code_prefilter_scan(self) -> DataFrame:
-        return self.events("error", "view", "purchase").groupBy("event_type").agg(
-            F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")
-        )
+        kept = self.table("events").filter(in_list("event_type", ("error", "view", "purchase")))
+        return group(kept, ["event_type"], "count(1) AS n", "round(sum(value), 2) AS total")
 
     def dim_label_filter(self) -> DataFrame:
-        wanted = self.table("part").filter(matches_any("p_name", ("widget", "ring"))).select("p_partkey", "p_name")
-        lines = self.table("lineitem").select("l_partkey", "l_quantity")
-        return lines.join(wanted, lines.l_partkey == wanted.p_partkey).groupBy("p_name").agg(
-            F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity")
-        )
+        wanted = self.table("part").filter(matches_any("p_name", ("widget", "ring"))).selectExpr("p_partkey AS key", "p_name")
+        lines = self.table("lineitem").selectExpr("l_partkey AS key", "l_quantity")
+        return group(lines.join(wanted, "key"), ["p_name"], "count(1) AS n", "round(sum(l_quantity), 2) AS quantity")
 
     def category_map(self) -> DataFrame:
-        priority = F.col("o_orderpriority")
         label = first_match([
-            (priority.isin("1-URGENT", "2-HIGH"), "postSurgical "),
-            (priority.isin("5-LOW"), "intensiveCare"),
+            (in_list("o_orderpriority", ("1-URGENT", "2-HIGH")), "postSurgical "),
+            (in_list("o_orderpriority", ("5-LOW",)), "intensiveCare"),
         ])
-        return self.table("orders").select("o_orderkey", label.alias("category"))
+        return self.table("orders").selectExpr("o_orderkey", f"{label} AS category")
 
     def text_flag_by_subject(self) -> DataFrame:
-        urgent = F.when(F.col("o_orderpriority").like("%URGENT%"), 1).otherwise(0)
-        flags = self.table("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max(urgent).alias("urgent"))
+        flags = group(self.table("orders").withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"],
+                      "max(CASE WHEN o_orderpriority LIKE '%URGENT%' THEN 1 ELSE 0 END) AS urgent")
         return self.table("customer").select("c_custkey").join(flags, "c_custkey", "left")
 
     def order_lines(self, *columns: str) -> DataFrame:
-        orders, lines = self.table("orders"), self.table("lineitem")
-        return orders.join(lines, orders.o_orderkey == lines.l_orderkey).select(*columns)
+        orders = self.table("orders").selectExpr("o_orderkey AS key", "*")
+        lines = self.table("lineitem").selectExpr("l_orderkey AS key", "*")
+        return orders.join(lines, "key").select(*columns)
 
     def stay_outcomes(self) -> DataFrame:
         rows = self.order_lines("o_orderkey", "o_orderdate", "l_linenumber", "l_shipdate")
-        age = age_at(F.col("l_linenumber") + 20, F.lit(1995), "o_orderdate")
-        return rows.select(
+        return rows.selectExpr(
             "o_orderkey",
-            days_between("l_shipdate", "o_orderdate").alias("los_day"),
-            died_within("l_shipdate", "o_orderdate", 28).alias("within28"),
-            died_within("l_shipdate", "o_orderdate", 90).alias("within90"),
-            F.round(age).alias("age"),
+            f"{days_between('l_shipdate', 'o_orderdate')} AS los_day",
+            f"{died_within('l_shipdate', 'o_orderdate', 28)} AS within28",
+            f"{died_within('l_shipdate', 'o_orderdate', 90)} AS within90",
+            f"round({age_at('l_linenumber + 20', '1995', 'o_orderdate')}) AS age",
         )
 
     def cohort_first_stay(self) -> DataFrame:
         rows = self.order_lines("o_custkey", "o_orderkey", "o_orderdate", "l_shipdate")
-        ranked = dense_rank_by_time(rows, ["o_custkey"], "o_orderdate", "hospstay_seq")
-        ranked = dense_rank_by_time(ranked, ["o_orderkey"], "l_shipdate", "icustay_seq")
-        return ranked.filter("hospstay_seq = 1 AND icustay_seq = 1")
+        orders = self.table("orders")
+        ranked = dense_rank_by_time(rows, ["o_custkey"], "o_orderdate", "hospstay_seq", count_on=orders)
+        # only the first orders need a rank for their lines
+        first = ranked.filter("hospstay_seq = 1")
+        lines = self.table("lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+        return dense_rank_by_time(first, ["o_orderkey"], "l_shipdate", "icustay_seq", count_on=lines).filter("icustay_seq = 1")
 
     def window_avg_ratio(self) -> DataFrame:
-        orders = self.table("orders").select(F.col("o_orderkey").alias("order_key"), "o_orderdate")
-        lines = self.table("lineitem").select(
-            F.col("l_orderkey").alias("order_key"), "l_shipdate", "l_extendedprice", "l_quantity"
-        )
+        orders = self.table("orders").selectExpr("o_orderkey AS order_key", "o_orderdate")
+        lines = self.table("lineitem").selectExpr("l_orderkey AS order_key", "l_shipdate", "l_extendedprice", "l_quantity")
         inside = events_in_window(lines, orders, ["order_key"], "l_shipdate", plus_hours("o_orderdate", -30 * 24),
                                   plus_hours("o_orderdate", 90 * 24))
-        means = inside.groupBy("order_key").agg(F.avg("l_extendedprice").alias("p"), F.avg("l_quantity").alias("q"))
-        return orders.select("order_key").join(means, "order_key", "left").select(
-            "order_key", r6("p").alias("weight"), r6("q").alias("height"),
-            r6(scoring.safe_ratio("p", F.pow(F.col("q") / 10, 2))).alias("ratio"),
+        means = group(inside, ["order_key"], "avg(l_extendedprice) AS p", "avg(l_quantity) AS q")
+        return orders.select("order_key").join(means, "order_key", "left").selectExpr(
+            "order_key", r6("p", "weight"), r6("q", "height"), r6(scoring.safe_ratio("p", "pow(q / 10, 2)"), "ratio")
         )
 
     def subject_left_joins(self) -> DataFrame:
-        totals = self.table("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-            F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total")
-        )
-        nation, region = self.table("nation"), self.table("region")
-        customer = self.table("customer").select("c_custkey", "c_nationkey")
+        totals = group(self.table("orders").withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"],
+                       "count(1) AS n_orders", "round(sum(o_totalprice), 2) AS total")
+        nation = self.table("nation").withColumnRenamed("n_nationkey", "c_nationkey")
+        region = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
         return (
-            customer.join(totals, "c_custkey", "left")
-            .join(nation, customer.c_nationkey == nation.n_nationkey, "left")
-            .join(region, nation.n_regionkey == region.r_regionkey, "left")
+            self.table("customer").select("c_custkey", "c_nationkey")
+            .join(totals, "c_custkey", "left").join(nation, "c_nationkey", "left").join(region, "n_regionkey", "left")
             .select("c_custkey", "n_orders", "total", "n_name", "r_name")
         )
 
@@ -137,98 +140,90 @@ class Generic:
         "f_short_range": [CodeRule(0, 7, ranges=(("Brand#3", "Brand#5"),))],
     }
 
+    def coded_lines(self, *columns: str) -> DataFrame:
+        part = self.table("part").selectExpr("p_partkey AS key", *columns)
+        return self.table("lineitem").selectExpr("l_orderkey", "l_partkey AS key").join(part, "key")
+
     def code_flags(self) -> DataFrame:
-        part = self.table("part").select("p_partkey", "p_brand", (F.col("p_size") % 2).alias("version"))
-        lines = self.table("lineitem").select("l_orderkey", "l_partkey")
-        coded = lines.join(part, lines.l_partkey == part.p_partkey)
+        coded = self.coded_lines("p_brand", "p_size % 2 AS version")
         return code_flags(coded, ["l_orderkey"], "p_brand", "version", self.BRAND_RULES)
 
     def weighted_index(self) -> DataFrame:
-        f = F.col
-        return self.code_flags().select(
+        return self.code_flags().selectExpr(
             "l_orderkey",
-            (f("f_prefix") + F.greatest(f("f_list"), 3 * f("f_range")) + F.greatest(2 * f("f_version"), f("f_short_range")))
-            .cast("int").alias("index"),
+            "f_prefix + greatest(f_list, 3 * f_range) + greatest(2 * f_version, f_short_range) AS index",
         )
 
     def text_classifier(self) -> DataFrame:
         rules = [("fastener", ["bolt", "ring"]), ("small tool", [("small", "gizmo"), "small gear"]), ("plain", ["gear", "plate"])]
-        return self.table("part").select("p_partkey", classify_text("p_name", rules, "other").alias("class"))
+        return self.table("part").selectExpr("p_partkey", f"{classify_text('p_name', rules, 'other')} AS class")
 
     def text_max_label(self) -> DataFrame:
-        part = self.table("part").select("p_partkey", "p_name", "p_type")
-        lines = self.table("lineitem").select("l_orderkey", "l_partkey")
-        return lines.join(part, lines.l_partkey == part.p_partkey).groupBy("l_orderkey", "p_type").agg(
-            F.max("p_name").alias("label")
-        )
+        return group(self.coded_lines("p_name", "p_type"), ["l_orderkey", "p_type"], "max(p_name) AS label")
 
     # --- pivots and aggregates -------------------------------------------------------------------
     def union_pivot_rates(self) -> DataFrame:
-        value = F.when((F.col("event_type") == "view") & (F.col("value") < 1), F.col("value") * 60).otherwise(F.col("value"))
-        rates = self.events(*TYPES).groupBy("user_id", "th").agg(
-            *[F.max(F.when(F.col("event_type") == t, value)).alias(f"rate_{t}") for t in TYPES]
-        )
+        value = "CASE WHEN event_type = 'view' AND value < 1 THEN value * 60 ELSE value END"
+        rates = group(self.events(*TYPES), ["user_id", "th"],
+                      *[f"max(CASE WHEN event_type = '{t}' THEN {value} END) AS rate_{t}" for t in TYPES])
         weights = {"rate_error": 1.0, "rate_view": 0.01, "rate_click": 8.33, "rate_purchase": 0.01, "rate_signup": 1.0}
-        return rates.withColumn("rate_total", r6(weighted_sum(weights)))
+        return rates.selectExpr("*", r6(scoring.weighted_sum(weights), "rate_total"))
 
     def sum_by_time(self) -> DataFrame:
-        return self.events("click", "view", "signup").groupBy("user_id", "th").agg(
-            F.round(F.sum("value"), 2).alias("output")
-        )
+        return group(self.events("click", "view", "signup"), ["user_id", "th"], "round(sum(value), 2) AS output")
 
     MEASURES = (
         Measure("error", ("error",), 0, 100),
         Measure("seen", ("view", "signup"), 50, 400),
-        Measure("temp", ("click",), 70, 120, convert=lambda v: (v - 32) / 1.8),
+        Measure("temp", ("click",), 70, 120, convert="({v} - 32) / 1.8D"),
         Measure("temp", ("purchase",), 10, 50, closed_high=True),
     )
 
     def guarded_pivot(self) -> DataFrame:
         wide = guarded_pivot(self.events(), ["user_id", "th"], self.MEASURES, "event_type", "value")
-        return wide.select("user_id", "th", *[r6(c).alias(c) for c in ("error", "seen", "temp")])
+        return wide.selectExpr("user_id", "th", *[r6(c) for c in ("error", "seen", "temp")])
 
     def group_by_measure(self) -> DataFrame:
-        band = F.floor(F.col("value") / 50).cast("long").alias("band")
-        return self.events().groupBy("user_id", F.to_date("ts").alias("day"), "event_type", band).agg(
-            r6(F.avg("value")).alias("mean"), F.count(F.lit(1)).alias("n")
-        )
+        rows = self.table("events").selectExpr(
+            "user_id", "cast(ts AS date) AS day", "event_type", "cast(floor(value / 50) AS bigint) AS band", "value")
+        return group(rows, ["user_id", "day", "event_type", "band"], r6("avg(value)", "mean"), "count(1) AS n")
 
     # --- ordered operators -----------------------------------------------------------------------
     def asof_fallback(self) -> DataFrame:
         def latest(kind: str) -> DataFrame:
-            return self.events(kind).groupBy("user_id", "ts").agg(F.avg("value").alias(kind))
+            return group(self.events(kind), ["user_id", "ts"], f"avg(value) AS {kind}")
 
         probes = self.events("error").select("event_id", "user_id", "ts", "value")
-        found = asof_backward(probes, {"view": latest("view"), "click": latest("click")}, USER, "ts", 48)
-        own = F.when(F.col("value") < 100, F.col("value"))
-        return found.select(
-            "event_id", "user_id", "ts", "view", "click", F.coalesce(own, "view", "click").alias("filled")
+        found = asof_backward(probes, {"view": latest("view"), "click": latest("click")}, USER, "ts", 48,
+                              count_on=self.table("events"))
+        return found.selectExpr(
+            "event_id", "user_id", "ts", "view", "click",
+            "coalesce(CASE WHEN value < 100 THEN value END, view, click) AS filled",
         )
 
     def carry_previous(self) -> DataFrame:
-        rows = self.events().select(
-            "event_id", "user_id", "ts", F.when(F.col("event_type") != "click", F.col("value")).alias("score")
-        )
+        rows = self.table("events").selectExpr(
+            "event_id", "user_id", "ts", "CASE WHEN event_type <> 'click' THEN value END AS score")
         carried = carry_previous(rows, USER, "ts", ["score"], 6, tie=["event_id"])
-        return carried.withColumn("filled", F.coalesce("score", "prev_score", F.lit(6.0)))
+        return carried.selectExpr("*", "coalesce(score, prev_score, 6D) AS filled")
 
     def full_outer_distinct(self) -> DataFrame:
-        clicks = self.events("click").select("user_id", "th", F.floor(F.col("value") / 100).cast("long").alias("click"))
-        views = self.events("view").groupBy("user_id", "th").agg(F.max("value").alias("view"))
+        clicks = self.events("click").selectExpr("user_id", "th", "cast(floor(value / 100) AS bigint) AS click")
+        views = group(self.events("view"), ["user_id", "th"], "max(value) AS view")
         return full_outer_distinct(clicks, views, ["user_id", "th"])
 
     def priority_row_number(self) -> DataFrame:
-        rows = self.events().select("event_id", "user_id", F.to_date("ts").alias("day"), "event_type", "value")
-        order = [F.col("event_type").desc_nulls_last(), F.col("value").asc_nulls_last(), F.col("event_id").desc_nulls_last()]
-        return first_per_key(rows, ["user_id", "day"], order)
+        rows = self.table("events").selectExpr("event_id", "user_id", "cast(ts AS date) AS day", "event_type", "value")
+        return first_per_key(rows, ["user_id", "day"],
+                             "event_type DESC NULLS LAST, value ASC NULLS LAST, event_id DESC NULLS LAST")
 
     def first_service(self) -> DataFrame:
         turns = self.table("conversations").select("conv_id", "turn", "role")
-        return first_per_key(turns, ["conv_id"], [F.col("turn").asc_nulls_first(), F.col("role").asc()])
+        return first_per_key(turns, ["conv_id"], "turn ASC NULLS FIRST, role ASC NULLS LAST")
 
     def distinct_on_first(self) -> DataFrame:
-        rows = self.events().filter("value > 150").select("user_id", "ts", "event_id", "value")
-        return first_per_key(rows, USER, [F.col("ts").asc_nulls_last(), F.col("event_id").asc()])
+        rows = self.table("events").filter("value > 150").select("user_id", "ts", "event_id", "value")
+        return first_per_key(rows, USER, "ts ASC NULLS LAST, event_id ASC")
 
     # --- bins ------------------------------------------------------------------------------------
     def time_spine(self) -> DataFrame:
@@ -236,183 +231,174 @@ class Generic:
 
     def means(self) -> DataFrame:
         """Mean value per type and bin, only bins with events."""
-        aggs = [F.avg(F.when(F.col("event_type") == t, F.col("value"))).alias(t) for t in TYPES]
         events = self.events(*TYPES).select("user_id", "th", "event_type", "value")
-        return bin_aggregate(events, self.stays(), USER, "th", "stay_start", "stay_end", aggs)
+        return bin_aggregate(events, self.stays(), USER, "th", "stay_start", "stay_end",
+                             [f"avg(CASE WHEN event_type = '{t}' THEN value END) AS {t}" for t in TYPES])
 
     def bin_avg(self) -> DataFrame:
-        return self.on_spine(self.means()).select("user_id", "bin_start", *[r6(t).alias(t) for t in TYPES])
-
-    def any_error(self) -> DataFrame:
-        events = self.events("error").select("user_id", "th")
-        return bin_aggregate(events, self.stays(), USER, "th", "stay_start", "stay_end", [F.lit(1).alias("any_error")])
+        return self.on_spine(self.means()).selectExpr("user_id", "bin_start", *[r6(t) for t in TYPES])
 
     def bin_any_flag(self) -> DataFrame:
-        return self.on_spine(self.any_error()).select("user_id", "bin_start", F.coalesce("any_error", F.lit(0)).alias("any_error"))
+        events = self.events("error").select("user_id", "th")
+        flags = bin_aggregate(events, self.stays(), USER, "th", "stay_start", "stay_end", ["max(1) AS any_error"])
+        return self.on_spine(flags).selectExpr("user_id", "bin_start", "coalesce(any_error, 0) AS any_error")
 
-    def labels(self) -> DataFrame:
+    def bin_distinct_list(self) -> DataFrame:
         """Sorted distinct types per bin; duplicates go first, so a list is as long as the vocabulary at most."""
-        events = self.events("error", "signup", "purchase").select("user_id", "th", "event_type")
+        events = self.events(*LOOKBACK).select("user_id", "th", "event_type")
         binned = assign_bins(events, self.stays(), USER, "th", "stay_start", "stay_end")
-        return binned.select(*BIN, "event_type").distinct().groupBy(*BIN).agg(
-            F.array_join(F.sort_array(F.collect_list("event_type")), ", ").alias("labels")
-        )
-
-    def bin_distinct_list(self) -> DataFrame:
-        return self.on_spine(self.labels()).select("user_id", "bin_start", "labels")
+        labels = group(binned.select(*BIN, "event_type").distinct(), BIN,
+                       "listagg(event_type, ', ') WITHIN GROUP (ORDER BY event_type) AS labels")
+        return self.on_spine(labels).select("user_id", "bin_start", "labels")
 
     def intervals(self, *types: str) -> DataFrame:
         """Event as interval of 0–29 hours; every tenth has no end."""
-        hours = (F.floor("value").cast("long") % 30) * F.expr("INTERVAL '1' HOUR")
-        stop = F.when(F.col("event_id") % 10 != 0, F.col("th") + hours)
-        return self.events(*types).select("event_id", "user_id", "event_type", "th", stop.alias("stop"))
+        stop = "CASE WHEN event_id % 10 <> 0 THEN th + (cast(floor(value) AS bigint) % 30) * INTERVAL '1' HOUR END"
+        return self.events(*types).selectExpr("user_id", "event_type", "th", f"{stop} AS stop")
 
     def overlaps(self) -> DataFrame:
-        spans = self.intervals("purchase").groupBy("user_id", "th").agg(F.max("stop").alias("stop"))
-        hits = overlapped_bins(spans, self.stays(), USER, "th", "stop", "stay_start", "stay_end")
-        return hits.groupBy(*BIN).agg(F.lit(1).alias("overlap"))
+        """Bins that any purchase interval touches; of equal starts only the longest interval matters."""
+        events = self.intervals("purchase")
+        spans = group(events, ["user_id", "th"], "max(stop) AS stop")
+        hits = overlapped_bins(spans, self.stays(), USER, "th", "stop", "stay_start", "stay_end", count_on=events)
+        return group(hits, BIN, "max(1) AS overlap")
 
     def interval_overlap_flag(self) -> DataFrame:
-        return self.on_spine(self.overlaps()).select("user_id", "bin_start", F.coalesce("overlap", F.lit(0)).alias("overlap"))
-
-    LOOKBACK = ("error", "purchase", "signup")
+        return self.on_spine(self.overlaps()).selectExpr("user_id", "bin_start", "coalesce(overlap, 0) AS overlap")
 
-    def lookbacks(self, still_active: bool) -> DataFrame:
-        spans = self.intervals(*self.LOOKBACK).drop("event_id")
-        until = F.coalesce("stop", plus_hours("th", 1)) if still_active else None
-        hits = lookback_bins(spans, self.stays(), USER, "th", "stay_start", "stay_end", until)
-        return hits.groupBy(*BIN).agg(
-            *[F.max(F.when(F.col("event_type") == t, 1).otherwise(0)).alias(f"{t}_24h") for t in self.LOOKBACK]
-        )
-
-    def _flags(self, features: DataFrame) -> DataFrame:
-        names = [f"{t}_24h" for t in self.LOOKBACK]
-        return self.on_spine(features).select("user_id", "bin_start", *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
+    def lookbacks(self, active_until: str | None) -> DataFrame:
+        hits = lookback_bins(self.intervals(*LOOKBACK), self.stays(), USER, "th", "stay_start", "stay_end", active_until)
+        flags = group(hits, BIN, *[f"max(CASE WHEN event_type = '{t}' THEN 1 END) AS {t}_24h" for t in LOOKBACK])
+        return self.on_spine(flags).selectExpr(
+            "user_id", "bin_start", *[f"coalesce({t}_24h, 0) AS {t}_24h" for t in LOOKBACK])
 
     def lookback_flags(self) -> DataFrame:
-        return self._flags(self.lookbacks(False))
+        return self.lookbacks(None)
 
     def lookback_still_active(self) -> DataFrame:
-        return self._flags(self.lookbacks(True))
+        return self.lookbacks(f"coalesce(stop, {plus_hours('th', 1)})")
+
+    def features(self) -> DataFrame:
+        """Means, any-flag, label list and look-back flags of every bin: one scan, one join, one aggregate."""
+        events = self.events(*TYPES).select("user_id", "th", "event_type", "value")
+        hits = bins_with_lookback(events, self.stays(), USER, "th", "stay_start", "stay_end")
+        wide = group(
+            hits, BIN,
+            *[f"avg(CASE WHEN in_bin AND event_type = '{t}' THEN value END) AS {t}" for t in TYPES],
+            *[f"max(CASE WHEN NOT in_bin AND event_type = '{t}' THEN 1 END) AS {t}_24h" for t in LOOKBACK],
+        )
+        present = ", ".join(f"CASE WHEN {t} IS NOT NULL THEN '{t}' END" for t in sorted(LOOKBACK))
+        return wide.selectExpr(
+            "*", "CASE WHEN error IS NOT NULL THEN 1 END AS any_error", f"nullif(concat_ws(', ', {present}), '') AS labels")
+
+    FLAGS = ("any_error", "overlap", "error_24h", "purchase_24h", "signup_24h")
 
-    def all_flags(self) -> DataFrame:
-        """Spine with every flag; the feature frames share its partitioning on (user_id, bin_index)."""
-        names = ["any_error", "overlap", *[f"{t}_24h" for t in self.LOOKBACK]]
-        rows = self.spine()
-        for features in (self.any_error(), self.overlaps(), self.lookbacks(False), self.labels()):
-            rows = rows.join(features, BIN, "left")
-        return rows.withColumns({n: F.coalesce(n, F.lit(0)) for n in names})
+    def binned(self) -> DataFrame:
+        """Spine with every feature; all three frames are partitioned by (user_id, bin_index)."""
+        rows = self.on_spine(self.features()).join(self.overlaps(), BIN, "left")
+        return rows.selectExpr("user_id", "bin_start", *TYPES, "labels", *[f"coalesce({n}, 0) AS {n}" for n in self.FLAGS])
 
     def flag_union_join(self) -> DataFrame:
-        return self.all_flags().drop("bin_index")
+        return self.binned().select("user_id", "bin_start", *self.FLAGS, "labels")
 
     # --- episodes --------------------------------------------------------------------------------
+    def runs(self, keep: list[str] | None = None) -> DataFrame:
+        rows = self.table("events").select("user_id", "ts", "event_type")
+        return state_episodes(rows, USER, "ts", "event_type", keep=keep)
+
     def state_episodes(self) -> DataFrame:
-        rows = self.events().select("user_id", "ts", "event_type")
-        return state_episodes(rows, USER, "ts", "event_type")
+        return self.runs()
 
-    def episodes(self) -> DataFrame:
+    def episodes(self, stays: DataFrame) -> DataFrame:
         """View episodes that start inside the stay, with their descriptors."""
-        found = state_episodes(self.events().select("user_id", "ts", "event_type"), USER, "ts", "event_type", keep=["view"])
-        inside = found.join(self.stays(), "user_id").filter("starttime BETWEEN stay_start AND stay_end")
-        return episode_features(inside, USER)
+        inside = self.runs(["view"]).drop("event_type").join(stays, "user_id")
+        return episode_features(inside.filter("starttime BETWEEN stay_start AND stay_end"), USER)
 
     def episode_features(self) -> DataFrame:
-        return self.episodes().drop("event_type")
+        return self.episodes(self.stays())
 
     def episode_bins(self) -> DataFrame:
-        episodes = self.episodes().select("user_id", "starttime", "endtime", "num_event")
-        return overlapped_bins(episodes, self.stays(), USER, "starttime", "endtime", "stay_start", "stay_end",
-                               reach_minutes=239).select(*BIN, "starttime", "endtime", "num_event")
+        stays = self.stays()
+        episodes = self.episodes(stays).select("user_id", "starttime", "endtime", "num_event")
+        return overlapped_bins(episodes, stays, USER, "starttime", "endtime", "stay_start", "stay_end",
+                               reach_minutes=239, count_on=self.table("events")).select(*BIN, "starttime", "endtime", "num_event")
 
     def episode_bin_overlap(self) -> DataFrame:
         return self.on_spine(self.episode_bins()).select("user_id", "bin_start", "starttime", "endtime", "num_event")
 
     def rule_cascade_flag(self) -> DataFrame:
         rows = self.on_spine(self.means()).join(self.episode_bins(), BIN, "left")
-        present = F.col("starttime").isNotNull()
-        complete = F.col("error").isNotNull() & F.col("view").isNotNull() & F.col("click").isNotNull()
-        flag = (
-            F.when(present & complete, 1)
-            .when(present & ~complete & (F.col("num_event") == 1), 1)
-            .when(present & (F.col("num_event") > 1) & F.coalesce("error", "click").isNotNull() & F.col("view").isNotNull(), 1)
-            .otherwise(0)
-        )
-        return rows.select("user_id", "bin_start", "starttime", flag.alias("active"))
+        incomplete = "(error IS NULL OR view IS NULL OR click IS NULL)"
+        flag = f"""CASE WHEN starttime IS NULL THEN 0
+            WHEN NOT {incomplete} THEN 1
+            WHEN {incomplete} AND num_event = 1 THEN 1
+            WHEN num_event > 1 AND coalesce(error, click) IS NOT NULL AND view IS NOT NULL THEN 1
+            ELSE 0 END"""
+        return rows.selectExpr("user_id", "bin_start", "starttime", f"{flag} AS active")
 
     # --- wide table and scores -------------------------------------------------------------------
-    def totals(self) -> DataFrame:
-        return self.events().groupBy("user_id").agg(
-            F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value")
-        )
-
     def wide(self) -> DataFrame:
-        binned = self.all_flags().join(self.means(), BIN, "left")
-        # AQE splits the users with many bins; nothing after this join needs its partitioning
-        return self.totals().join(binned, "user_id", "right").withColumn(
-            "ratio", scoring.safe_ratio("purchase", "view", 100.0)
-        )
+        totals = group(self.table("events"), USER, "count(1) AS n_events", "round(sum(value), 2) AS total_value")
+        # AQE splits users with many bins: nothing after this join needs its partitioning
+        return totals.join(self.binned(), "user_id", "right").selectExpr(
+            "*", f"{scoring.safe_ratio('purchase', 'view', 100.0)} AS ratio")
 
     def wide_bin_table(self) -> DataFrame:
-        rounded = {c: r6(c) for c in (*TYPES, "ratio")}
-        return self.wide().withColumns(rounded).drop("bin_index")
-
-    def daily(self) -> DataFrame:
-        per_day = self.wide().groupBy("user_id", F.to_date("bin_start").alias("day")).agg(
-            F.max("ratio").alias("ratio"), F.min("error").alias("error"), F.max("click").alias("click"),
-            F.min("signup").alias("signup"), F.sum("view").alias("view"),
-        )
+        rounded = (*TYPES, "ratio")
+        wide = self.wide()
+        return wide.selectExpr(*[r6(c) if c in rounded else c for c in wide.columns])
+
+    def daily(self, wide: DataFrame) -> DataFrame:
+        per_day = group(wide.selectExpr("*", "cast(bin_start AS date) AS day"), ["user_id", "day"],
+                        "max(ratio) AS ratio", "min(error) AS error", "max(click) AS click", "min(signup) AS signup",
+                        "sum(view) AS view")
         scores = {
             "s_ratio": scoring.band_score("ratio", [("<", 50, 4), ("<", 100, 3), ("<", 200, 2), ("<", 400, 1)], 0),
             "s_error": scoring.band_score("error", [(">=", 300, 4), (">=", 150, 2), (">=", 40, 1)], 0),
             "s_signup": scoring.rule_score(
-                [(F.col("signup").between(130, 140), 1), (F.col("signup").between(60, 129), 2), (F.col("signup") < 60, 4)],
-                0, present="signup"),
+                [("signup BETWEEN 130 AND 140", 1), ("signup BETWEEN 60 AND 129", 2), ("signup < 60", 4)], 0, present="signup"),
             "s_view": scoring.rule_score(
-                [(F.col("click") >= 300, 4), (F.col("view") < 50, 4), (F.col("click") >= 100, 2), (F.col("view") < 200, 1),
-                 (F.coalesce("view", "click").isNull(), None)], 0),
+                [("click >= 300", 4), ("view < 50", 4), ("click >= 100", 2), ("view < 200", 1),
+                 ("coalesce(view, click) IS NULL", None)], 0),
         }
-        scored = per_day.withColumns(scores)
-        names = list(scores)
-        return scored.withColumns({"total": scoring.score_total(names).cast("int"), "missing_pct": scoring.missing_pct(names)})
+        scored = per_day.selectExpr("*", *[f"{sql} AS {n}" for n, sql in scores.items()])
+        return scored.selectExpr(
+            "*", f"{scoring.score_total(list(scores))} AS total", f"{scoring.missing_pct(list(scores))} AS missing_pct")
 
     def daily_scores(self) -> DataFrame:
-        return self.daily().withColumns({c: r6(c) for c in ("ratio", "error", "click", "signup", "view")})
+        daily = self.daily(self.wide())
+        rounded = ("ratio", "error", "click", "signup", "view")
+        return daily.selectExpr(*[r6(c) if c in rounded else c for c in daily.columns])
 
-    def stay(self) -> DataFrame:
-        ends = [f(c).alias(f"{c}_{n}") for c in ("error", "click", "signup", "view")
-                for n, f in (("min", F.min), ("max", F.max))]
-        per_user = self.wide().groupBy("user_id").agg(*ends, F.sum("purchase").alias("purchase"))
+    def stay_scores(self) -> DataFrame:
+        per_user = group(self.wide(), USER, *[f"{f}({c}) AS {c}_{f}" for c in ("error", "click", "signup", "view") for f in ("min", "max")],
+                         "sum(purchase) AS purchase")
         scores = {
-            "p_error": scoring.two_sided_score("error_min", "error_max", [("min", "<", 5, 11), ("max", ">=", 480, 7), ("max", ">=", 300, 4), ("min", "<", 20, 2)], (20, 300)),
-            "p_click": scoring.two_sided_score("click_min", "click_max", [("min", "<", 10, 13), ("min", "<", 30, 5), ("max", ">=", 400, 2)], (30, 400)),
+            "p_error": scoring.two_sided_score(
+                "error_min", "error_max",
+                [("min", "<", 5, 11), ("max", ">=", 480, 7), ("max", ">=", 300, 4), ("min", "<", 20, 2)], (20, 300)),
+            "p_click": scoring.two_sided_score(
+                "click_min", "click_max", [("min", "<", 10, 13), ("min", "<", 30, 5), ("max", ">=", 400, 2)], (30, 400)),
             "p_signup": scoring.band_score("signup_max", [("<", 100, 0), ("<", 300, 4), (">=", 300, 9)]),
             "p_view": scoring.band_score("view_min", [("<", 3, None), ("<", 6, 26), ("<", 20, 13), (">=", 20, 0)]),
             "p_purchase": scoring.band_score("purchase", [("<", 500, 11), ("<", 1000, 4), (">=", 1000, 0)]),
         }
-        scored = per_user.withColumns(scores)
-        names = list(scores)
-        return scored.select(
-            "user_id", *names, scoring.score_total(names).cast("int").alias("total"), scoring.missing_pct(names).alias("missing_pct")
-        )
-
-    def stay_scores(self) -> DataFrame:
-        return self.stay()
+        scored = per_user.selectExpr("user_id", *[f"{sql} AS {n}" for n, sql in scores.items()])
+        return scored.selectExpr(
+            "*", f"{scoring.score_total(list(scores))} AS total", f"{scoring.missing_pct(list(scores))} AS missing_pct")
 
     def logistic_risk(self) -> DataFrame:
-        return self.stay().select("user_id", "total", r6(scoring.logistic_risk("total")).alias("risk"))
+        return self.stay_scores().selectExpr("user_id", "total", r6(scoring.logistic_risk("total"), "risk"))
 
     def date_key_join(self) -> DataFrame:
-        bins = self.all_flags().select("user_id", "bin_start", "any_error", F.to_date("bin_start").alias("day"))
-        daily = self.daily().select("user_id", "day", "total", "missing_pct")
-        return bins.join(daily, ["user_id", "day"])
+        wide = materialize(self.wide(), "wide")
+        bins = wide.selectExpr("user_id", "bin_start", "any_error", "cast(bin_start AS date) AS day")
+        return bins.join(self.daily(wide).select("user_id", "day", "total", "missing_pct"), ["user_id", "day"])
 
     def final_semi_filter(self) -> DataFrame:
-        rows = self.all_flags().join(self.means(), BIN, "left").select("user_id", "bin_start", "overlap", r6("signup").alias("signup"))
-        return keep_groups(
-            rows, "user_id", F.expr("_flag > 0 AND _seen IS NOT NULL AND _seen > 400"),
-            [F.max("overlap").alias("_flag"), F.max("signup").alias("_seen")],
-        )
+        rows = materialize(self.binned().selectExpr("user_id", "bin_start", "overlap", r6("signup")), "binned")
+        return keep_groups(rows, "user_id", "_flag > 0 AND _seen IS NOT NULL AND _seen > 150",
+                           ["max(overlap) AS _flag", "max(signup) AS _seen"])
 
 
 QUERIES = (

@@ -21,8 +21,15 @@ class Sources:
         self.root = root
         self.catalog = catalog or {}
         self.frames = frames or {}
+        self._open: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        """The table, opened once per registry (opening reads the Parquet footer)."""
+        if name not in self._open:
+            self._open[name] = self._find(name)
+        return self._open[name]
+
+    def _find(self, name: str) -> DataFrame:
         if name in self.frames:
             df = self.frames[name]
         elif name in self.catalog:
