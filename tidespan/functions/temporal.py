@@ -6,6 +6,8 @@ floating point. The session time zone must be UTC (``tidespan.session`` sets it)
 
 from __future__ import annotations
 
+from tidespan.functions.rounding import round_half_up
+
 SECOND = 1_000_000
 HOUR = 3600 * SECOND
 DAY = 24 * HOUR
@@ -43,12 +45,12 @@ def age_at(anchor_age: str, anchor_year: str, at: str) -> str:
     """Age in years: the anchor age plus the time since 1 January of the anchor year, two decimals."""
     new_year = f"make_timestamp_ntz({anchor_year}, 1, 1, 0, 0, 0)"
     # fixed value: seconds per year
-    return f"round({anchor_age} + {seconds_between(at, new_year)} / 31556908.8D, 2)"
+    return round_half_up(f"{anchor_age} + {seconds_between(at, new_year)} / 31556908.8D")
 
 
 def days_between(later: str, earlier: str, digits: int = 2) -> str:
     """Length of a stay in days."""
-    return f"round({seconds_between(later, earlier)} / 86400D, {digits})"
+    return round_half_up(f"{seconds_between(later, earlier)} / 86400D", digits)
 
 
 def died_within(died: str, admitted: str, days: int) -> str:

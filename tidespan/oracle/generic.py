@@ -123,10 +123,10 @@ FINALS = {
         WHEN o_orderpriority = '5-LOW' THEN 'intensiveCare' END AS category FROM orders""",
     "text_flag_by_subject": """SELECT c_custkey, max(CASE WHEN o_orderkey IS NULL THEN NULL WHEN o_orderpriority LIKE '%URGENT%' THEN 1 ELSE 0 END) AS urgent
         FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey""",
-    "stay_outcomes": """SELECT o_orderkey, round(epoch(l_shipdate - o_orderdate) / 86400, 2) AS los_day,
+    "stay_outcomes": """SELECT o_orderkey, CAST(round(CAST(epoch(l_shipdate - o_orderdate) / 86400 AS DECIMAL(38, 10)), 2) AS DOUBLE) AS los_day,
         CASE WHEN l_shipdate < o_orderdate + INTERVAL 28 DAY THEN 1 ELSE 0 END AS within28,
         CASE WHEN l_shipdate < o_orderdate + INTERVAL 90 DAY THEN 1 ELSE 0 END AS within90,
-        round(round(l_linenumber + 20 + epoch(o_orderdate - TIMESTAMP '1995-01-01') / 31556908.8, 2)) AS age
+        round(CAST(round(CAST(l_linenumber + 20 + epoch(o_orderdate - TIMESTAMP '1995-01-01') / 31556908.8::DOUBLE AS DECIMAL(38, 10)), 2) AS DOUBLE)) AS age
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
     "cohort_first_stay": """SELECT * FROM (SELECT o_custkey, o_orderkey, o_orderdate, l_shipdate,
         dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST) AS hospstay_seq,

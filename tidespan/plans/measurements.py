@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidespan.functions.rounding import round_half_up
 from tidespan.functions.text import in_list
 from tidespan.operators.asof import asof_backward, carry_previous
 from tidespan.operators.bins import bin_aggregate
@@ -104,7 +105,7 @@ def vital_signs(chartevents: DataFrame) -> DataFrame:
     # means of doubles round half to even
     return carried.selectExpr(
         *keys, f"cast({score} AS double) AS gcs",
-        *[f"round({n}, 2) AS {n}" if n == "tempc" else f"rint({n}) AS {n}" for n in VITAL_COLUMNS],
+        *[f"{round_half_up(n)} AS {n}" if n == "tempc" else f"rint({n}) AS {n}" for n in VITAL_COLUMNS],
     )
 
 
@@ -125,7 +126,7 @@ def urine_bins(urine: DataFrame, stays: DataFrame, how: str = "avg") -> DataFram
 def vital_bins(vitals: DataFrame, stays: DataFrame) -> DataFrame:
     aggs = ["rint(avg(gcs)) AS gcs"]
     for c in VITAL_COLUMNS:
-        aggs.append({"tempc": "round(max(tempc), 2) AS tempc", "spo2": "avg(spo2) AS spo2"}.get(c, f"rint(avg({c})) AS {c}"))
+        aggs.append({"tempc": f"{round_half_up('max(tempc)')} AS tempc", "spo2": "avg(spo2) AS spo2"}.get(c, f"rint(avg({c})) AS {c}"))
     return _binned(vitals, stays, STAY_KEYS, "charttime", aggs)
 
 

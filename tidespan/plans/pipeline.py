@@ -13,6 +13,7 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 
+from tidespan.functions.rounding import round_half_up
 from tidespan.functions.scoring import safe_ratio
 from tidespan.operators.outer import keep_groups
 from tidespan.operators.spine import time_spine
@@ -217,7 +218,7 @@ class Pipeline:
         ]
         rows = reduce(lambda left, right: left.join(right, BIN, "left"), features, self._treated_bins(self.spine(of), of))
         return rows.join(self.alldemocohort(), KEYS[:3], "left").selectExpr(
-            "*", f"round({safe_ratio('heartrate', 'sysbp')}, 2) AS shock_index",
+            "*", f"{round_half_up(safe_ratio('heartrate', 'sysbp'))} AS shock_index",
             f"{safe_ratio(self.options.ratio_numerator, 'fio2', 100.0)} AS pao2fio2ratio",
         ).select(*WIDE)
 

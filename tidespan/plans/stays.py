@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidespan.functions import scoring
+from tidespan.functions.rounding import round_half_up
 from tidespan.functions.temporal import age_at, days_between, died_within, micros, plus_hours
 from tidespan.functions.text import first_match, in_list, quote
 from tidespan.operators.bins import events_in_window
@@ -62,7 +63,7 @@ def body_size(stays: DataFrame, height: DataFrame, weight_durations: DataFrame)
     """Mean height around admission, mean admission weight up to the first day, and the body-mass index."""
     keys = ["subject_id", "stay_id"]
     measured = events_in_window(height, stays, ["stay_id"], "charttime", plus_hours("icu_intime", -6), plus_hours("icu_intime", 24))
-    heights = measured.groupBy(*keys).agg(F.expr("round(avg(height), 2) AS height"))
+    heights = measured.groupBy(*keys).agg(F.expr(f"{round_half_up('avg(height)')} AS height"))
     admitted = weight_durations.filter("weight_type = 'admit'").select("stay_id", "starttime", "weight")
     weights = (
         salted_join(admitted, stays.select(*keys, "icu_intime"), ["stay_id"])
@@ -71,7 +72,7 @@ def body_size(stays: DataFrame, height: DataFrame, weight_durations: DataFrame)
     )
     sized = stays.select(*keys).join(weights, keys, "left").join(heights, keys, "left")
     return sized.selectExpr(
-        *keys, "weight", "height", f"round({scoring.safe_ratio('weight', 'pow(height / 100, 2)')}, 2) AS bmi"
+        *keys, "weight", "height", f"{round_half_up(scoring.safe_ratio('weight', 'pow(height / 100, 2)'))} AS bmi"
     )
 
 
