@@ -29,8 +29,9 @@ def demographics(patients: DataFrame, admissions: DataFrame, icustays: DataFrame
         F.expr(f"max(CASE WHEN value LIKE {quote(rules.DNR_TEXT)} THEN 1 ELSE 0 END) AS dnr")
     )
     stays = icustays.join(admissions.withColumnRenamed("subject_id", "adm_subject_id"), "hadm_id").join(patients, "subject_id")
-    ranked = dense_rank_by_time(stays, ["adm_subject_id"], "admittime", "hospstay_seq")
-    ranked = dense_rank_by_time(ranked, ["hadm_id"], "intime", "icustay_seq")
+    ranked = dense_rank_by_time(stays, ["adm_subject_id"], "admittime", "hospstay_seq",
+                                count_on=icustays.withColumnRenamed("subject_id", "adm_subject_id"))
+    ranked = dense_rank_by_time(ranked, ["hadm_id"], "intime", "icustay_seq", count_on=icustays)
     kind = first_match([(in_list("admission_type", types), label) for label, types in rules.ADMISSION_TYPES])
     rows = ranked.selectExpr(
         "subject_id", "hadm_id", "stay_id", "gender",

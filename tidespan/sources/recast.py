@@ -302,7 +302,7 @@ class _Lazy(dict):
 def _spark_table(spark: SparkSession, base: DataFrame, name: str):
     spec = SPECS[name]
     if isinstance(spec, Dictionary):
-        return lambda: spark.createDataFrame(spec.rows, struct(CLINICAL[name]))
+        return lambda: spark.sql(_values(spec))
     if isinstance(spec, Grouped):
         return lambda: base.groupBy(*spec.keys).agg(*[F.expr(_spark(f"{sql} AS {c}")) for c, sql in spec.columns.items()])
     each = [
@@ -317,6 +317,12 @@ def _spark_table(spark: SparkSession, base: DataFrame, name: str):
     )
 
 
+def _values(spec: Dictionary) -> str:
+    """A dictionary as an inline table."""
+    rows = ", ".join("(" + ", ".join("NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v) for v in r) + ")" for r in spec.rows)
+    return f"SELECT * FROM (VALUES {rows}) AS t({', '.join(spec.names)})"
+
+
 def _spark(sql: str) -> str:
     return sql.replace("VARCHAR(60)", "STRING")
 
@@ -332,8 +338,7 @@ def oracle_tables() -> dict[str, str]:
     out = {"base": f"SELECT *, {STAY_ID} AS stay_id FROM (SELECT {base} FROM events)"}
     for name, spec in SPECS.items():
         if isinstance(spec, Dictionary):
-            rows = ", ".join("(" + ", ".join("NULL" if v is None else repr(v) if isinstance(v, str) else str(v) for v in r) + ")" for r in spec.rows)
-            out[name] = f"SELECT * FROM (VALUES {rows}) AS t({', '.join(spec.names)})"
+            out[name] = _values(spec)
         elif isinstance(spec, Grouped):
             columns = [f"{k}" for k in spec.keys] + [f"{_typed(name, c, sql, spark=False)} AS {c}" for c, sql in spec.columns.items()]
             out[name] = f"SELECT {', '.join(columns)} FROM base GROUP BY {', '.join(spec.keys)}"
