@@ -26,10 +26,11 @@ def events(spark, tiny):
 
 def test_heavy_keys_are_found(events):
     assert hot_keys(events, ["user_id"], 300).count() == 1
-    chunked = time_chunks(events, ["user_id"], "ts", 300, 3600)
-    assert chunked.filter("_hot").select("user_id").distinct().count() == 1
-    assert chunked.filter("_hot").groupBy("_chunk").count().agg({"count": "max"}).first()[0] < 10
-    assert chunked.filter("NOT _hot").select("_chunk").distinct().count() == 1
+    every, heavy = time_chunks(events, ["user_id"], "ts", 300, 3600)
+    assert heavy.select("user_id").distinct().count() == 1
+    assert heavy.groupBy("_chunk").count().agg({"count": "max"}).first()[0] < 10
+    assert every.count() == events.count()
+    assert every.filter("_chunk = 0").count() == events.count() - heavy.count()
 
 
 def test_asof(events):

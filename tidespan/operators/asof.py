@@ -25,12 +25,12 @@ def asof_backward(probes: DataFrame, sources: dict[str, DataFrame], by: Sequence
         (value,) = [c for c in source.columns if c not in (*by, time)]
         rows = source.selectExpr(*by, time, f"struct({time} AS at, {value} AS v) AS _r_{name}", "0 AS _probe")
         merged = merged.unionByName(rows, allowMissingColumns=True)
-    chunked = time_chunks(merged, by, time, hot_rows, chunk_seconds, count_on)
+    every, heavy = time_chunks(merged, by, time, hot_rows, chunk_seconds, count_on)
     upto = (f"(PARTITION BY {', '.join(by)}, _chunk ORDER BY {time}, _probe "
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-    seen = chunked.selectExpr("*", *[f"last(_r_{n}, true) OVER {upto} AS _s_{n}" for n in sources])
+    seen = every.selectExpr("*", *[f"last(_r_{n}, true) OVER {upto} AS _s_{n}" for n in sources])
     carried = chunk_carry(
-        chunked, by, [f"max(_r_{n}) AS _c_{n}" for n in sources], [f"{last_before(f'_c_{n}')} AS _c_{n}" for n in sources]
+        heavy, by, [f"max(_r_{n}) AS _c_{n}" for n in sources], [f"{last_before(f'_c_{n}')} AS _c_{n}" for n in sources]
     )
     joined = seen.filter("_probe = 1").join(carried, [*by, "_chunk"], "left")
     limit = round(tolerance_hours * 3600 * SECOND)
@@ -52,12 +52,11 @@ def carry_previous(df: DataFrame, keys: Sequence[str], time: str, columns: Seque
     keys = list(keys)
     order = [time, *tie]
     row = "struct(" + ", ".join([f"{time} AS at", *tie, *columns]) + ")"
-    chunked = time_chunks(df, keys, time, hot_rows, chunk_seconds, count_on).selectExpr(
-        "*", f"CASE WHEN {only or 'true'} THEN {row} END AS _row"
-    )
+    candidate = f"CASE WHEN {only or 'true'} THEN {row} END"
+    every, heavy = time_chunks(df, keys, time, hot_rows, chunk_seconds, count_on)
     window = f"(PARTITION BY {', '.join(keys)}, _chunk ORDER BY {', '.join(order)} {BEFORE})"
-    seen = chunked.selectExpr("*", f"last(_row, true) OVER {window} AS _prev")
-    carried = chunk_carry(chunked, keys, ["max(_row) AS _last"], [f"{last_before('_last')} AS _carried"])
+    seen = every.selectExpr("*", f"{candidate} AS _row").selectExpr("*", f"last(_row, true) OVER {window} AS _prev")
+    carried = chunk_carry(heavy, keys, [f"max({candidate}) AS _last"], [f"{last_before('_last')} AS _carried"])
     joined = seen.join(carried, [*keys, "_chunk"], "left").selectExpr(*df.columns, "coalesce(_prev, _carried) AS _p")
     recent = f"{micros(time)} - {micros('_p.at')} < {round(limit_hours * 3600 * SECOND)}L"
     return joined.selectExpr(*df.columns, *[f"CASE WHEN {recent} THEN _p.{c} END AS prev_{c}" for c in columns])

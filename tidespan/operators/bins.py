@@ -5,8 +5,8 @@ numbers an event belongs to are computed by integer arithmetic, so the work is l
 what follows is a hash aggregation with map-side combine on ``(stay, bin_index)``.
 
 Joining events to their stay would put all events of one stay in one task. Point events are therefore
-joined on ``(key, calendar day)``, with the stay repeated once per day it covers; AQE may split a heavy day
-further, because the aggregation that follows needs a different partitioning anyway. Intervals have no
+joined on ``(key, calendar day)``, with the stay repeated once per day it covers; AQE may split a heavy
+day further, because the aggregation that follows needs a different partitioning anyway. Intervals have no
 single day and use ``salted_join``.
 """
 
@@ -23,21 +23,23 @@ from tidespan.operators.spine import STEP_HOURS
 
 
 def events_in_window(events: DataFrame, stays: DataFrame, keys: Sequence[str], time: str, low: str,
-                     high: str) -> DataFrame:
+                     high: str, slice_hours: int = 24) -> DataFrame:
     """Inner join of events with the stay windows ``[low, high]`` that hold them (both ends included).
 
-    ``low`` and ``high`` are expressions over the columns of ``stays``. The result also has ``_t`` and
-    ``_low``, the event time and the window start in microseconds.
+    ``low`` and ``high`` are expressions over the columns of ``stays``. A window is repeated once per slice of
+    ``slice_hours`` it covers, so wide windows with few events want longer slices. The result also has
+    ``_t``, ``_low`` and ``_high``, the event time and the window bounds in microseconds.
     """
     keys = list(keys)
-    sliced_events = events.selectExpr("*", f"{micros(time)} AS _t").selectExpr("*", f"{floor_div('_t', DAY)} AS _day")
+    width = slice_hours * HOUR
+    sliced_events = events.selectExpr("*", f"{micros(time)} AS _t").selectExpr("*", f"{floor_div('_t', width)} AS _slice")
     sliced_stays = (
         stays.selectExpr("*", f"{micros(low)} AS _low", f"{micros(high)} AS _high")
         .filter("_low <= _high")
-        .selectExpr("*", f"explode(sequence({floor_div('_low', DAY)}, {floor_div('_high', DAY)})) AS _day")
+        .selectExpr("*", f"explode(sequence({floor_div('_low', width)}, {floor_div('_high', width)})) AS _slice")
     )
-    joined = sliced_events.join(sliced_stays, [*keys, "_day"])
-    return joined.filter("_t >= _low AND _t <= _high").drop("_day")
+    joined = sliced_events.join(sliced_stays, [*keys, "_slice"])
+    return joined.filter("_t >= _low AND _t <= _high").drop("_slice")
 
 
 def _own_bins(step: int, closed: str) -> tuple[str, str]:

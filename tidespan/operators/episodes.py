@@ -36,24 +36,28 @@ def state_episodes(df: DataFrame, keys: Sequence[str], time: str, state: str, ke
     """
     keys = list(keys)
     key_list = ", ".join(keys)
-    chunked = time_chunks(df.filter(f"{state} IS NOT NULL"), keys, time, hot_rows, chunk_seconds, count_on)
+    every, heavy = time_chunks(df.filter(f"{state} IS NOT NULL"), keys, time, hot_rows, chunk_seconds, count_on)
     piece = f"PARTITION BY {key_list}, _chunk ORDER BY {time} NULLS FIRST"
     ordered = ", ".join([piece, state, *tie])
     gap = "" if max_gap_hours is None else f" OR {micros(time)} - {micros('_lag_t')} > {round(max_gap_hours * HOUR)}L"
-    flagged = chunked.selectExpr(
-        "*",
-        f"lag({state}) OVER ({ordered}) AS _lag",
-        f"lag({time}) OVER ({ordered}) AS _lag_t",
-        f"lead({time}) OVER ({ordered}) AS _lead_t",
-    ).selectExpr("*", f"CASE WHEN _lag IS NULL OR _lag <> {state}{gap} THEN 1 ELSE 0 END AS _new")
+
+    def flagged(rows: DataFrame) -> DataFrame:
+        """Neighbours inside the chunk, and whether a run begins here."""
+        return rows.selectExpr(
+            "*",
+            f"lag({state}) OVER ({ordered}) AS _lag",
+            f"lag({time}) OVER ({ordered}) AS _lag_t",
+            f"lead({time}) OVER ({ordered}) AS _lead_t",
+        ).selectExpr("*", f"CASE WHEN _lag IS NULL OR _lag <> {state}{gap} THEN 1 ELSE 0 END AS _new")
+
     # the default frame of a running sum: rows of equal time share the number
-    numbered = flagged.selectExpr("*", f"sum(_new) OVER ({piece}) AS _seq")
+    numbered = flagged(every).selectExpr("*", f"sum(_new) OVER ({piece}) AS _seq")
 
     near = "" if max_gap_hours is None else (
         f" AND {micros('_first_t')} - {micros(previous('_last_t'))} <= {round(max_gap_hours * HOUR)}L"
     )
     links = chunk_carry(
-        numbered,
+        flagged(heavy),
         keys,
         [
             "sum(_new) AS _n",

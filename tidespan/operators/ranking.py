@@ -23,12 +23,13 @@ def dense_rank_by_time(df: DataFrame, keys: Sequence[str], time: str, name: str,
                        chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> DataFrame:
     """``dense_rank`` of ``time`` within ``keys`` (NULL times first), heavy keys ranked in chunks."""
     keys = list(keys)
-    chunked = time_chunks(df, keys, time, hot_rows, chunk_seconds, count_on)
-    ranked = chunked.selectExpr(
-        "*",
-        f"dense_rank() OVER (PARTITION BY {', '.join(keys)}, _chunk ORDER BY {time} NULLS FIRST) AS _rank",
+    every, heavy = time_chunks(df, keys, time, hot_rows, chunk_seconds, count_on)
+    ranked = every.selectExpr(
+        "*", f"dense_rank() OVER (PARTITION BY {', '.join(keys)}, _chunk ORDER BY {time} NULLS FIRST) AS _rank"
     )
-    offsets = chunk_carry(ranked, keys, ["max(_rank) AS _ranks"], [f"{total_before('_ranks')} AS _offset"])
+    # NULL times count as one time
+    distinct_times = f"count(DISTINCT {time}) + max(cast({time} IS NULL AS int)) AS _ranks"
+    offsets = chunk_carry(heavy, keys, [distinct_times], [f"{total_before('_ranks')} AS _offset"])
     return ranked.join(offsets, [*keys, "_chunk"], "left").selectExpr(
         *df.columns, f"cast(_rank + coalesce(_offset, 0) AS bigint) AS {name}"
     )

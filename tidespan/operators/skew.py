@@ -52,19 +52,23 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
 
 
 def time_chunks(df: DataFrame, keys: Sequence[str], time: str, hot_rows: int = HOT_ROWS,
-                chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> DataFrame:
-    """Add ``_hot`` and ``_chunk``: one chunk for a normal key, a calendar grid for a heavy one."""
+                chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Two frames with ``_chunk``: all rows, and the rows of heavy keys alone (for ``chunk_carry``).
+
+    A normal key has one chunk, a heavy one a calendar grid of chunks. The second frame is a semi join, which
+    Catalyst moves down through aggregates and unions to the scan; where no key is heavy, AQE sees the empty
+    list and drops that whole branch before it reads anything.
+    """
     keys = list(keys)
     hot = hot_keys(count_on if count_on is not None else df, keys, hot_rows)
-    cell = floor_div(micros(time), chunk_seconds * SECOND)
-    return df.join(F.broadcast(hot), keys, "left").selectExpr(
-        *df.columns,
-        "_hot_n IS NOT NULL AS _hot",
-        f"CASE WHEN _hot_n IS NULL THEN 0L ELSE coalesce({cell}, -1L << 62) END AS _chunk",
-    )
+    cell = f"coalesce({floor_div(micros(time), chunk_seconds * SECOND)}, -1L << 62)"
+    every = df.join(F.broadcast(hot), keys, "left").selectExpr(
+        *df.columns, f"CASE WHEN _hot_n IS NULL THEN 0L ELSE {cell} END AS _chunk")
+    heavy = df.join(F.broadcast(hot.select(*keys)), keys, "left_semi").selectExpr("*", f"{cell} AS _chunk")
+    return every, heavy
 
 
-def chunk_carry(chunked: DataFrame, keys: Sequence[str], summaries: Sequence[str], carries: Sequence[str]) -> DataFrame:
+def chunk_carry(heavy: DataFrame, keys: Sequence[str], summaries: Sequence[str], carries: Sequence[str]) -> DataFrame:
     """One row per chunk of a heavy key: values computed over the chunk summaries in time order.
 
     ``summaries`` are aggregates per chunk (SQL with alias), ``carries`` window expressions over them, built
@@ -72,7 +76,7 @@ def chunk_carry(chunked: DataFrame, keys: Sequence[str], summaries: Sequence[str
     bounded by the calendar and not by the row count.
     """
     keys = list(keys)
-    per_chunk = chunked.filter("_hot").groupBy(*keys, "_chunk").agg(*[F.expr(s) for s in summaries])
+    per_chunk = heavy.groupBy(*keys, "_chunk").agg(*[F.expr(s) for s in summaries])
     return per_chunk.selectExpr(*keys, "_chunk", *[c.format(w=f"PARTITION BY {', '.join(keys)} ORDER BY _chunk") for c in carries])
 
 

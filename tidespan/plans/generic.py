@@ -114,7 +114,7 @@ class Generic:
         orders = self.table("orders").selectExpr("o_orderkey AS order_key", "o_orderdate")
         lines = self.table("lineitem").selectExpr("l_orderkey AS order_key", "l_shipdate", "l_extendedprice", "l_quantity")
         inside = events_in_window(lines, orders, ["order_key"], "l_shipdate", plus_hours("o_orderdate", -30 * 24),
-                                  plus_hours("o_orderdate", 90 * 24))
+                                  plus_hours("o_orderdate", 90 * 24), slice_hours=60 * 24)
         means = group(inside, ["order_key"], "avg(l_extendedprice) AS p", "avg(l_quantity) AS q")
         return orders.select("order_key").join(means, "order_key", "left").selectExpr(
             "order_key", r6("p", "weight"), r6("q", "height"), r6(scoring.safe_ratio("p", "pow(q / 10, 2)"), "ratio")

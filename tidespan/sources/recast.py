@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidespan.sources.contracts import CLINICAL, struct
-from tidespan.sources.registry import Sources
+from tidespan.sources.registry import Sources, materialize, spread
 
 # columns of the base frame, in order of definition
 BASE = [
@@ -285,18 +285,27 @@ _ORACLE_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "dou
                  "date": "DATE"}
 
 
-def clinical_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """Registry of the derived clinical tables."""
-    events = Sources(spark, sf_dir).table("events")
+# tables that many stages read; a run over the whole pipeline writes them once
+STORED = ("chartevents", "labevents", "inputevents")
+
+
+def clinical_sources(spark: SparkSession, sf_dir: str, stored: tuple[str, ...] = ()) -> Sources:
+    """Registry of the derived clinical tables; those in ``stored`` are written to the shared folder first."""
+    events = spread(Sources(spark, sf_dir).table("events"))
     base = events.selectExpr(*[f"{sql} AS {name}" for name, sql in BASE]).selectExpr("*", f"{STAY_ID} AS stay_id")
-    return Sources(spark, frames=_Lazy({name: _spark_table(spark, base, name) for name in SPECS}))
+    return Sources(spark, frames=_Derived(spark, base, stored))
 
 
-class _Lazy(dict):
+class _Derived(dict):
     """Builds a frame only when it is asked for."""
 
+    def __init__(self, spark: SparkSession, base: DataFrame, stored: tuple[str, ...]):
+        super().__init__({name: _spark_table(spark, base, name) for name in SPECS})
+        self.stored = stored
+
     def __getitem__(self, name: str) -> DataFrame:
-        return super().__getitem__(name)()
+        frame = super().__getitem__(name)()
+        return materialize(frame, name) if name in self.stored else frame
 
 
 def _spark_table(spark: SparkSession, base: DataFrame, name: str):

@@ -43,6 +43,15 @@ class Sources:
     __call__ = table
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan of fewer files than task slots over the slots; larger tables stay as they are.
+
+    For scans whose rows are multiplied or parsed right away: a single small file would do that in one task.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if len(df.inputFiles()) < slots else df
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Full refresh of a Parquet table; returns the table as a scan."""
     writer = df.write.mode("overwrite")
