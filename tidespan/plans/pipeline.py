@@ -165,19 +165,20 @@ class Pipeline:
             *KEYS, *rules.LOOKBACK_FLAGS, "transfusion_type")
 
     def _treated_bins(self, spine: DataFrame, of: DataFrame) -> DataFrame:
-        """Spine with all treatment flags and the flags of the stay."""
+        """Spine with all treatment flags of the bins."""
         features = [self.lookback_bins(of), self.neuroblock_bins(of), self.opioid_bins(of), self.sedative_bins(of)]
         flags = (*rules.LOOKBACK_FLAGS, "neuroblock", "opioids", "is_sedated")
         rows = reduce(lambda left, right: left.join(right, BIN, "left"), features, spine)
-        rows = rows.selectExpr(*[f"coalesce({c}, 0) AS {c}" if c in flags else c for c in rows.columns])
-        return (
-            rows.join(self.transfusion_types(of), "stay_id", "left")
-            .join(self.infection().drop("icu_intime"), KEYS[:3])
-            .join(self.ards_shock_admission(), KEYS[:2])
-        )
+        return rows.selectExpr(*[f"coalesce({c}, 0) AS {c}" if c in flags else c for c in rows.columns])
+
+    def _stay_flags(self, of: DataFrame) -> DataFrame:
+        """What is known per stay, in one frame, so that the bins are joined with it only once."""
+        flags = self.infection().drop("icu_intime").join(self.ards_shock_admission(), KEYS[:2])
+        return flags.join(self.transfusion_types(of), "stay_id", "left")
 
     def allflags(self) -> DataFrame:
-        return self._treated_bins(self.spine(), self.stays).select(
+        bins = self._treated_bins(self.spine(), self.stays)
+        return bins.join(self._stay_flags(self.stays), KEYS[:3]).select(
             *KEYS, *rules.LOOKBACK_FLAGS, "transfusion_type", "neuroblock", "opioids", "is_sedated", "sedation_type", *STAY_FLAGS)
 
     # --- ventilation -----------------------------------------------------------------------------
@@ -217,7 +218,8 @@ class Pipeline:
             ventilation.ventilator_bins(self.t("ventilator_setting"), of),
         ]
         rows = reduce(lambda left, right: left.join(right, BIN, "left"), features, self._treated_bins(self.spine(of), of))
-        return rows.join(self.alldemocohort(), KEYS[:3], "left").selectExpr(
+        stay = self.alldemocohort().join(self._stay_flags(of), KEYS[:3])
+        return rows.join(stay, KEYS[:3]).selectExpr(
             "*", f"{round_half_up(safe_ratio('heartrate', 'sysbp'))} AS shock_index",
             f"{safe_ratio(self.options.ratio_numerator, 'fio2', 100.0)} AS pao2fio2ratio",
         ).select(*WIDE)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,15 +65,15 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, for tables that cut lineage.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may do without: it uses a
-    folder below the current warehouse.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session may do without: all its tasks run
+    on this machine, so a temporary folder will do.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    return os.path.join("/tmp", f"tidespan-{spark.sparkContext.applicationId}")
+    return os.path.join(tempfile.gettempdir(), f"tidespan-{spark.sparkContext.applicationId}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
