@@ -38,6 +38,11 @@ CLINICAL = {
 }
 
 
+def column_types(table: str) -> dict[str, str]:
+    """Column names and type names of a contract; needs no session."""
+    return dict(column.split() for column in CLINICAL[table].split(","))
+
+
 def struct(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidespan.sources.contracts import CLINICAL, struct
+from tidespan.sources.contracts import column_types
 from tidespan.sources.registry import Sources, materialize, spread
 
 # columns of the base frame, in order of definition
@@ -281,7 +281,7 @@ SPECS: dict[str, Rows | Grouped | Dictionary] = {
     "d_icd_diagnoses": Dictionary(("icd_code", "icd_version", "long_title"), TITLES),
 }
 
-_ORACLE_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
+_ORACLE_TYPES = {"long": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
                  "date": "DATE"}
 
 
@@ -337,7 +337,7 @@ def _spark(sql: str) -> str:
 
 
 def _typed(table: str, column: str, sql: str, spark: bool) -> str:
-    kind = struct(CLINICAL[table])[column].dataType.simpleString()
+    kind = column_types(table)[column]
     return f"CAST({sql} AS {kind if spark else _ORACLE_TYPES[kind]})"
 
 
