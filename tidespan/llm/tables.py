@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -22,9 +23,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    folder = tempfile.mkdtemp(prefix="tidespan-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tidespan-{application}-")
 
 
 def written(df: DataFrame, name: str, partitions: Iterable[str] = ()) -> DataFrame:
