@@ -60,8 +60,8 @@ def demo(spark):
     icu += [dict(subject_id=1, hadm_id=10, stay_id=101, intime=at(40), outtime=at(50)),
             dict(subject_id=1, hadm_id=11, stay_id=102, intime=datetime(2024, 2, 1, 1), outtime=datetime(2024, 2, 1, 9))]
     chart = [dict(subject_id=s, stay_id=1, itemid=1, value=v) for s, v in [(1, "Full code"), (2, "x"), (3, None), (4, "DNR / DNI")]]
-    return stays.demographics(table(spark, "patients", *people), table(spark, "admissions", *admissions),
-                              table(spark, "icustays", *icu), table(spark, "chartevents", *chart)).persist()
+    return stays.demographics(stays.admitted_stays(table(spark, "patients", *people), table(spark, "admissions", *admissions),
+                                                   table(spark, "icustays", *icu)), table(spark, "chartevents", *chart)).persist()
 
 
 def test_demographics(demo):
@@ -173,6 +173,25 @@ def test_vital_after_tube_does_not_use_previous(spark):
     assert rows(got, "gcs") == [(14.0,), (15.0,)]
 
 
+def test_coma_rows_of_one_time(spark):
+    """Most components first, then without tube, then the lowest score; all vital signs of stay and time get it."""
+    def row(hadm, t, item, v, stay=100, subject=1, text=None):
+        return dict(subject_id=subject, hadm_id=hadm, stay_id=stay, charttime=t, itemid=item, valuenum=v, value=text)
+
+    got = measurements.vital_signs(table(
+        spark, "chartevents",
+        row(10, T0, 223901, 3.0), row(20, T0, 223901, 1.0), row(20, T0, 220739, 1.0), row(10, T0, 220045, 70.0),
+        row(10, at(30), 223901, 6.0), row(20, at(30), 223901, 2.0),
+        row(10, at(60), 220045, 50.0, None), row(10, at(60), 223901, 4.0, None), row(30, at(61), 223901, 5.0, None, 2), row(30, at(61), 220739, 1.0, None, 2)))
+    found = rows(got, "hadm_id", "stay_id", "charttime", "gcs", "heartrate")
+    assert sorted(found, key=str) == sorted([
+        (10, 100, T0, 7.0, 70.0),          # two components of admission 20 beat one of admission 10; its own row is not shown
+        (20, 100, at(30), 11.0, None),     # equal components (motor known in both): the lower score
+        (10, None, at(60), None, 50.0), (10, None, at(60), 13.0, None),  # without stay nothing is joined
+        (30, None, at(61), 11.0, None),    # and nothing is taken from another patient's row an hour before
+    ], key=str)
+
+
 # --- treatments ------------------------------------------------------------------------------------
 def infect(spark, stay, suspected, *cultures):
     soi = table(spark, "suspicion_of_infection", *[dict(subject_id=1, hadm_id=10, suspected_infection_time=t) for t in suspected])
@@ -434,6 +453,22 @@ def test_options(spark, tiny, pipeline):
     assert wide.agg({"uo": "sum"}).first()[0] >= pipeline.wide_table.agg({"uo": "sum"}).first()[0]
 
 
+def test_close_deletes_the_intermediate_tables(spark, tiny):
+    with Pipeline(clinical_sources(spark, tiny)) as p:
+        assert p.cohort_table.count() > 0
+        paths = list(p._made)
+        files = spark.sparkContext._jvm.java.io.File
+        assert paths and all(files(path).exists() for path in paths)
+    assert not any(files(path).exists() for path in paths)
+
+
+def test_write_reuses_what_it_wrote(spark, tiny, tmp_path):
+    p = Pipeline(clinical_sources(spark, tiny))
+    p.write(str(tmp_path), ("bmi", "cohort"))
+    assert p.cohort_table.inputFiles()[0].startswith(f"file://{tmp_path}/cohort")
+    assert not any("/cohort-" in path for path in p._made)
+
+
 def test_write(pipeline, tmp_path):
     written = pipeline.write(str(tmp_path), ("vasopressors", "cohort"))
     assert written["vasopressors"].count() == pipeline.vasopressors().count()

@@ -59,7 +59,7 @@ def test_asof(data):
     _, events = data
     probes = events.filter("i % 3 = 0").select("i", "k", "t")
     source = events.filter("i % 3 = 1").groupBy("k", "t").agg({"i": "max"}).withColumnRenamed("max(i)", "v")
-    got = asof_backward(probes, {"got": source}, ["k"], "t", 5)
+    got = asof_backward(probes, source.selectExpr("k", "t", "struct(v) AS got"), ["k"], "t", 5)
     brute = (
         probes.alias("p").join(source.alias("r"), "k", "left")
         .selectExpr("i", "p.t AS t", "k", "CASE WHEN r.t <= p.t AND r.t >= p.t - INTERVAL '5' HOUR THEN struct(r.t AS t, v) END AS m")

@@ -1,5 +1,6 @@
 """Edge cases of every operator on literal rows."""
 
+import re
 from datetime import datetime
 
 import pytest
@@ -7,13 +8,14 @@ import pytest
 from tests.helpers import T0, at, rows, same
 from tidespan.functions.rounding import round_half_up
 from tidespan.functions.scoring import band_score, logistic_risk, missing_pct, safe_ratio, score_total, two_sided_score
-from tidespan.functions.temporal import age_at, days_between, died_within, floor_div, plus_hours
+from tidespan.functions.temporal import age_at, days_between, died_within, floor_div, micros, plus_hours, truncate_hour
 from tidespan.functions.text import classify_text, contains_any, first_match, matches_any, quote
 from tidespan.operators.asof import asof_backward, carry_previous
 from tidespan.operators.bins import (
     assign_bins,
     bin_aggregate,
     bins_with_lookback,
+    covered_bins,
     events_in_window,
     lookback_bins,
     overlapped_bins,
@@ -22,8 +24,8 @@ from tidespan.operators.codes import CodeRule, code_flags
 from tidespan.operators.episodes import episode_features, state_episodes
 from tidespan.operators.outer import full_outer_distinct, keep_groups
 from tidespan.operators.pivot import Measure, guarded_pivot
-from tidespan.operators.ranking import dense_rank_by_time, first_per_key
-from tidespan.operators.skew import salted_join
+from tidespan.operators.ranking import dense_rank_by_time, earliest_by_time, first_per_key
+from tidespan.operators.skew import salted_join, time_chunks
 from tidespan.operators.spine import time_spine
 
 STAY = "k long, s timestamp_ntz, e timestamp_ntz"
@@ -39,6 +41,11 @@ def stays(spark):
     return spark.createDataFrame([(1, T0, at(10))], STAY)
 
 
+def entries(source):
+    """Values of a source as the structs that the as-of join takes."""
+    return source.selectExpr("k", "t", "struct(v) AS got")
+
+
 def events(spark, *times, schema="k long, t timestamp_ntz"):
     return spark.createDataFrame([(1, t) for t in times], schema)
 
@@ -121,13 +128,46 @@ def test_bins_with_lookback_is_both_operators(spark, stays):
 def test_asof_tolerance(spark):
     probes = events(spark, at(2), at(5), at(5, 1), at(20))
     source = spark.createDataFrame([(1, at(1), 1.0), (1, at(2), 2.0), (1, at(3), 3.0), (1, at(21), 9.0)], "k long, t timestamp_ntz, v double")
-    found = asof_backward(probes, {"got": source}, ["k"], "t", 2)
+    found = asof_backward(probes, entries(source), ["k"], "t", 2)
     assert rows(found, "t", "got") == [(at(2), 2.0), (at(5), 3.0), (at(5, 1), None), (at(20), None)]
 
 
 def test_asof_takes_a_null_value_of_the_latest_row(spark):
     source = spark.createDataFrame([(1, at(1), 1.0), (1, at(2), None)], "k long, t timestamp_ntz, v double")
-    assert rows(asof_backward(events(spark, at(2)), {"got": source}, ["k"], "t", 2), "got") == [(None,)]
+    assert rows(asof_backward(events(spark, at(2)), entries(source), ["k"], "t", 2), "got") == [(None,)]
+
+
+def test_null_keys_match_nothing(spark):
+    """Rows without key see neither each other nor rows with one, and there may be very many of them."""
+    probes = spark.createDataFrame([(None, at(2)), (1, at(2))], "k long, t timestamp_ntz")
+    source = spark.createDataFrame([(None, at(1), 5.0), (1, at(1), 7.0)], "k long, t timestamp_ntz, v double")
+    for more in ({}, {"hot_rows": 1, "chunk_seconds": 3600}):
+        assert rows(asof_backward(probes, entries(source), ["k"], "t", 2, **more), "k", "got") == [(None, None), (1, 7.0)]
+        found = carry_previous(source.union(source.selectExpr("k", "t + INTERVAL '1' HOUR", "v + 1")), ["k"], "t", ["v"], 6, **more)
+        assert rows(found, "k", "v", "prev_v") == [(None, 5.0, None), (None, 6.0, None), (1, 7.0, None), (1, 8.0, 7.0)]
+        states = spark.createDataFrame([(k, at(h), "a") for k in (None, 1) for h in range(3)], "k long, t timestamp_ntz, s string")
+        assert rows(state_episodes(states, ["k"], "t", "s", **more), "k") == [(1,)]
+    lone = time_chunks(spark.range(500).selectExpr("cast(NULL AS long) AS k", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS t"), ["k"], "t")[0]
+    assert lone.select("_chunk").distinct().count() == 500
+
+
+def test_bins_do_not_depend_on_the_session_zone(spark):
+    """The night of 10 March 2024 has no 02:00 in New York."""
+    stay = spark.createDataFrame([(1, datetime(2024, 3, 9, 22), datetime(2024, 3, 10, 12))], STAY)
+    times = [datetime(2024, 3, 10, h, m) for h in range(12) for m in (0, 30)]
+    df = events(spark, *times)
+    def found():
+        binned = rows(assign_bins(df, stay, ["k"], "t", "s", "e"), "t", "bin_index")
+        hours = rows(df.selectExpr(f"{truncate_hour('t')} AS h", f"{micros('t')} AS u", f"{days_between('t', plus_hours('t', -30))} AS d"), "h", "u", "d")
+        return binned, hours, rows(time_spine(stay, "s", "e"), "bin_start")
+    utc = found()
+    assert (datetime(2024, 3, 10, 11), 3) in utc[0] and (datetime(2024, 3, 10, 11), 2) not in utc[0]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert found() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_carry_previous_limit_is_strict(spark):
@@ -171,6 +211,13 @@ def test_keep_groups(spark):
     assert rows(keep_groups(df, "k", "a > 0 AND b IS NOT NULL", ["max(f) AS a", "max(ph) AS b"]), "k", "f") == [(1, 0), (1, 1)]
 
 
+def test_earliest(spark):
+    df = spark.createDataFrame([(1, at(1), "b"), (1, at(1), "a"), (1, at(3), "c"), (2, None, "n"), (2, at(0), "o"), (None, at(2), "p")], "k long, t timestamp_ntz, v string")
+    assert rows(earliest_by_time(df, ["k"], "t"), "v") == [("a",), ("b",), ("n",), ("p",)]
+    want = rows(dense_rank_by_time(df, ["k"], "t", "r").filter("r = 1"), "v")
+    assert rows(earliest_by_time(df, ["k"], "t"), "v") == want
+
+
 def test_ranks(spark):
     df = spark.createDataFrame([(1, at(1), "b"), (1, at(1), "a"), (1, None, "n"), (1, at(3), "c")], "k long, t timestamp_ntz, v string")
     assert rows(dense_rank_by_time(df, ["k"], "t", "r"), "v", "r") == [("a", 2), ("b", 2), ("c", 3), ("n", 1)]
@@ -193,6 +240,37 @@ def test_code_flags(spark):
     assert rows(code_flags(df, ["k"], "c", "v", rules), "k", "mi", "rng") == [(1, 1, 1), (2, 1, 0), (3, 0, 0)]
 
 
+def test_any_number_of_flags_and_any_case(spark):
+    rules = {f"f{i}": [CodeRule(None, 3, (f"{i:03}",))] for i in range(130)}
+    df = spark.createDataFrame([(1, "0625"), (1, "129"), (2, "000"), (2, "063"), (2, "061")], "k long, c string")
+    found = code_flags(df, ["k"], "c", None, rules).collect()
+    assert {r.k: [n for n in rules if r[n]] for r in found} == {1: ["f62", "f129"], 2: ["f0", "f61", "f63"]}
+    case = {"any": [CodeRule(10, 3, ("J80",), any_case=True)], "exact": [CodeRule(10, 3, ("J80",))], "range": [CodeRule(10, 3, ranges=(("J79", "J81"),), any_case=True)]}
+    df = spark.createDataFrame([(1, "j80", 10), (2, "J801", 10), (3, "j82", 10)], "k long, c string, v int")
+    assert rows(code_flags(df, ["k"], "c", "v", case), "k", "any", "exact", "range") == [(1, 1, 0, 1), (2, 1, 1, 1), (3, 0, 0, 0)]
+
+
+def test_equal_rows_get_different_salts(spark):
+    big = spark.range(1000).selectExpr("1L AS k", "'same' AS v").coalesce(1)
+    joined = salted_join(big, spark.createDataFrame([(1, "x")], "k long, w string"), ["k"], hot_rows=10)
+    assert joined.count() == 1000
+    assert "monotonically_increasing_id()" in joined._jdf.queryExecution().analyzed().toString()
+    assert big.selectExpr("pmod(monotonically_increasing_id(), 100) AS s").distinct().count() > 50
+
+
+def test_covered_bins_are_linear(spark):
+    """Ten thousand equal intervals: two steps each, one row a bin."""
+    stay = spark.createDataFrame([(1, T0, at(720))], STAY)
+    spans = spark.range(10_000).selectExpr("1L AS k", "TIMESTAMP_NTZ '2024-01-01 11:00:00' AS a", "TIMESTAMP_NTZ '2024-01-28 11:00:00' AS b")
+    covered = covered_bins(spans, stay, ["k"], "a", "b", "s", "e", ["k"])
+    want = overlapped_bins(spans.limit(1), stay, ["k"], "a", "b", "s", "e").select("k", "bin_index")
+    assert same(covered, want)
+    text = covered._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(array(" in text and text.index("explode(sequence(") < text.index("Window") < text.index("explode(array(")
+    mixed = spark.createDataFrame([(1, at(1), at(3)), (1, at(2), at(30)), (1, at(40), at(41)), (1, at(30), at(20)), (1, at(50), None)], "k long, a timestamp_ntz, b timestamp_ntz")
+    same(covered_bins(mixed, stay, ["k"], "a", "b", "s", "e", ["k"]), overlapped_bins(mixed, stay, ["k"], "a", "b", "s", "e").select("k", "bin_index").distinct())
+
+
 def test_salted_join_types(spark):
     big = spark.createDataFrame([(1, i) for i in range(20)] + [(2, 0), (3, 0)], "k long, i int")
     small = spark.createDataFrame([(1, "a"), (2, "b")], "k long, s string")

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, differences
-from tidespan.plans.generic import QUERIES
+from tidespan.plans.generic import HEAVY, QUERIES
 from tidespan.plans.pipeline import STAGES, Pipeline
 from tidespan.sources.recast import clinical_sources
 
@@ -22,13 +22,13 @@ def pipeline(spark, tiny):
 
 
 def test_registry():
-    own = {*QUERIES, *(f"stage_{s}" for s in STAGES)}
+    own = {*QUERIES, *(f"{q}_heavy" for q in HEAVY), *(f"stage_{s}" for s in STAGES)}
     more = set(entry.llm.queries()) if entry.llm else set()
     assert set(entry.queries()) == own | more
     assert own <= set(SQL) <= own | more
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", [*QUERIES, *(f"{q}_heavy" for q in HEAVY)])
 def test_generic(spark, con, tiny, name):
     assert differences(entry.queries()[name](spark, tiny), con, SQL[name]) == []
 

@@ -50,6 +50,38 @@ def test_first_row_is_limited_before_the_exchange(spark, tiny):
         assert re.search(r"Exchange.*\n.*WindowGroupLimit.*Partial", text), name
 
 
+def exchanges(df) -> int:
+    """Hash exchanges of the initial plan, each counted once however often it is reused."""
+    return len(re.findall(r"Exchange hashpartitioning", plan(df).split("+- == Initial Plan ==")[0]))
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ranks_do_not_double_the_plan(spark, tiny):
+    assert exchanges(Generic(spark, tiny).cohort_first_stay()) <= 6
+    assert exchanges(Pipeline(clinical_sources(spark, tiny)).cohort()) <= 10
+
+
+def test_wide_table_is_pruned_early(spark, tiny, no_broadcast):
+    p = Pipeline(clinical_sources(spark, tiny))
+    text = plan(p.overalltable1())
+    assert len(re.findall("Exchange hashpartitioning", text)) <= 69  # 139 before
+    assert "LeftSemi" in text
+
+
+def test_one_scan_for_both_gases(spark, tiny):
+    p = Pipeline(clinical_sources(spark, tiny))
+    text = p.getalllabvalues()._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("named_struct(v, ") <= 2 * text.count("count_if") + 4
+    raw = plan(p.getallvitalsigns())
+    assert len(re.findall(r"Exchange hashpartitioning\(subject_id#\d+L, hadm_id#\d+L, stay_id#\d+L, charttime#\d+", raw)) == 2  # the rows, and again for heavy keys
+
+
 def test_binned_frames_share_their_partitioning(spark, tiny):
     """Spine and feature frames meet on (user_id, bin_index) without a second exchange of the features."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

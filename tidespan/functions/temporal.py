@@ -1,7 +1,7 @@
 """Time arithmetic on ``timestamp_ntz`` columns.
 
 Everything is reduced to 64-bit microseconds, so bin numbers are exact integers and never depend on
-floating point. The session time zone must be UTC (``tidespan.session`` sets it).
+floating point. No expression here passes through a zoned timestamp, so the session time zone has no say.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ DAY = 24 * HOUR
 
 def micros(c: str) -> str:
     """Microseconds since 1970-01-01 of a timestamp or date."""
-    return f"unix_micros(cast({c} AS timestamp))"
+    return f"((cast({c} AS timestamp_ntz) - TIMESTAMP_NTZ '1970-01-01 00:00:00') div INTERVAL '0.000001' SECOND)"
 
 
 def floor_div(value: str, n: int) -> str:
@@ -36,9 +36,9 @@ def plus_hours(c: str, hours: float) -> str:
     return f"({c} {'+' if minutes >= 0 else '-'} INTERVAL '{abs(minutes)}' MINUTE)"
 
 
-def truncate(c: str, unit: str) -> str:
-    """``date_trunc`` that stays ``timestamp_ntz``."""
-    return f"cast(date_trunc('{unit}', {c}) AS timestamp_ntz)"
+def truncate_hour(c: str) -> str:
+    """``date_trunc`` to the hour without a zone."""
+    return f"(cast({c} AS timestamp_ntz) - pmod({micros(c)}, {HOUR}L) * INTERVAL '0.000001' SECOND)"
 
 
 def age_at(anchor_age: str, anchor_year: str, at: str) -> str:

@@ -10,34 +10,33 @@ from tidespan.functions.temporal import SECOND, micros
 from tidespan.operators.skew import BEFORE, CHUNK_SECONDS, HOT_ROWS, chunk_carry, last_before, time_chunks
 
 
-def asof_backward(probes: DataFrame, sources: dict[str, DataFrame], by: Sequence[str], time: str,
+def asof_backward(probes: DataFrame, sources: DataFrame, by: Sequence[str], time: str,
                   tolerance_hours: float, hot_rows: int = HOT_ROWS, chunk_seconds: int = CHUNK_SECONDS,
                   count_on: DataFrame | None = None) -> DataFrame:
-    """For every probe the latest row of each source with ``t - tolerance <= time <= t``.
+    """For every probe the latest entry of each source with ``t - tolerance <= time <= t``.
 
-    ``sources`` maps a result column name to a frame with exactly the columns ``by, time`` and one value,
-    unique per ``(by, time)``. All sources are merged with the probes into one stream per key and read in
-    a single window pass; no range join, every probe comes back exactly once.
+    ``sources`` has ``by, time`` (unique) and a column ``struct<v>`` for each source, NULL where that source has no
+    entry at the time; an entry whose ``v`` is NULL counts. Sources and probes are merged into one stream per key and
+    read in a single window pass; no range join, every probe comes back exactly once. A probe without key matches
+    nothing.
     """
     by = list(by)
-    merged = probes.selectExpr("*", "1 AS _probe")
-    for name, source in sources.items():
-        (value,) = [c for c in source.columns if c not in (*by, time)]
-        rows = source.selectExpr(*by, time, f"struct({time} AS at, {value} AS v) AS _r_{name}", "0 AS _probe")
-        merged = merged.unionByName(rows, allowMissingColumns=True)
+    names = [c for c in sources.columns if c not in (*by, time)]
+    rows = sources.selectExpr(*by, time, *[f"CASE WHEN {n} IS NOT NULL THEN struct({time} AS at, {n}.v AS v) END AS _r_{n}" for n in names], "0 AS _probe")
+    merged = probes.selectExpr("*", "1 AS _probe").unionByName(rows, allowMissingColumns=True)
     every, heavy = time_chunks(merged, by, time, hot_rows, chunk_seconds, count_on)
     upto = (f"(PARTITION BY {', '.join(by)}, _chunk ORDER BY {time}, _probe "
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-    seen = every.selectExpr("*", *[f"last(_r_{n}, true) OVER {upto} AS _s_{n}" for n in sources])
+    seen = every.selectExpr("*", *[f"last(_r_{n}, true) OVER {upto} AS _s_{n}" for n in names])
     carried = chunk_carry(
-        heavy, by, [f"max(_r_{n}) AS _c_{n}" for n in sources], [f"{last_before(f'_c_{n}')} AS _c_{n}" for n in sources]
+        heavy, by, [f"max(_r_{n}) AS _c_{n}" for n in names], [f"{last_before(f'_c_{n}')} AS _c_{n}" for n in names]
     )
     joined = seen.filter("_probe = 1").join(carried, [*by, "_chunk"], "left")
     limit = round(tolerance_hours * 3600 * SECOND)
-    matches = joined.selectExpr("*", *[f"coalesce(_s_{n}, _c_{n}) AS _m_{n}" for n in sources])
+    matches = joined.selectExpr("*", *[f"coalesce(_s_{n}, _c_{n}) AS _m_{n}" for n in names])
     return matches.selectExpr(
         *probes.columns,
-        *[f"CASE WHEN {micros(time)} - {micros(f'_m_{n}.at')} <= {limit}L THEN _m_{n}.v END AS {n}" for n in sources],
+        *[f"CASE WHEN {micros(time)} - {micros(f'_m_{n}.at')} <= {limit}L THEN _m_{n}.v END AS {n}" for n in names],
     )
 
 
@@ -46,7 +45,8 @@ def carry_previous(df: DataFrame, keys: Sequence[str], time: str, columns: Seque
                    chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> DataFrame:
     """Add ``prev_<column>`` from the row just before, if it is less than ``limit_hours`` old.
 
-    The previous row counts even when its values are NULL: an older value is never reached back to.
+    The previous row counts even when its values are NULL: an older value is never reached back to. A row without
+    key has no previous row.
     ``only`` is a condition on which rows can be a previous row.
     """
     keys = list(keys)

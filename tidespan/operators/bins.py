@@ -68,10 +68,11 @@ def assign_bins(events: DataFrame, stays: DataFrame, keys: Sequence[str], time:
     """Add ``bin_index`` to events inside their stay.
 
     ``closed="both"``: bin *b* takes ``b <= t <= b + step``, so an event on a grid line belongs to two
-    bins. ``closed="left"``: ``b <= t < b + step``.
+    bins; ``own`` marks the later one. ``closed="left"``: ``b <= t < b + step``.
     """
     inside = events_in_window(events, stays, keys, time, start, end)
-    return _explode_bins(inside, *_own_bins(step_hours * HOUR, closed))
+    first, own = _own_bins(step_hours * HOUR, closed)
+    return _explode_bins(inside, first, own, "bin_index = _to AS own")
 
 
 def bins_with_lookback(events: DataFrame, stays: DataFrame, keys: Sequence[str], time: str, start: str, end: str,
@@ -107,16 +108,47 @@ def overlapped_bins(intervals: DataFrame, stays: DataFrame, keys: Sequence[str],
     ``reach_minutes`` defaults to the full step. An interval without ``stop`` matches no bin.
     """
     step = step_hours * HOUR
+    placed = _placed_intervals(intervals, stays, keys, start, stop, stay_start, stay_end, step, step_hours, reach_minutes, hot_rows, count_on)
+    return _explode_bins(placed, *_touched(step))
+
+
+def covered_bins(intervals: DataFrame, stays: DataFrame, keys: Sequence[str], start: str, stop: str, stay_start: str,
+                 stay_end: str, stay_keys: Sequence[str], step_hours: int = STEP_HOURS, reach_minutes: int | None = None,
+                 hot_rows: int = HOT_ROWS, count_on: DataFrame | None = None) -> DataFrame:
+    """The bins (``stay_keys, bin_index``) that at least one interval touches, each once; touched as in ``overlapped_bins``.
+
+    Work is linear in the intervals: each adds one at its first bin and takes one away behind its last; a running
+    sum over a stay's bins tells which are covered. A stay has as many sums as bins at most.
+    """
+    step = step_hours * HOUR
+    placed = _placed_intervals(intervals, stays, keys, start, stop, stay_start, stay_end, step, step_hours, reach_minutes, hot_rows, count_on)
+    first, last = _touched(step)
+    spans = placed.selectExpr(*stay_keys, f"{first} AS _from", f"{last} AS _to").filter("_from <= _to")
+    steps = spans.selectExpr(*stay_keys, "explode(array(struct(_from AS bin, 1L AS d), struct(_to + 1 AS bin, -1L AS d))) AS _s")
+    sums = steps.groupBy(*stay_keys, F.expr("_s.bin AS _bin")).agg(F.expr("sum(_s.d) AS _d"))
+    order = f"PARTITION BY {', '.join(stay_keys)} ORDER BY _bin"
+    open_from = sums.selectExpr(*stay_keys, "_bin", f"sum(_d) OVER ({order}) AS _open", f"lead(_bin) OVER ({order}) AS _next")
+    return open_from.filter("_open > 0").selectExpr(*stay_keys, "explode(sequence(_bin, _next - 1)) AS bin_index")
+
+
+def _touched(step: int) -> tuple[str, str]:
+    """First and last bin of a placed interval."""
+    return floor_div(f"_t + {step - 1}L", step), floor_div("_high", step)
+
+
+def _placed_intervals(intervals: DataFrame, stays: DataFrame, keys: Sequence[str], start: str, stop: str, stay_start: str,
+                      stay_end: str, step: int, step_hours: int, reach_minutes: int | None, hot_rows: int,
+                      count_on: DataFrame | None) -> DataFrame:
+    """Intervals with their stay, cut to it: ``_t`` to ``_high`` in microseconds from its start."""
     reach = (reach_minutes if reach_minutes is not None else step_hours * 60) * 60 * SECOND
     # greatest and least skip NULLs, so missing bounds have to go first
     bounded = intervals.filter(f"{start} IS NOT NULL AND {stop} IS NOT NULL")
     joined = salted_join(bounded, stays.filter(f"{stay_start} <= {stay_end}"), keys, hot_rows=hot_rows, count_on=count_on)
-    placed = joined.selectExpr(
+    return joined.selectExpr(
         "*",
         f"greatest({micros(start)} - {reach}L - {micros(stay_start)}, 0L) AS _t",
         f"least({micros(stop)}, {micros(stay_end)}) - {micros(stay_start)} AS _high",
     )
-    return _explode_bins(placed, floor_div(f"_t + {step - 1}L", step), floor_div("_high", step))
 
 
 def lookback_bins(events: DataFrame, stays: DataFrame, keys: Sequence[str], time: str, stay_start: str,

@@ -1,7 +1,7 @@
 """Code-set flags per group.
 
-Each row is classified into one bit mask and the masks are combined with ``bit_or``, so any number of
-flags costs a single long in the aggregation buffer and in the shuffle.
+Each row is classified into bit masks and the masks are combined with ``bit_or``, so 62 flags cost a single
+long in the aggregation buffer and in the shuffle.
 """
 
 from __future__ import annotations
@@ -17,21 +17,30 @@ from tidespan.functions.text import in_list, quote
 
 @dataclass(frozen=True)
 class CodeRule:
-    """Codes of one system (``version``) whose first ``length`` characters are listed or in a range."""
+    """Codes of one system (``version``) whose first ``length`` characters are listed or in a range.
+
+    ``any_case`` compares them without regard to case.
+    """
 
     version: int | None
     length: int | None
     members: tuple[str, ...] = ()
     ranges: tuple[tuple[str, str], ...] = ()
+    any_case: bool = False
 
     def condition(self, code: str, version: str | None) -> str:
         head = f"substring({code}, 1, {self.length})" if self.length else code
-        found = [in_list(head, self.members)] if self.members else []
-        found += [f"{head} BETWEEN {quote(low)} AND {quote(high)}" for low, high in self.ranges]
+        same = str.upper if self.any_case else str
+        head = f"upper({head})" if self.any_case else head
+        found = [in_list(head, [same(m) for m in self.members])] if self.members else []
+        found += [f"{head} BETWEEN {quote(same(low))} AND {quote(same(high))}" for low, high in self.ranges]
         either = "(" + " OR ".join(found) + ")"
         return f"({version} = {self.version} AND {either})" if self.version is not None else either
 
 
+MASK_BITS = 62
+
+
 def any_rule(rules: Sequence[CodeRule], code: str, version: str | None) -> str:
     return "(" + " OR ".join(r.condition(code, version) for r in rules) + ")"
 
@@ -39,6 +48,11 @@ def any_rule(rules: Sequence[CodeRule], code: str, version: str | None) -> str:
 def code_flags(df: DataFrame, keys: Sequence[str], code: str, version: str | None,
                rules: dict[str, Sequence[CodeRule]]) -> DataFrame:
     """One row per ``keys`` with a 0/1 column per flag."""
-    bits = [f"CASE WHEN {any_rule(r, code, version)} THEN {1 << i}L ELSE 0L END" for i, r in enumerate(rules.values())]
-    masks = df.groupBy(*keys).agg(F.expr(f"bit_or({' + '.join(bits)}) AS _mask"))
-    return masks.selectExpr(*keys, *[f"cast(shiftright(_mask, {i}) & 1L AS int) AS {name}" for i, name in enumerate(rules)])
+    names = list(rules)
+    masks = []
+    for at in range(0, len(names), MASK_BITS):
+        bits = [f"CASE WHEN {any_rule(rules[n], code, version)} THEN {1 << i}L ELSE 0L END" for i, n in enumerate(names[at:at + MASK_BITS])]
+        masks.append(f"bit_or({' + '.join(bits)}) AS _mask{at // MASK_BITS}")
+    found = df.groupBy(*keys).agg(*[F.expr(m) for m in masks])
+    flags = [f"cast(shiftright(_mask{i // MASK_BITS}, {i % MASK_BITS}) & 1L AS int) AS {n}" for i, n in enumerate(names)]
+    return found.selectExpr(*keys, *flags)

@@ -26,7 +26,7 @@ def state_episodes(df: DataFrame, keys: Sequence[str], time: str, state: str, ke
                    chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> DataFrame:
     """Maximal runs of equal ``state`` in time order, one row each: ``keys, state, starttime, endtime``.
 
-    Rows without state are ignored. A run ends at the time of the row that follows it (the last run of a
+    Rows without state or without key are ignored. A run ends at the time of the row that follows it (the last run of a
     key at its own last row). Runs need two distinct times and at least ``min_hours``. Of the columns in
     ``earliest`` the minimum per run is kept. ``max_gap_hours`` additionally opens a new run after a longer
     silence (off by default).
@@ -36,7 +36,7 @@ def state_episodes(df: DataFrame, keys: Sequence[str], time: str, state: str, ke
     """
     keys = list(keys)
     key_list = ", ".join(keys)
-    every, heavy = time_chunks(df.filter(f"{state} IS NOT NULL"), keys, time, hot_rows, chunk_seconds, count_on)
+    every, heavy = time_chunks(df.filter(" AND ".join(f"{c} IS NOT NULL" for c in (state, *keys))), keys, time, hot_rows, chunk_seconds, count_on)
     piece = f"PARTITION BY {key_list}, _chunk ORDER BY {time} NULLS FIRST"
     ordered = ", ".join([piece, state, *tie])
     gap = "" if max_gap_hours is None else f" OR {micros(time)} - {micros('_lag_t')} > {round(max_gap_hours * HOUR)}L"

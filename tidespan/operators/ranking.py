@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
-
-from tidespan.operators.skew import CHUNK_SECONDS, HOT_ROWS, chunk_carry, time_chunks, total_before
+from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -19,17 +20,29 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return ranked.filter("_rn = 1").drop("_rn")
 
 
-def dense_rank_by_time(df: DataFrame, keys: Sequence[str], time: str, name: str, hot_rows: int = HOT_ROWS,
-                       chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> DataFrame:
-    """``dense_rank`` of ``time`` within ``keys`` (NULL times first), heavy keys ranked in chunks."""
+def dense_rank_by_time(df: DataFrame, keys: Sequence[str], time: str, name: str) -> DataFrame:
+    """``dense_rank`` of ``time`` within ``keys`` (NULL times first; rows without key are one group, as in SQL).
+
+    Only the distinct times of a key are ranked; they are combined before the exchange, and the rank is joined back.
+    """
+    keys = list(keys)
+    times = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(time).alias("_t")).distinct()
+    own = [f"_k{i}" for i in range(len(keys))]
+    ranks = times.selectExpr("*", f"cast(dense_rank() OVER (PARTITION BY {', '.join(own)} ORDER BY _t NULLS FIRST) AS bigint) AS {name}")
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip([*keys, time], [*own, "_t"])]
+    return df.join(ranks, reduce(and_, same)).select(*[c for c in df.columns], name)
+
+
+def smallest_time(time: str) -> str:
+    """Aggregate: the smallest time, NULL being smaller than any."""
+    return f"CASE WHEN bool_or({time} IS NULL) THEN NULL ELSE min({time}) END"
+
+
+def earliest_by_time(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """The rows with rank 1: those at the smallest time of their key (NULL times first)."""
     keys = list(keys)
-    every, heavy = time_chunks(df, keys, time, hot_rows, chunk_seconds, count_on)
-    ranked = every.selectExpr(
-        "*", f"dense_rank() OVER (PARTITION BY {', '.join(keys)}, _chunk ORDER BY {time} NULLS FIRST) AS _rank"
-    )
-    # NULL times count as one time
-    distinct_times = f"count(DISTINCT {time}) + max(cast({time} IS NULL AS int)) AS _ranks"
-    offsets = chunk_carry(heavy, keys, [distinct_times], [f"{total_before('_ranks')} AS _offset"])
-    return ranked.join(offsets, [*keys, "_chunk"], "left").selectExpr(
-        *df.columns, f"cast(_rank + coalesce(_offset, 0) AS bigint) AS {name}"
-    )
+    own = [f"_k{i}" for i in range(len(keys))]
+    first = df.groupBy(*[F.col(k).alias(o) for k, o in zip(keys, own)]).agg(
+        F.expr(f"{smallest_time(time)} AS _t"))
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip([*keys, time], [*own, "_t"])]
+    return df.join(first, reduce(and_, same), "left_semi")

@@ -6,9 +6,12 @@ Two tools, both exact and both without a driver-side step:
 * ``time_chunks`` cuts the timeline of heavy keys into pieces, so ordered (window) work on one key
   runs in many tasks; ``chunk_carry`` then hands values on from piece to piece.
 
-Both start from ``hot_keys``: the keys with more than ``hot_rows`` rows. There are at most
-``rows / hot_rows`` of them whatever the data looks like (a trillion rows give at most 200,000 keys at
-the default), which is the size bound that makes broadcasting that list safe.
+Both start from ``hot_keys``: the keys with more than ``hot_rows`` rows, and of these the ``HOT_KEYS`` with the
+most. That constant makes broadcasting the list safe at any size. Whether a key is on the list never changes a
+result, only where its rows are worked on.
+
+A NULL key is no key: rows without one match nothing in a join, so ``time_chunks`` gives each of them a chunk
+of its own. They see no neighbours and are spread over all tasks.
 """
 
 from __future__ import annotations
@@ -21,12 +24,15 @@ from pyspark.sql import functions as F
 from tidespan.functions.temporal import SECOND, floor_div, micros
 
 HOT_ROWS = 5_000_000
+HOT_KEYS = 100_000
 CHUNK_SECONDS = 600
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``keys, _hot_n`` for every key with more than ``hot_rows`` rows."""
-    return df.groupBy(*keys).agg(F.expr("count(1) AS _hot_n")).filter(f"_hot_n > {hot_rows}")
+    """``keys, _hot_n`` for the keys with more than ``hot_rows`` rows, ``HOT_KEYS`` of them at most."""
+    present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    counted = df.filter(present).groupBy(*keys).agg(F.expr("count(1) AS _hot_n")).filter(f"_hot_n > {hot_rows}")
+    return counted.orderBy(F.desc("_hot_n"), *keys).limit(HOT_KEYS)
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner",
@@ -35,15 +41,15 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
 
     ``small`` is repeated once per salt, for heavy keys only. ``how`` may be any type that keeps rows of
     ``big`` alone (inner, left, left_semi, left_anti). ``count_on`` names a cheaper frame to count the keys
-    on (for example the scan ``big`` was aggregated from); salting too much is harmless.
+    on (for example the scan ``big`` was aggregated from); salting too much is harmless. The salt goes by the
+    place of a row in its partition, so equal rows are spread like others.
     """
     keys = list(keys)
     hot = hot_keys(count_on if count_on is not None else big, keys, hot_rows).selectExpr(
         *keys, f"cast(ceil(_hot_n / {hot_rows}D) AS int) AS _salts"
     )
-    payload = ", ".join(c for c in big.columns if c not in keys) or keys[0]
     left = big.join(F.broadcast(hot), keys, "left").selectExpr(
-        *big.columns, f"CASE WHEN _salts IS NULL THEN 0 ELSE cast(pmod(xxhash64({payload}), _salts) AS int) END AS _salt"
+        *big.columns, f"CASE WHEN _salts IS NULL THEN 0 ELSE cast(pmod(monotonically_increasing_id(), _salts) AS int) END AS _salt"
     )
     right = small.join(F.broadcast(hot), keys, "left").selectExpr(
         *small.columns, "explode(sequence(0, coalesce(_salts, 1) - 1)) AS _salt"
@@ -55,15 +61,16 @@ def time_chunks(df: DataFrame, keys: Sequence[str], time: str, hot_rows: int = H
                 chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Two frames with ``_chunk``: all rows, and the rows of heavy keys alone (for ``chunk_carry``).
 
-    A normal key has one chunk, a heavy one a calendar grid of chunks. The second frame is a semi join, which
+    A normal key has one chunk, a heavy one a calendar grid of chunks, a row without key one of its own. The second frame is a semi join, which
     Catalyst moves down through aggregates and unions to the scan; where no key is heavy, AQE sees the empty
     list and drops that whole branch before it reads anything.
     """
     keys = list(keys)
     hot = hot_keys(count_on if count_on is not None else df, keys, hot_rows)
     cell = f"coalesce({floor_div(micros(time), chunk_seconds * SECOND)}, -1L << 62)"
+    missing = " OR ".join(f"{k} IS NULL" for k in keys)
     every = df.join(F.broadcast(hot), keys, "left").selectExpr(
-        *df.columns, f"CASE WHEN _hot_n IS NULL THEN 0L ELSE {cell} END AS _chunk")
+        *df.columns, f"CASE WHEN {missing} THEN monotonically_increasing_id() WHEN _hot_n IS NULL THEN 0L ELSE {cell} END AS _chunk")
     heavy = df.join(F.broadcast(hot.select(*keys)), keys, "left_semi").selectExpr("*", f"{cell} AS _chunk")
     return every, heavy
 

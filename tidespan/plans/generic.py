@@ -7,17 +7,20 @@ and ``lineitem`` play admissions and their records, ``part`` the code dictionary
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidespan.functions import scoring
-from tidespan.functions.temporal import age_at, days_between, died_within, plus_hours, truncate
+from tidespan.functions.temporal import age_at, days_between, died_within, plus_hours, truncate_hour
 from tidespan.functions.text import classify_text, first_match, in_list, matches_any
 from tidespan.operators.asof import asof_backward, carry_previous
 from tidespan.operators.bins import (
     assign_bins,
     bin_aggregate,
     bins_with_lookback,
+    covered_bins,
     events_in_window,
     lookback_bins,
     overlapped_bins,
@@ -26,9 +29,9 @@ from tidespan.operators.codes import CodeRule, code_flags
 from tidespan.operators.episodes import episode_features, state_episodes
 from tidespan.operators.outer import full_outer_distinct, keep_groups
 from tidespan.operators.pivot import Measure, guarded_pivot
-from tidespan.operators.ranking import dense_rank_by_time, first_per_key
+from tidespan.operators.ranking import dense_rank_by_time, earliest_by_time, first_per_key, smallest_time
 from tidespan.operators.spine import time_spine
-from tidespan.sources.registry import Sources, materialize
+from tidespan.sources.registry import Sources, materialize, shared_folder, write_table
 
 TYPES = ("click", "error", "purchase", "signup", "view")
 LOOKBACK = ("error", "purchase", "signup")
@@ -47,13 +50,16 @@ def group(df: DataFrame, keys: list[str], *aggs: str) -> DataFrame:
 class Generic:
     """Frames shared by the queries over one set of generic tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, hot_rows: int | None = None, chunk_seconds: int = 6 * 3600):
+        """``hot_rows`` lowers the threshold of heavy keys, so that all keys of a small table are heavy."""
         self.table = Sources(spark, sf_dir)
+        self.salts = {"hot_rows": hot_rows} if hot_rows else {}
+        self.heavy = self.salts | ({"chunk_seconds": chunk_seconds} if hot_rows else {})
 
     def events(self, *types: str) -> DataFrame:
         ev = self.table("events")
         ev = ev.filter(in_list("event_type", types)) if types else ev
-        return ev.selectExpr("*", f"{truncate('ts', 'hour')} AS th")
+        return ev.selectExpr("*", f"{truncate_hour('ts')} AS th")
 
     def stays(self) -> DataFrame:
         return group(self.events(), USER, "min(th) AS stay_start", f"{plus_hours('max(th)', -37)} AS stay_end")
@@ -102,13 +108,18 @@ class Generic:
         )
 
     def cohort_first_stay(self) -> DataFrame:
-        rows = self.order_lines("o_custkey", "o_orderkey", "o_orderdate", "l_shipdate")
-        orders = self.table("orders")
-        ranked = dense_rank_by_time(rows, ["o_custkey"], "o_orderdate", "hospstay_seq", count_on=orders)
-        # only the first orders need a rank for their lines
-        first = ranked.filter("hospstay_seq = 1")
-        lines = self.table("lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-        return dense_rank_by_time(first, ["o_orderkey"], "l_shipdate", "icustay_seq", count_on=lines).filter("icustay_seq = 1")
+        # only rank 1 is asked for: the smallest time per key will do, and lines are joined to the first orders alone
+        lines = self.table("lineitem").selectExpr("l_orderkey AS o_orderkey", "l_shipdate")
+        shipped = group(lines, ["o_orderkey"], f"{smallest_time('l_shipdate')} AS _first")
+        orders = self.table("orders").select("o_custkey", "o_orderkey", "o_orderdate").join(shipped, "o_orderkey")
+        first = earliest_by_time(orders, ["o_custkey"], "o_orderdate")
+        return first.join(lines, "o_orderkey").filter("l_shipdate <=> _first").selectExpr(
+            "o_custkey", "o_orderkey", "o_orderdate", "l_shipdate", "1L AS hospstay_seq", "1L AS icustay_seq")
+
+    def order_ranks(self) -> DataFrame:
+        """All ranks of the orders of a customer by date."""
+        rows = self.table("orders").select("o_custkey", "o_orderkey", "o_orderdate")
+        return dense_rank_by_time(rows, ["o_custkey"], "o_orderdate", "hospstay_seq")
 
     def window_avg_ratio(self) -> DataFrame:
         orders = self.table("orders").selectExpr("o_orderkey AS order_key", "o_orderdate")
@@ -190,12 +201,11 @@ class Generic:
 
     # --- ordered operators -----------------------------------------------------------------------
     def asof_fallback(self) -> DataFrame:
-        def latest(kind: str) -> DataFrame:
-            return group(self.events(kind), ["user_id", "ts"], f"avg(value) AS {kind}")
-
+        kinds = ("view", "click")
+        latest = group(self.events(*kinds), ["user_id", "ts"], *[
+            f"CASE WHEN count_if(event_type = '{k}') > 0 THEN named_struct('v', avg(CASE WHEN event_type = '{k}' THEN value END)) END AS {k}" for k in kinds])
         probes = self.events("error").select("event_id", "user_id", "ts", "value")
-        found = asof_backward(probes, {"view": latest("view"), "click": latest("click")}, USER, "ts", 48,
-                              count_on=self.table("events"))
+        found = asof_backward(probes, latest, USER, "ts", 48, count_on=self.table("events"), **self.heavy)
         return found.selectExpr(
             "event_id", "user_id", "ts", "view", "click",
             "coalesce(CASE WHEN value < 100 THEN value END, view, click) AS filled",
@@ -204,7 +214,7 @@ class Generic:
     def carry_previous(self) -> DataFrame:
         rows = self.table("events").selectExpr(
             "event_id", "user_id", "ts", "CASE WHEN event_type <> 'click' THEN value END AS score")
-        carried = carry_previous(rows, USER, "ts", ["score"], 6, tie=["event_id"])
+        carried = carry_previous(rows, USER, "ts", ["score"], 6, tie=["event_id"], **self.heavy)
         return carried.selectExpr("*", "coalesce(score, prev_score, 6D) AS filled")
 
     def full_outer_distinct(self) -> DataFrame:
@@ -260,8 +270,8 @@ class Generic:
         """Bins that any purchase interval touches; of equal starts only the longest interval matters."""
         events = self.intervals("purchase")
         spans = group(events, ["user_id", "th"], "max(stop) AS stop")
-        hits = overlapped_bins(spans, self.stays(), USER, "th", "stop", "stay_start", "stay_end", count_on=events)
-        return group(hits, BIN, "max(1) AS overlap")
+        hits = covered_bins(spans, self.stays(), USER, "th", "stop", "stay_start", "stay_end", USER, count_on=events, **self.salts)
+        return hits.selectExpr(*BIN, "1 AS overlap")
 
     def interval_overlap_flag(self) -> DataFrame:
         return self.on_spine(self.overlaps()).selectExpr("user_id", "bin_start", "coalesce(overlap, 0) AS overlap")
@@ -293,10 +303,16 @@ class Generic:
 
     FLAGS = ("any_error", "overlap", "error_24h", "purchase_24h", "signup_24h")
 
-    def binned(self) -> DataFrame:
-        """Spine with every feature; all three frames are partitioned by (user_id, bin_index)."""
-        rows = self.on_spine(self.features()).join(self.overlaps(), BIN, "left")
-        return rows.selectExpr("user_id", "bin_start", *TYPES, "labels", *[f"coalesce({n}, 0) AS {n}" for n in self.FLAGS])
+    def binned(self, *totals: str) -> DataFrame:
+        """Spine with every feature; all three frames are partitioned by (user_id, bin_index).
+
+        ``totals`` are further aggregates of a user's events; the spine carries them to the bins.
+        """
+        stays = group(self.events(), USER, "min(th) AS stay_start", f"{plus_hours('max(th)', -37)} AS stay_end", *totals)
+        names = [t.rsplit(" AS ", 1)[1] for t in totals]
+        spine = time_spine(stays, "stay_start", "stay_end", columns=[*USER, *names])
+        rows = spine.join(self.features(), BIN, "left").join(self.overlaps(), BIN, "left")
+        return rows.selectExpr("user_id", "bin_start", *names, *TYPES, "labels", *[f"coalesce({n}, 0) AS {n}" for n in self.FLAGS])
 
     def flag_union_join(self) -> DataFrame:
         return self.binned().select("user_id", "bin_start", *self.FLAGS, "labels")
@@ -304,7 +320,7 @@ class Generic:
     # --- episodes --------------------------------------------------------------------------------
     def runs(self, keep: list[str] | None = None) -> DataFrame:
         rows = self.table("events").select("user_id", "ts", "event_type")
-        return state_episodes(rows, USER, "ts", "event_type", keep=keep)
+        return state_episodes(rows, USER, "ts", "event_type", keep=keep, **self.heavy)
 
     def state_episodes(self) -> DataFrame:
         return self.runs()
@@ -321,7 +337,7 @@ class Generic:
         stays = self.stays()
         episodes = self.episodes(stays).select("user_id", "starttime", "endtime", "num_event")
         return overlapped_bins(episodes, stays, USER, "starttime", "endtime", "stay_start", "stay_end",
-                               reach_minutes=239, count_on=self.table("events")).select(*BIN, "starttime", "endtime", "num_event")
+                               reach_minutes=239, count_on=self.table("events"), **self.salts).select(*BIN, "starttime", "endtime", "num_event")
 
     def episode_bin_overlap(self) -> DataFrame:
         return self.on_spine(self.episode_bins()).select("user_id", "bin_start", "starttime", "endtime", "num_event")
@@ -338,10 +354,9 @@ class Generic:
 
     # --- wide table and scores -------------------------------------------------------------------
     def wide(self) -> DataFrame:
-        totals = group(self.table("events"), USER, "count(1) AS n_events", "round(sum(value), 2) AS total_value")
-        # AQE splits users with many bins: nothing after this join needs its partitioning
-        return totals.join(self.binned(), "user_id", "right").selectExpr(
-            "*", f"{scoring.safe_ratio('purchase', 'view', 100.0)} AS ratio")
+        totals = ("count(1) AS n_events", "round(sum(value), 2) AS total_value")
+        return self.binned(*totals).selectExpr(
+            "user_id", "n_events", "total_value", "bin_start", *TYPES, "labels", *self.FLAGS, f"{scoring.safe_ratio('purchase', 'view', 100.0)} AS ratio")
 
     def wide_bin_table(self) -> DataFrame:
         rounded = (*TYPES, "ratio")
@@ -395,19 +410,31 @@ class Generic:
         bins = wide.selectExpr("user_id", "bin_start", "any_error", "cast(bin_start AS date) AS day")
         return bins.join(self.daily(wide).select("user_id", "day", "total", "missing_pct"), ["user_id", "day"])
 
+    def sink_refresh(self) -> DataFrame:
+        """A table written, written again with other rows, and read back: a refresh leaves only the last."""
+        path = f"{shared_folder(self.table.spark)}/tidespan/sink-{uuid.uuid4().hex}"
+        stays = self.stays()
+        write_table(stays.limit(5), path, ["user_id"])
+        write_table(stays.filter("user_id % 2 = 0"), path)
+        return write_table(stays.filter("user_id % 2 = 1"), path)
+
     def final_semi_filter(self) -> DataFrame:
         rows = materialize(self.binned().selectExpr("user_id", "bin_start", "overlap", r6("signup")), "binned")
         return keep_groups(rows, "user_id", "_flag > 0 AND _seen IS NOT NULL AND _seen > 150",
-                           ["max(overlap) AS _flag", "max(signup) AS _seen"])
+                           ["max(overlap) AS _flag", "max(signup) AS _seen"], **self.salts)
+
 
+# queries whose ordered or salted operators treat heavy keys apart; also run with nearly every key heavy
+HEAVY = ("asof_fallback", "carry_previous", "state_episodes", "episode_features", "episode_bin_overlap", "interval_overlap_flag", "final_semi_filter")
+HEAVY_ROWS = 20
 
 QUERIES = (
     "code_prefilter_scan", "dim_label_filter", "category_map", "text_flag_by_subject", "stay_outcomes",
-    "cohort_first_stay", "window_avg_ratio", "subject_left_joins", "code_flags", "weighted_index",
+    "cohort_first_stay", "order_ranks", "window_avg_ratio", "subject_left_joins", "code_flags", "weighted_index",
     "union_pivot_rates", "sum_by_time", "guarded_pivot", "asof_fallback", "carry_previous",
     "full_outer_distinct", "group_by_measure", "priority_row_number", "first_service", "distinct_on_first",
     "text_classifier", "text_max_label", "time_spine", "bin_avg", "bin_any_flag", "bin_distinct_list",
     "interval_overlap_flag", "lookback_flags", "lookback_still_active", "flag_union_join", "state_episodes",
     "episode_features", "episode_bin_overlap", "rule_cascade_flag", "wide_bin_table", "daily_scores",
-    "stay_scores", "logistic_risk", "date_key_join", "final_semi_filter",
+    "stay_scores", "logistic_risk", "date_key_join", "final_semi_filter", "sink_refresh",
 )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidespan.functions.rounding import round_half_up
-from tidespan.functions.text import in_list
+from tidespan.functions.text import in_list, quote
 from tidespan.operators.asof import asof_backward, carry_previous
 from tidespan.operators.bins import bin_aggregate
 from tidespan.operators.pivot import all_codes, guarded_pivot, guarded_value
@@ -50,37 +50,42 @@ def urine_output(outputevents: DataFrame) -> DataFrame:
     )
 
 
-def lab_values(labevents: DataFrame, chartevents: DataFrame) -> DataFrame:
+def lab_values(labevents: DataFrame, chartevents: DataFrame, count_on: DataFrame | None = None) -> DataFrame:
     """Laboratory values per patient and time, blood gases completed from the bedside chart.
 
     A missing PaO2 or PaCO2 takes the latest charted value of the two hours before. When a patient has rows of
-    several admissions at one time, those of the lowest admission id stand.
+    several admissions at one time, those of the lowest admission id stand. ``count_on``: the table that heavy keys
+    are counted on, if ``labevents`` is not a plain scan.
     """
     measures = (*rules.LABS, rules.HEMATOCRIT)
     wide = guarded_pivot(labevents, ["subject_id", "hadm_id", "charttime"], measures, "itemid", "valuenum")
     rows = first_per_key(wide, ["subject_id", "charttime"], "hadm_id ASC NULLS LAST").drop("hadm_id", rules.HEMATOCRIT.name)
 
-    def charted(item: int, name: str) -> DataFrame:
-        return chartevents.filter(f"itemid = {item}").groupBy("subject_id", "charttime").agg(F.expr(f"avg(valuenum) AS {name}"))
-
+    gases = {"po2": rules.CHARTED_PO2, "pco2": rules.CHARTED_PCO2}
+    # one scan for both; a time without a gas has no row of it
+    charted = chartevents.filter(in_list("itemid", tuple(gases.values()))).groupBy("subject_id", "charttime").agg(*[
+        F.expr(f"CASE WHEN count_if(itemid = {item}) > 0 THEN named_struct('v', avg(CASE WHEN itemid = {item} THEN valuenum END)) END AS {name}")
+        for name, item in gases.items()])
     found = asof_backward(
-        rows,
-        {"po2": charted(rules.CHARTED_PO2, "po2"), "pco2": charted(rules.CHARTED_PCO2, "pco2")},
-        ["subject_id"], "charttime", rules.BLOOD_GAS_TOLERANCE_HOURS,
-        count_on=labevents.filter(in_list("itemid", all_codes(measures))),
+        rows, charted, ["subject_id"], "charttime", rules.BLOOD_GAS_TOLERANCE_HOURS,
+        count_on=(labevents if count_on is None else count_on).filter(in_list("itemid", all_codes(measures))),
     )
     fallback = {"pao2": "coalesce(pao2, po2) AS pao2", "paco2": "coalesce(paco2, pco2) AS paco2"}
     return found.selectExpr("subject_id", "charttime", *[fallback.get(c, c) for c in LAB_COLUMNS])
 
 
-def vital_signs(chartevents: DataFrame) -> DataFrame:
+def vital_signs(chartevents: DataFrame, count_on: DataFrame | None = None) -> DataFrame:
     """Vital signs and coma score per stay and time.
 
-    Vital signs and coma-scale components come from one scan. Equal values at one time count once. The coma
-    score fills missing components from the row before if that is less than six hours old.
+    Vital signs and coma-scale components come from one scan and one exchange. Equal values at one time count
+    once. A coma score fills missing components from the row before if that is less than six hours old. If a stay
+    has several coma rows at one time (of several admissions), the one with the most components stands, then the
+    one without tube, then the lowest score, then the lowest ids; all vital signs of that stay and time get it.
+    Rows without stay or time match no other row: their vital signs and their score stay apart.
     """
     keys = [*STAY_KEYS, "charttime"]
     gcs = rules.GCS_ITEMS
+    vital_codes = in_list("itemid", all_codes(rules.VITALS))
     codes = [*all_codes(rules.VITALS), *gcs.values()]
     names = {m.name: in_list("itemid", [c for v in rules.VITALS if v.name == m.name for c in v.codes]) for m in rules.VITALS}
     names |= {name: f"itemid = {item}" for name, item in gcs.items()}
@@ -89,24 +94,32 @@ def vital_signs(chartevents: DataFrame) -> DataFrame:
     rows = chartevents.filter(in_list("itemid", codes)).selectExpr(
         *keys, f"{measure} AS measure",
         f"CASE WHEN {in_list('itemid', tuple(gcs.values()))} THEN valuenum ELSE {value} END AS x",
+        f"{vital_codes} AS vital", f"coalesce(itemid = {gcs['verbal']} AND value = {quote(rules.TUBE_ANSWER)}, false) AS tube",
     )
-    wide = rows.distinct().groupBy(*keys).agg(
+    # dealt by key once, for the removal of copies and for the pivot; a semi join on the stay has dealt them already
+    wide = (rows.repartition(*keys) if count_on is None else rows).distinct().groupBy(*keys).agg(
         *[F.expr(f"{'max' if n == 'tempc' else 'avg'}(CASE WHEN measure = '{n}' THEN x END) AS {n}") for n in VITAL_COLUMNS],
         *[F.expr(f"max(CASE WHEN measure = '{n}' THEN x END) AS {n}") for n in gcs],
-        F.expr(f"max({in_list('measure', tuple(gcs))}) AS scored"),
+        F.expr("max(NOT vital) AS scored"), F.expr("max(vital) AS charted"), F.expr("max(tube) AS tube"),
     )
-    carried = carry_previous(wide, ["stay_id"], "charttime", list(gcs), rules.GCS_LIMIT_HOURS, only="scored",
-                             count_on=chartevents.filter(in_list("itemid", codes)))
+    carried = carry_previous(wide, ["stay_id"], "charttime", list(gcs), rules.GCS_LIMIT_HOURS, tie=["hadm_id", "subject_id"],
+                             only="scored", count_on=(chartevents if count_on is None else count_on).filter(in_list("itemid", codes)))
     own = " + ".join(f"coalesce({n}, {normal})" for n, normal in rules.GCS_NORMAL.items())
     filled = " + ".join(f"coalesce({n}, prev_{n}, {normal})" for n, normal in rules.GCS_NORMAL.items())
-    score = f"""CASE WHEN NOT scored THEN NULL
-        WHEN coalesce(verbal, prev_verbal) = 0 THEN 15
-        WHEN prev_verbal = 0 THEN {own} ELSE {filled} END"""
+    score = f"CASE WHEN coalesce(verbal, prev_verbal) = 0 THEN 15 WHEN prev_verbal = 0 THEN {own} ELSE {filled} END"
+    missing = " + ".join(f"cast(coalesce({n}, prev_{n}) IS NULL AS int)" for n in gcs)
+    place = f"CASE WHEN scored THEN struct({missing} AS missing, tube, cast({score} AS double) AS gcs, hadm_id, subject_id) END"
+    together = "OVER (PARTITION BY stay_id, charttime)"
+    ranked = carried.selectExpr("*", f"{place} AS _place").selectExpr(
+        "*", f"min(_place) {together} AS _best", f"bool_or(charted) {together} AS _any", "stay_id IS NULL OR charttime IS NULL AS _apart")
+    parts = "filter(array(CASE WHEN charted THEN 'vital' END, CASE WHEN _place = _best AND (_apart OR NOT _any) THEN 'score' END), p -> p IS NOT NULL)"
+    placed = ranked.selectExpr("*", f"explode({parts}) AS _part")
+    rounded = [f"{round_half_up(n)} AS {n}" if n == "tempc" else f"rint({n}) AS {n}" for n in VITAL_COLUMNS]
     # means of doubles round half to even
-    return carried.selectExpr(
-        *keys, f"cast({score} AS double) AS gcs",
-        *[f"{round_half_up(n)} AS {n}" if n == "tempc" else f"rint({n}) AS {n}" for n in VITAL_COLUMNS],
-    )
+    return placed.selectExpr(
+        *keys, "CASE WHEN _part = 'score' OR NOT _apart THEN _best.gcs END AS gcs",
+        *[f"CASE WHEN _part = 'vital' THEN {n} END AS {n}" for n in VITAL_COLUMNS],
+    ).selectExpr(*keys, "gcs", *rounded)
 
 
 # --- per bin: only bins with data, keyed by (stay_id, bin_index) -----------------------------------

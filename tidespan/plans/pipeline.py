@@ -1,9 +1,9 @@
 """The clinical pipeline: every stage as a DataFrame, from sources to the final analysis table.
 
-Stages are lazy. Frames that several later stages read (the cohort, the ventilation episodes, the wide
-table) are written once to the shared folder and read back, see ``materialize``. Binned features stay
-keyed by ``(stay_id, bin_index)``: they are aggregated on that key, so joining them to the spine adds no
-further exchange.
+Frames that several later stages read (the cohort, the ventilation episodes, the wide table) are written once to
+the shared folder when a stage first needs them, and read back, see ``materialize``; ``close`` deletes them. All else
+is lazy. Binned features stay keyed by ``(stay_id, bin_index)``: they are aggregated on that key, so joining them to
+the spine adds no further exchange; what is known per stay is joined before the spine is made of it.
 """
 
 from __future__ import annotations
@@ -18,11 +18,12 @@ from tidespan.functions.scoring import safe_ratio
 from tidespan.operators.outer import keep_groups
 from tidespan.operators.spine import time_spine
 from tidespan.plans import measurements, rules, severity, stays, treatments, ventilation
-from tidespan.sources.registry import Sources, materialize, write_table
+from tidespan.sources.registry import Sources, materialize, remove_table, write_table
 
 BIN = ["stay_id", "bin_index"]
 KEYS = ["subject_id", "hadm_id", "stay_id", "icu_day_start"]
 TREATMENT_FLAGS = ("prone_24h", "crrt_24h", "ino_24h", "diuretic_24h", "steroid_24h", "transfusion_24h")
+# fixed values: names and order of the output columns, and the names of the stages below
 STAY_FLAGS = ("infection_at_icu_admission", "site_of_infection", "admission_category", "ards", "septic_shock")
 WIDE = (
     *stays.COHORT, "weight", "height", "bmi", "comorb_score", "icu_day_start", *measurements.LAB_COLUMNS, "uo",
@@ -53,17 +54,36 @@ class Pipeline:
     def __init__(self, sources: Sources, options: Options = Options()):
         self.t = sources
         self.options = options
+        self._made: list[str] = []
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name, self._made)
+
+    def close(self) -> None:
+        """Delete the intermediate tables of this pipeline; frames that read them are of no use afterwards."""
+        while self._made:
+            remove_table(self.t.spark, self._made.pop())
+
+    def __enter__(self) -> Pipeline:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
     # --- stays -----------------------------------------------------------------------------------
+    @cached_property
+    def admitted_stays(self) -> DataFrame:
+        return self._keep(stays.admitted_stays(self.t("patients"), self.t("admissions"), self.t("icustays")), "stays")
+
     def demographics(self) -> DataFrame:
-        return stays.demographics(self.t("patients"), self.t("admissions"), self.t("icustays"), self.t("chartevents"))
+        return stays.demographics(self.admitted_stays, self.t("chartevents"))
 
     def cohort(self) -> DataFrame:
         return stays.cohort(self.demographics())
 
     @cached_property
     def cohort_table(self) -> DataFrame:
-        return materialize(self.cohort(), "cohort")
+        return self._keep(self.cohort(), "cohort")
 
     @property
     def stays(self) -> DataFrame:
@@ -78,9 +98,20 @@ class Pipeline:
     def alldemocohort(self) -> DataFrame:
         return stays.all_demo_cohort(self.cohort_table, self.bmi(), self.charlson())
 
-    def spine(self, of: DataFrame | None = None) -> DataFrame:
-        return time_spine(of if of is not None else self.stays, "icu_intime", "icu_outtime", name="icu_day_start",
-                          columns=KEYS[:3])
+    def spine(self, of: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+        """The bins of the stays, with the columns of ``known`` (one row a stay; stays without one have no bins)."""
+        of = of if of is not None else self.stays
+        if known is None:
+            return time_spine(of, "icu_intime", "icu_outtime", name="icu_day_start", columns=KEYS[:3])
+        more = [c for c in known.columns if c not in of.columns]
+        stay = of.join(known.select("stay_id", *more), "stay_id")
+        columns = list(dict.fromkeys([*KEYS[:3], *known.columns]))
+        return time_spine(stay, "icu_intime", "icu_outtime", name="icu_day_start", columns=columns)
+
+    @staticmethod
+    def _rows_of(events: DataFrame, of: DataFrame | None, key: str) -> DataFrame:
+        """Events of the given stays or patients alone, before they are pivoted."""
+        return events if of is None else events.join(of.select(key), key, "left_semi")
 
     # --- measurements ----------------------------------------------------------------------------
     def vasopressors(self) -> DataFrame:
@@ -89,29 +120,31 @@ class Pipeline:
     def geturineoutput(self) -> DataFrame:
         return measurements.urine_output(self.t("outputevents"))
 
-    def getalllabvalues(self) -> DataFrame:
-        return measurements.lab_values(self.t("labevents"), self.t("chartevents"))
+    def getalllabvalues(self, of: DataFrame | None = None) -> DataFrame:
+        labs = self._rows_of(self.t("labevents"), of, "subject_id")
+        return measurements.lab_values(labs, self.t("chartevents"), self.t("labevents"))
 
-    def getallvitalsigns(self) -> DataFrame:
-        return measurements.vital_signs(self.t("chartevents"))
+    def getallvitalsigns(self, of: DataFrame | None = None) -> DataFrame:
+        return measurements.vital_signs(self._rows_of(self.t("chartevents"), of, "stay_id"), self.t("chartevents"))
 
     def lab_bins(self, of: DataFrame) -> DataFrame:
-        return measurements.lab_bins(self.getalllabvalues(), of)
+        return measurements.lab_bins(self.getalllabvalues(of), of)
 
     def urine_bins(self, of: DataFrame) -> DataFrame:
         return measurements.urine_bins(self.geturineoutput(), of, self.options.urine)
 
     def vital_bins(self, of: DataFrame) -> DataFrame:
-        return measurements.vital_bins(self.getallvitalsigns(), of)
+        return measurements.vital_bins(self.getallvitalsigns(of), of)
 
     def vasopressor_bins(self, of: DataFrame) -> DataFrame:
         return measurements.vasopressor_bins(self.vasopressors(), of)
 
-    def _every_bin(self, features: DataFrame, flags: tuple[str, ...] = ()) -> DataFrame:
+    def _every_bin(self, features: DataFrame, flags: tuple[str, ...] = (), known: DataFrame | None = None) -> DataFrame:
         """All bins of all stays; flags without event become 0."""
         columns = [c for c in features.columns if c not in BIN]
-        return self.spine().join(features, BIN, "left").selectExpr(
-            *KEYS, *[f"coalesce({c}, 0) AS {c}" if c in flags else c for c in columns])
+        more = [c for c in known.columns if c not in KEYS] if known is not None else []
+        return self.spine(known=known).join(features, BIN, "left").selectExpr(
+            *KEYS, *more, *[f"coalesce({c}, 0) AS {c}" if c in flags else c for c in columns])
 
     def getalllabvalues_time(self) -> DataFrame:
         return self._every_bin(self.lab_bins(self.stays))
@@ -160,9 +193,9 @@ class Pipeline:
         return self._every_bin(self.neuroblock_bins(self.stays), ("neuroblock",))
 
     def flags(self) -> DataFrame:
-        flags = self._every_bin(self.lookback_bins(self.stays), rules.LOOKBACK_FLAGS)
-        return flags.join(self.transfusion_types(self.stays), "stay_id", "left").select(
-            *KEYS, *rules.LOOKBACK_FLAGS, "transfusion_type")
+        types = self.stays.select("stay_id").join(self.transfusion_types(self.stays), "stay_id", "left")
+        flags = self._every_bin(self.lookback_bins(self.stays), rules.LOOKBACK_FLAGS, types)
+        return flags.select(*KEYS, *rules.LOOKBACK_FLAGS, "transfusion_type")
 
     def _treated_bins(self, spine: DataFrame, of: DataFrame) -> DataFrame:
         """Spine with all treatment flags of the bins."""
@@ -177,8 +210,7 @@ class Pipeline:
         return flags.join(self.transfusion_types(of), "stay_id", "left")
 
     def allflags(self) -> DataFrame:
-        bins = self._treated_bins(self.spine(), self.stays)
-        return bins.join(self._stay_flags(self.stays), KEYS[:3]).select(
+        return self._treated_bins(self.spine(known=self._stay_flags(self.stays)), self.stays).select(
             *KEYS, *rules.LOOKBACK_FLAGS, "transfusion_type", "neuroblock", "opioids", "is_sedated", "sedation_type", *STAY_FLAGS)
 
     # --- ventilation -----------------------------------------------------------------------------
@@ -188,11 +220,12 @@ class Pipeline:
 
     @cached_property
     def vent_time_table(self) -> DataFrame:
-        return materialize(self.vent_time(), "vent_time")
+        return self._keep(self.vent_time(), "vent_time")
 
     @cached_property
     def ventilated_stays(self) -> DataFrame:
-        return ventilation.ventilated(self.stays, self.vent_time_table)
+        """Read by every feature of the wide table, so it is written once."""
+        return self._keep(ventilation.ventilated(self.stays, self.vent_time_table), "ventilated_stays")
 
     def _vent_param(self, outside: bool) -> DataFrame:
         of, settings = self.ventilated_stays, self.t("ventilator_setting")
@@ -217,16 +250,16 @@ class Pipeline:
             self.lab_bins(of), self.urine_bins(of), self.vasopressor_bins(of), self.vital_bins(of),
             ventilation.ventilator_bins(self.t("ventilator_setting"), of),
         ]
-        rows = reduce(lambda left, right: left.join(right, BIN, "left"), features, self._treated_bins(self.spine(of), of))
-        stay = self.alldemocohort().join(self._stay_flags(of), KEYS[:3])
-        return rows.join(stay, KEYS[:3]).selectExpr(
+        stay = self._keep(self.alldemocohort().join(self._stay_flags(of), KEYS[:3]), "stay_columns")
+        rows = reduce(lambda left, right: left.join(right, BIN, "left"), features, self._treated_bins(self.spine(of, stay), of))
+        return rows.selectExpr(
             "*", f"{round_half_up(safe_ratio('heartrate', 'sysbp'))} AS shock_index",
             f"{safe_ratio(self.options.ratio_numerator, 'fio2', 100.0)} AS pao2fio2ratio",
         ).select(*WIDE)
 
     @cached_property
     def wide_table(self) -> DataFrame:
-        return materialize(self.overalltable1(), "overalltable1")
+        return self._keep(self.overalltable1(), "overalltable1")
 
     def sapsii(self) -> DataFrame:
         return severity.saps(self.wide_table, self.t("icustays"), self.t("admissions"), self.t("services"),
@@ -251,7 +284,7 @@ class Pipeline:
 
     @cached_property
     def overalltable2_table(self) -> DataFrame:
-        return materialize(self.overalltable2(), "overalltable2")
+        return self._keep(self.overalltable2(), "overalltable2")
 
     def final_data(self) -> DataFrame:
         """Rows of patients who were intubated at least once and have a pH value."""
@@ -260,8 +293,18 @@ class Pipeline:
 
     # --- sink ------------------------------------------------------------------------------------
     def write(self, folder: str, stages: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
-        """Full refresh of the named stages (default all) as Parquet tables below ``folder``."""
-        return {name: write_table(getattr(self, name)(), f"{folder}/{name}") for name in stages or STAGES}
+        """Full refresh of the named stages (default all) as Parquet tables below ``folder``.
+
+        A stage that others read is written first, and they read the written table.
+        """
+        kept = {"cohort": "cohort_table", "vent_time": "vent_time_table", "overalltable1": "wide_table", "overalltable2": "overalltable2_table"}
+        wanted = stages or STAGES
+        out = {}
+        for name in sorted(wanted, key=lambda n: (n not in kept, STAGES.index(n))):
+            out[name] = write_table(getattr(self, name)(), f"{folder}/{name}")
+            if name in kept:
+                self.__dict__.setdefault(kept[name], out[name])
+        return {name: out[name] for name in wanted}
 
 
 STAGES = (

@@ -53,6 +53,7 @@ VITALS = (
 GCS_ITEMS = {"motor": 223901, "verbal": 223900, "eyes": 220739}
 GCS_NORMAL = {"motor": 6, "verbal": 5, "eyes": 4}
 GCS_LIMIT_HOURS = 6
+TUBE_ANSWER = "No Response-ETT"
 
 # --- infusions and urine -------------------------------------------------------------------------
 VASOPRESSORS = {
@@ -124,8 +125,8 @@ ADMISSION_CATEGORIES = [
     ("Monitoraggio postoperatorio", ["postoperative", "following surgery", "post op"]),
 ]
 ADMISSION_CODES = {
-    "septic_shock": [CodeRule(9, None, ("78552",)), CodeRule(10, 5, ("T8112",)), CodeRule(10, None, ("R6521",))],
-    "ards": [CodeRule(9, None, ("51882", "51881")), CodeRule(10, 3, ("J80",))],
+    "septic_shock": [CodeRule(9, None, ("78552",)), CodeRule(10, 5, ("T8112",), any_case=True), CodeRule(10, None, ("R6521",), any_case=True)],
+    "ards": [CodeRule(9, None, ("51882", "51881")), CodeRule(10, 3, ("J80",), any_case=True)],
 }
 
 # --- ventilation ---------------------------------------------------------------------------------
@@ -201,96 +202,93 @@ COAGULATION_POINTS = [("<", 20, 4), ("<", 50, 3), ("<", 100, 2), ("<", 150, 1)]
 CHARLSON_AGE_POINTS = [("<", 50, 0), ("<", 60, 1), ("<", 70, 2), ("<", 80, 3)]
 
 
-def _codes(text: str) -> tuple[str, ...]:
-    return tuple(text.split())
-
-
 CHARLSON = {
     "myocardial_infarct": [
-        CodeRule(9, 3, _codes("410 412")), CodeRule(10, 3, _codes("I21 I22")), CodeRule(10, 4, _codes("I252")),
+        CodeRule(9, 3, ("410", "412")), CodeRule(10, 3, ("I21", "I22")), CodeRule(10, 4, ("I252",)),
     ],
     "congestive_heart_failure": [
-        CodeRule(9, 3, _codes("428")),
-        CodeRule(9, 5, _codes("39891 40201 40211 40291 40401 40403 40411 40413 40491 40493")),
+        CodeRule(9, 3, ("428",)),
+        CodeRule(9, 5, ("39891", "40201", "40211", "40291", "40401", "40403", "40411", "40413", "40491", "40493")),
         CodeRule(9, 4, ranges=(("4254", "4259"),)),
-        CodeRule(10, 3, _codes("I43 I50")),
-        CodeRule(10, 4, _codes("I099 I110 I130 I132 I255 I420 I425 I426 I427 I428 I429 P290")),
+        CodeRule(10, 3, ("I43", "I50")),
+        CodeRule(10, 4, ("I099", "I110", "I130", "I132", "I255", "I420", "I425", "I426", "I427", "I428", "I429", "P290")),
     ],
     "peripheral_vascular_disease": [
-        CodeRule(9, 3, _codes("440 441")),
-        CodeRule(9, 4, _codes("0930 4373 4471 5571 5579 V434"), (("4431", "4439"),)),
-        CodeRule(10, 3, _codes("I70 I71")),
-        CodeRule(10, 4, _codes("I731 I738 I739 I771 I790 I792 K551 K558 K559 Z958 Z959")),
+        CodeRule(9, 3, ("440", "441")),
+        CodeRule(9, 4, ("0930", "4373", "4471", "5571", "5579", "V434"), (("4431", "4439"),)),
+        CodeRule(10, 3, ("I70", "I71")),
+        CodeRule(10, 4, ("I731", "I738", "I739", "I771", "I790", "I792", "K551", "K558", "K559", "Z958", "Z959")),
     ],
     "cerebrovascular_disease": [
         CodeRule(9, 3, ranges=(("430", "438"),)),
-        CodeRule(9, 5, _codes("36234")),
-        CodeRule(10, 3, _codes("G45 G46"), (("I60", "I69"),)),
-        CodeRule(10, 4, _codes("H340")),
+        CodeRule(9, 5, ("36234",)),
+        CodeRule(10, 3, ("G45", "G46"), (("I60", "I69"),)),
+        CodeRule(10, 4, ("H340",)),
     ],
     "dementia": [
-        CodeRule(9, 3, _codes("290")), CodeRule(9, 4, _codes("2941 3312")),
-        CodeRule(10, 3, _codes("F00 F01 F02 F03 G30")), CodeRule(10, 4, _codes("F051 G311")),
+        CodeRule(9, 3, ("290",)), CodeRule(9, 4, ("2941", "3312")),
+        CodeRule(10, 3, ("F00", "F01", "F02", "F03", "G30")), CodeRule(10, 4, ("F051", "G311")),
     ],
     "chronic_pulmonary_disease": [
-        CodeRule(9, 3, ranges=(("490", "505"),)), CodeRule(9, 4, _codes("4168 4169 5064 5081 5088")),
-        CodeRule(10, 3, ranges=(("J40", "J47"), ("J60", "J67"))), CodeRule(10, 4, _codes("I278 I279 J684 J701 J703")),
+        CodeRule(9, 3, ranges=(("490", "505"),)), CodeRule(9, 4, ("4168", "4169", "5064", "5081", "5088")),
+        CodeRule(10, 3, ranges=(("J40", "J47"), ("J60", "J67"))), CodeRule(10, 4, ("I278", "I279", "J684", "J701", "J703")),
     ],
     "rheumatic_disease": [
-        CodeRule(9, 3, _codes("725")),
-        CodeRule(9, 4, _codes("4465 7100 7101 7102 7103 7104 7140 7141 7142 7148")),
-        CodeRule(10, 3, _codes("M05 M06 M32 M33 M34")),
-        CodeRule(10, 4, _codes("M315 M351 M353 M360")),
+        CodeRule(9, 3, ("725",)),
+        CodeRule(9, 4, ("4465", "7100", "7101", "7102", "7103", "7104", "7140", "7141", "7142", "7148")),
+        CodeRule(10, 3, ("M05", "M06", "M32", "M33", "M34")),
+        CodeRule(10, 4, ("M315", "M351", "M353", "M360")),
     ],
     "peptic_ulcer_disease": [
-        CodeRule(9, 3, _codes("531 532 533 534")), CodeRule(10, 3, _codes("K25 K26 K27 K28")),
+        CodeRule(9, 3, ("531", "532", "533", "534")), CodeRule(10, 3, ("K25", "K26", "K27", "K28")),
     ],
     "mild_liver_disease": [
-        CodeRule(9, 3, _codes("570 571")),
-        CodeRule(9, 4, _codes("0706 0709 5733 5734 5738 5739 V427")),
-        CodeRule(9, 5, _codes("07022 07023 07032 07033 07044 07054")),
-        CodeRule(10, 3, _codes("B18 K73 K74")),
-        CodeRule(10, 4, _codes("K700 K701 K702 K703 K709 K713 K714 K715 K717 K760 K762 K763 K764 K768 K769 Z944")),
+        CodeRule(9, 3, ("570", "571")),
+        CodeRule(9, 4, ("0706", "0709", "5733", "5734", "5738", "5739", "V427")),
+        CodeRule(9, 5, ("07022", "07023", "07032", "07033", "07044", "07054")),
+        CodeRule(10, 3, ("B18", "K73", "K74")),
+        CodeRule(10, 4, ("K700", "K701", "K702", "K703", "K709", "K713", "K714", "K715", "K717", "K760", "K762", "K763",
+                "K764", "K768", "K769", "Z944")),
     ],
     "diabetes_without_cc": [
-        CodeRule(9, 4, _codes("2500 2501 2502 2503 2508 2509")),
-        CodeRule(10, 4, _codes("E100 E101 E106 E108 E109 E110 E111 E116 E118 E119 E120 E121 E126 E128 E129 "
-                               "E130 E131 E136 E138 E139 E140 E141 E146 E148 E149")),
+        CodeRule(9, 4, ("2500", "2501", "2502", "2503", "2508", "2509")),
+        CodeRule(10, 4, ("E100", "E101", "E106", "E108", "E109", "E110", "E111", "E116", "E118", "E119", "E120", "E121",
+                "E126", "E128", "E129", "E130", "E131", "E136", "E138", "E139", "E140", "E141", "E146", "E148", "E149")),
     ],
     "diabetes_with_cc": [
-        CodeRule(9, 4, _codes("2504 2505 2506 2507")),
-        CodeRule(10, 4, _codes("E102 E103 E104 E105 E107 E112 E113 E114 E115 E117 E122 E123 E124 E125 E127 "
-                               "E132 E133 E134 E135 E137 E142 E143 E144 E145 E147")),
+        CodeRule(9, 4, ("2504", "2505", "2506", "2507")),
+        CodeRule(10, 4, ("E102", "E103", "E104", "E105", "E107", "E112", "E113", "E114", "E115", "E117", "E122", "E123",
+                "E124", "E125", "E127", "E132", "E133", "E134", "E135", "E137", "E142", "E143", "E144", "E145", "E147")),
     ],
     "paraplegia": [
-        CodeRule(9, 3, _codes("342 343")),
-        CodeRule(9, 4, _codes("3341 3440 3441 3442 3443 3444 3445 3446 3449")),
-        CodeRule(10, 3, _codes("G81 G82")),
-        CodeRule(10, 4, _codes("G041 G114 G801 G802 G830 G831 G832 G833 G834 G839")),
+        CodeRule(9, 3, ("342", "343")),
+        CodeRule(9, 4, ("3341", "3440", "3441", "3442", "3443", "3444", "3445", "3446", "3449")),
+        CodeRule(10, 3, ("G81", "G82")),
+        CodeRule(10, 4, ("G041", "G114", "G801", "G802", "G830", "G831", "G832", "G833", "G834", "G839")),
     ],
     "renal_disease": [
-        CodeRule(9, 3, _codes("582 585 586 V56")),
-        CodeRule(9, 4, _codes("5880 V420 V451"), (("5830", "5837"),)),
-        CodeRule(9, 5, _codes("40301 40311 40391 40402 40403 40412 40413 40492 40493")),
-        CodeRule(10, 3, _codes("N18 N19")),
-        CodeRule(10, 4, _codes("I120 I131 N032 N033 N034 N035 N036 N037 N052 N053 N054 N055 N056 N057 N250 "
-                               "Z490 Z491 Z492 Z940 Z992")),
+        CodeRule(9, 3, ("582", "585", "586", "V56")),
+        CodeRule(9, 4, ("5880", "V420", "V451"), (("5830", "5837"),)),
+        CodeRule(9, 5, ("40301", "40311", "40391", "40402", "40403", "40412", "40413", "40492", "40493")),
+        CodeRule(10, 3, ("N18", "N19")),
+        CodeRule(10, 4, ("I120", "I131", "N032", "N033", "N034", "N035", "N036", "N037", "N052", "N053", "N054", "N055",
+                "N056", "N057", "N250", "Z490", "Z491", "Z492", "Z940", "Z992")),
     ],
     "malignant_cancer": [
         CodeRule(9, 3, ranges=(("140", "172"), ("200", "208"))),
-        CodeRule(9, 4, _codes("2386"), (("1740", "1958"),)),
-        CodeRule(10, 3, _codes("C43 C88"), (("C00", "C26"), ("C30", "C34"), ("C37", "C41"), ("C45", "C58"),
+        CodeRule(9, 4, ("2386",), (("1740", "1958"),)),
+        CodeRule(10, 3, ("C43", "C88"), (("C00", "C26"), ("C30", "C34"), ("C37", "C41"), ("C45", "C58"),
                                             ("C60", "C76"), ("C81", "C85"), ("C90", "C97"))),
     ],
     "severe_liver_disease": [
-        CodeRule(9, 4, _codes("4560 4561 4562"), (("5722", "5728"),)),
-        CodeRule(10, 4, _codes("I850 I859 I864 I982 K704 K711 K721 K729 K765 K766 K767")),
+        CodeRule(9, 4, ("4560", "4561", "4562"), (("5722", "5728"),)),
+        CodeRule(10, 4, ("I850", "I859", "I864", "I982", "K704", "K711", "K721", "K729", "K765", "K766", "K767")),
     ],
     "metastatic_solid_tumor": [
-        CodeRule(9, 3, _codes("196 197 198 199")), CodeRule(10, 3, _codes("C77 C78 C79 C80")),
+        CodeRule(9, 3, ("196", "197", "198", "199")), CodeRule(10, 3, ("C77", "C78", "C79", "C80")),
     ],
     "aids": [
-        CodeRule(9, 3, _codes("042 043 044")), CodeRule(10, 3, _codes("B20 B21 B22 B24")),
+        CodeRule(9, 3, ("042", "043", "044")), CodeRule(10, 3, ("B20", "B21", "B22", "B24")),
     ],
 }
 # flags that count once; the others enter through the hierarchy in the comorbidity index

@@ -23,15 +23,21 @@ DEMOGRAPHICS = (
 COHORT = tuple(c for c in DEMOGRAPHICS if c not in ("dnr", "hospstay_seq", "icustay_seq"))
 
 
-def demographics(patients: DataFrame, admissions: DataFrame, icustays: DataFrame, chartevents: DataFrame) -> DataFrame:
-    """One row per stay with age, lengths of stay, outcomes and the rank of admission and stay."""
+def admitted_stays(patients: DataFrame, admissions: DataFrame, icustays: DataFrame) -> DataFrame:
+    """Stays with the columns of their admission and patient."""
+    return icustays.join(admissions.withColumnRenamed("subject_id", "adm_subject_id"), "hadm_id").join(patients, "subject_id")
+
+
+def demographics(stays: DataFrame, chartevents: DataFrame) -> DataFrame:
+    """One row per stay with age, lengths of stay, outcomes and the rank of admission and stay.
+
+    ``stays`` (``admitted_stays``) is read for the rows and for each rank, so hand in a written table.
+    """
     dnr = chartevents.groupBy("subject_id").agg(
         F.expr(f"max(CASE WHEN value LIKE {quote(rules.DNR_TEXT)} THEN 1 ELSE 0 END) AS dnr")
     )
-    stays = icustays.join(admissions.withColumnRenamed("subject_id", "adm_subject_id"), "hadm_id").join(patients, "subject_id")
-    ranked = dense_rank_by_time(stays, ["adm_subject_id"], "admittime", "hospstay_seq",
-                                count_on=icustays.withColumnRenamed("subject_id", "adm_subject_id"))
-    ranked = dense_rank_by_time(ranked, ["hadm_id"], "intime", "icustay_seq", count_on=icustays)
+    ranked = dense_rank_by_time(stays, ["adm_subject_id"], "admittime", "hospstay_seq")
+    ranked = dense_rank_by_time(ranked, ["hadm_id"], "intime", "icustay_seq")
     kind = first_match([(in_list("admission_type", types), label) for label, types in rules.ADMISSION_TYPES])
     rows = ranked.selectExpr(
         "subject_id", "hadm_id", "stay_id", "gender",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidespan.functions.temporal import plus_hours
 from tidespan.functions.text import classify_text, first_match, in_list, matches_any, quote
-from tidespan.operators.bins import bin_aggregate, events_in_window, lookback_bins, overlapped_bins
+from tidespan.operators.bins import bin_aggregate, covered_bins, events_in_window, lookback_bins
 from tidespan.operators.codes import code_flags
 from tidespan.plans import rules
 
@@ -84,22 +84,22 @@ def sedative_bins(events: DataFrame, stays: DataFrame) -> DataFrame:
     the stay), the later arms need an inhaled event outside this bin (or none in the stay).
     """
     windows = stays.select("stay_id", "icu_intime", "icu_outtime")
-    totals = (
-        events_in_window(events, windows, ["stay_id"], "starttime", "icu_intime", "icu_outtime")
-        .groupBy("stay_id").agg(F.expr("count_if(inhaled) AS n_inhaled"), F.expr("count_if(NOT inhaled) AS n_infused"))
-    )
     first_arms = in_list("label", [label for _, label in SEDATIVE_LABELS[:2]])
     labels = [label for _, label in SEDATIVE_LABELS]
     binned = bin_aggregate(
         events, windows, ["stay_id"], "starttime", "icu_intime", "icu_outtime",
         ["count_if(inhaled) AS here_inhaled", f"count_if({first_arms}) AS here_first",
+         "count_if(own AND inhaled) AS own_inhaled", "count_if(own AND NOT inhaled) AS own_infused",
          *[f"max(label = '{label}') AS has_{label}" for label in labels]],
     )
     shown = {label: f"has_{label}" for label in labels[:2]}
     shown |= {label: f"has_{label} AND (n_inhaled > here_inhaled OR n_inhaled = 0)" for label in labels[2:]}
     shown[HALOGENATED_LABEL] = "here_inhaled > 0 AND (n_infused > here_first OR n_infused = 0)"
     listed = ", ".join(f"CASE WHEN {shown[label]} THEN '{label}' END" for label in sorted(shown, key=str.lower))
-    return binned.join(totals, "stay_id").selectExpr(
+    # an event counts in its own bin alone, so the bins of a stay add up to its events
+    of_stay = "OVER (PARTITION BY stay_id)"
+    totals = binned.selectExpr("*", f"sum(own_inhaled) {of_stay} AS n_inhaled", f"sum(own_infused) {of_stay} AS n_infused")
+    return totals.selectExpr(
         *BIN, "1 AS is_sedated", f"nullif(concat_ws(', ', {listed}), '') AS sedation_type"
     )
 
@@ -108,8 +108,8 @@ def opioid_bins(prescriptions: DataFrame, stays: DataFrame) -> DataFrame:
     """Bins touched by an opioid prescription; of equal starts only the longest matters."""
     wanted = prescriptions.filter(matches_any("drug", rules.OPIOIDS))
     spans = wanted.groupBy(*ADMISSION_KEYS, "starttime").agg(F.expr("max(stoptime) AS stoptime"))
-    hits = overlapped_bins(spans, stays, ADMISSION_KEYS, "starttime", "stoptime", "icu_intime", "icu_outtime", count_on=wanted)
-    return hits.groupBy(*BIN).agg(F.expr("max(1) AS opioids"))
+    hits = covered_bins(spans, stays, ADMISSION_KEYS, "starttime", "stoptime", "icu_intime", "icu_outtime", ["stay_id"], count_on=wanted)
+    return hits.selectExpr(*BIN, "1 AS opioids")
 
 
 def neuroblock_bins(inputevents: DataFrame, d_items: DataFrame, stays: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidespan.sources.contracts import column_types
-from tidespan.sources.registry import Sources, materialize, spread
+from tidespan.sources.registry import Sources, materialize
 
 # columns of the base frame, in order of definition
 BASE = [
@@ -138,6 +138,8 @@ DIAGNOSES = [
 # same code under the other version: titles are looked up by code alone
 TITLES = DIAGNOSES + [("5849", 10, "Cardiogenic shock of the other version"), ("042", 10, "Septic shock of the other version")]
 
+DIAGNOSIS = _text(f"(CAST(floor(id / 10) AS BIGINT) * 7) % {len(DIAGNOSES)}", *[d[0] for d in DIAGNOSES])
+
 SPECS: dict[str, Rows | Grouped | Dictionary] = {
     "patients": Grouped(("subject_id",), {
         "gender": "CASE WHEN subject_id % 2 = 0 THEN 'F' ELSE 'M' END",
@@ -159,7 +161,8 @@ SPECS: dict[str, Rows | Grouped | Dictionary] = {
     "ventilation": Grouped(("stay_id",), {
         "ventilation_status": "CASE WHEN stay_id % 3 = 0 THEN 'InvasiveVent' ELSE 'NonInvasiveVent' END",
     }),
-    "chartevents": Rows(IDS, [
+    # some rows without stay, some of another admission at the time of others
+    "chartevents": Rows({**IDS, "hadm_id": "CASE WHEN id % 11 = 3 THEN hadm_id + 5 ELSE hadm_id END", "stay_id": "CASE WHEN id % 37 = 5 THEN NULL ELSE stay_id END"}, [
         _chart("v >= 0", "220045", "30 + v * 1.2"),
         _chart("v >= 0", _pick("id % 3", "220179", "220050", "225309"), "60 + v * 1.5"),
         _chart("id % 9 = 0", "220050", "60 + v * 1.5"),
@@ -239,7 +242,7 @@ SPECS: dict[str, Rows | Grouped | Dictionary] = {
     ]),
     "diagnoses_icd": Rows({"hadm_id": "hadm_id", "seq_num": "1 + CAST(floor(id / 10) AS BIGINT) % 5"}, [
         ("id % 10 = 0", {
-            "icd_code": _text(f"(CAST(floor(id / 10) AS BIGINT) * 7) % {len(DIAGNOSES)}", *[d[0] for d in DIAGNOSES]),
+            "icd_code": f"CASE WHEN id % 70 = 0 THEN lower({DIAGNOSIS}) ELSE {DIAGNOSIS} END",
             "icd_version": _pick(f"(CAST(floor(id / 10) AS BIGINT) * 7) % {len(DIAGNOSES)}", *[str(d[1]) for d in DIAGNOSES]),
         }),
     ]),
@@ -291,7 +294,7 @@ STORED = ("chartevents", "labevents", "inputevents")
 
 def clinical_sources(spark: SparkSession, sf_dir: str, stored: tuple[str, ...] = ()) -> Sources:
     """Registry of the derived clinical tables; those in ``stored`` are written to the shared folder first."""
-    events = spread(Sources(spark, sf_dir).table("events"))
+    events = Sources(spark, sf_dir).table("events")
     base = events.selectExpr(*[f"{sql} AS {name}" for name, sql in BASE]).selectExpr("*", f"{STAY_ID} AS stay_id")
     return Sources(spark, frames=_Derived(spark, base, stored))
 

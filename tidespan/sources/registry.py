@@ -44,15 +44,6 @@ class Sources:
     __call__ = table
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan of fewer files than task slots over the slots; larger tables stay as they are.
-
-    For scans whose rows are multiplied or parsed right away: a single small file would do that in one task.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if len(df.inputFiles()) < slots else df
-
-
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Full refresh of a Parquet table; returns the table as a scan."""
     writer = df.write.mode("overwrite")
@@ -62,6 +53,12 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a written table through the file system that holds it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, for tables that cut lineage.
 
@@ -76,11 +73,13 @@ def shared_folder(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), f"tidespan-{spark.sparkContext.applicationId}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate table once and read it back.
+def materialize(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
+    """Write an intermediate table once and read it back; its path goes to ``made``.
 
     Used where several later steps read the same frame: it is computed once, its lineage is cut, and unlike
     a cache it survives the loss of executors. Readers still prune columns and push filters down.
     """
     folder = f"{shared_folder(df.sparkSession)}/tidespan/{name}-{uuid.uuid4().hex}"
+    if made is not None:
+        made.append(folder)
     return write_table(df, folder)
