@@ -14,9 +14,14 @@ def full_outer_distinct(left: DataFrame, right: DataFrame, keys: Sequence[str])
     """Rows of either side matched on ``keys``; identical result rows are kept once.
 
     Copies are removed from both sides first, which does not change the result and keeps a group of equal
-    rows from reaching the join.
+    rows from reaching the join. Spark splits a heavy key of a left and of an anti join, but not of a full one, so
+    the two parts are joined apart.
     """
-    return left.distinct().join(right.distinct(), list(keys), "full").distinct()
+    keys = list(keys)
+    one, other = left.distinct(), right.distinct()
+    matched = one.join(other, keys, "left")
+    rest = other.join(one.select(*keys), keys, "left_anti")
+    return matched.unionByName(rest, allowMissingColumns=True).distinct()
 
 
 def keep_groups(df: DataFrame, key: str, having: str, aggs: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
