@@ -17,9 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidespan.llm.bpe_files import Remembered, WordBpe, word_bpe
+from tidespan.llm.bpe_files import Remembered, WordBpe, flat_ids, packed_ids, word_bpe
 from tidespan.llm.tables import prepared, texts_of
-from tidespan.llm.texts import Words, ragged, text_parts
+from tidespan.llm.texts import Words, text_parts
 
 FRAGMENTS = 200_000
 
@@ -85,11 +85,11 @@ class Codec:
             out += ids
         return out
 
-    def encode_chunk(self, chunk: bytes) -> np.ndarray:
+    def encode_chunk(self, chunk: bytes) -> bytes:
         out: list[int] = []
         for special, word in self.bpe.pieces(chunk):
             out += [self.bpe.special[word]] if special else self.encode_word(word.encode())
-        return np.array(out, np.int32)
+        return packed_ids(out)
 
     def decode(self, ids: list[int]) -> str:
         """The file has no decoder, so its library joins the names of the ids with spaces."""
@@ -107,15 +107,6 @@ def _remembered(path: str) -> Remembered:
     return Remembered(codec(path).encode_chunk)
 
 
-def flat_ids(codes: np.ndarray, found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all pieces one after the other, number of ids before each piece and in all)."""
-    if not len(codes):
-        return np.empty(0, np.int32), np.zeros(1, np.int64)
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    flat, starts, lengths = np.concatenate(found), np.cumsum(sizes) - sizes, sizes[codes]
-    return flat[ragged(starts[codes], lengths)], np.concatenate([[0], np.cumsum(lengths)])
-
-
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ``ids``, those of every whole text without begin or end."""
     prepared(docs.sparkSession)
@@ -126,7 +117,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
             for at, data, offsets in text_parts(batch.column(1)):
                 words = Words(data, offsets)
                 ids, before = flat_ids(*table.of(words))
-                lists = pa.ListArray.from_arrays(pa.array(before[words.bounds], pa.int32()), pa.array(ids, pa.int32()))
+                lists = pa.ListArray.from_arrays(pa.array(before[words.bounds], pa.int32()), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(offsets) - 1), lists], names=["doc_id", "ids"])
 
     return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")

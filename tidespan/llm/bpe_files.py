@@ -6,14 +6,17 @@ import base64
 import functools
 import json
 import unicodedata
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 import regex
 
+from tidespan.llm.texts import ragged
+
 #: Distinct pieces that a worker remembers. Only time depends on it: a full table is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 
 class Remembered:
@@ -38,6 +41,20 @@ class Remembered:
         return codes, found
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers, the form in which they are remembered."""
+    return array("I", ids).tobytes()
+
+
+def flat_ids(codes: np.ndarray, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all pieces one after the other, number of ids before each piece and in all)."""
+    if not len(codes):
+        return np.empty(0, np.uint32), np.zeros(1, np.int64)
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+    flat, starts, lengths = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes, sizes[codes]
+    return flat[ragged(starts[codes], lengths)], np.concatenate([[0], np.cumsum(lengths)])
+
+
 def byte_letters() -> dict[int, str]:
     """The printable letter that stands for each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -66,16 +83,27 @@ class WordBpe:
     def pieces(self, chunk: bytes) -> list[tuple[bool, str]]:
         """(special or not, text) for a run of characters without white space: normalized words as UTF-8 letters."""
         text = chunk.decode()
+        if "<|" not in text:
+            return [(False, w) for w in self.words(text)]
         out = []
-        for part in self._cut(text) if "<|" in text else (text,):
+        for part in self._cut(text):
             if part in self.special:
                 out.append((True, part))
             elif part:
-                part = part if part.isascii() else unicodedata.normalize("NFC", part)
-                part = part.lower() if "Σ" not in part else "".join(map(str.lower, part))
-                out += [(False, w) for w in self._find(part)]
+                out += [(False, w) for w in self.words(part)]
         return out
 
+    def words(self, part: str) -> list[str]:
+        """Words of a text without white space and special strings."""
+        part = part if part.isascii() else unicodedata.normalize("NFC", part)
+        part = part.lower() if "Σ" not in part else "".join(map(str.lower, part))
+        # letters alone, or with a stop behind them, need no search
+        if part.isalpha():
+            return [part]
+        if part[-1] in ".," and part[:-1].isalpha():
+            return [part[:-1], part[-1]]
+        return self._find(part)
+
     def symbols(self, word: str) -> list[str]:
         """One letter a byte; the last one carries the word end."""
         out = [self.letters[b] for b in word.encode()]
@@ -97,9 +125,8 @@ def byte_bpe(path: str, special: tuple[tuple[str, int], ...], pattern: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     known = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
 
-    def encode(chunk: bytes) -> np.ndarray:
+    def encode(chunk: bytes) -> bytes:
         text = chunk.decode()
-        ids = known.encode(text, allowed_special="all") if "<|" in text else known.encode_ordinary(text)
-        return np.array(ids, np.uint32)
+        return packed_ids(known.encode(text, allowed_special="all") if "<|" in text else known.encode_ordinary(text))
 
     return encode

@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidespan.llm.bpe_codec import flat_ids
-from tidespan.llm.bpe_files import Remembered, byte_bpe
+from tidespan.llm.bpe_files import Remembered, byte_bpe, flat_ids
 from tidespan.llm.tables import prepared, texts_of, written
 from tidespan.llm.texts import Chunks, text_parts
 

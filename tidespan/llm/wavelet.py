@@ -27,8 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidespan.llm.bpe_codec import flat_ids
-from tidespan.llm.bpe_files import Remembered, word_bpe
+from tidespan.llm.bpe_files import Remembered, flat_ids, packed_ids, word_bpe
 from tidespan.llm.tables import prepared, texts_of
 from tidespan.llm.texts import Words, text_parts
 
@@ -128,12 +127,13 @@ class WaveletMatrix:
 
     def values(self) -> np.ndarray:
         """The whole sequence, plane by plane from the last one up."""
-        out = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        out = np.zeros(self.n, kind)
         for level in range(self.bits - 1, -1, -1):
             bit = np.unpackbits(self.planes[level].view(np.uint8), count=self.n, bitorder="little").view(bool)
             above = np.empty_like(out)
             above[~bit] = out[:self.zeros[level]]
-            above[bit] = out[self.zeros[level]:] | np.uint32(1 << self.bits - 1 - level)
+            above[bit] = out[self.zeros[level]:] | kind(1 << self.bits - 1 - level)
             out = above
         return out
 
@@ -176,18 +176,17 @@ def _remembered(path: str) -> Remembered:
     from tokenizers import Tokenizer
 
     bpe, model = word_bpe(path), Tokenizer.from_file(path).model
-    known: dict[str, list[int]] = {}
-
-    def of_word(word: str) -> list[int]:
-        if (ids := known.get(word)) is None:
-            if len(known) > 200_000:
-                known.clear()
-            raw = word.encode().decode("latin-1").translate(bpe.letters)
-            ids = known[word] = [t.id for t in model.tokenize(raw)]
+    known: dict[str, bytes] = {}
+
+    def of_word(word: str) -> bytes:
+        if len(known) > 500_000:
+            known.clear()
+        raw = word.encode().decode("latin-1").translate(bpe.letters)
+        known[word] = ids = packed_ids([t.id for t in model.tokenize(raw)])
         return ids
 
-    def encode(chunk: bytes) -> np.ndarray:
-        return np.array([i for special, w in bpe.pieces(chunk) for i in ([bpe.special[w]] if special else of_word(w))], np.int32)
+    def encode(chunk: bytes) -> bytes:
+        return b"".join([packed_ids([bpe.special[w]]) if special else known.get(w) or of_word(w) for special, w in bpe.pieces(chunk)])
 
     return Remembered(encode)
 
