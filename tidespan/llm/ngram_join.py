@@ -175,9 +175,10 @@ def linked_documents(docs: DataFrame, words: int = 4, tenths: tuple[int, int] =
     held = written(held.join(largest, "gram").withColumn("major", F.expr("component = m.component")).drop("m", "parts"), "open-postings")
     across = held.where("NOT major").alias("p").join(held.alias("q"), F.expr("p.gram = q.gram AND p.component <> q.component AND (q.major OR p.sig < q.sig) AND " + _close("p", "q", tenths)))
     pairs = across.select(F.least("p.sig", "q.sig").alias("a"), F.greatest("p.sig", "q.sig").alias("b")).distinct()
-    second = verified(pairs, sets, tenths)
+    second = written(verified(pairs, sets, tenths), "second-links")
 
-    whole = components(first.union(second))
+    # the first components as stars, joined by the links between them
+    whole = parts if second.isEmpty() else components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second))
     named = whole.join(classes.withColumnRenamed("sig", "node"), "node")
     least = named.groupBy("component").agg(F.min(F.struct("known", "doc_id")).alias("f"))
     joined = whole.join(least, "component").select(F.col("node").alias("sig"), F.col("f.doc_id").alias("linked_id"), F.lit(True).alias("linked"))
