@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tidespan.llm.tables import prepared, texts_of
 from tidespan.llm.texts import STEP, U64, WORD_BYTE, Words, _hashes, BYTE_CODE, mix, powers, rolling, text_parts
 
-SAMPLE = 4000
+SAMPLE = 3000
 THRESHOLD = 0.5
 BINS = 1 << 16
 EPOCHS, RATE, DECAY = 60, 0.3, 1e-6
@@ -124,22 +124,25 @@ class Model:
 
 def _fitted(rows: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, calibrate: np.ndarray) -> Model:
     sizes = np.array([len(r) for r in rows])
-    row, col, val = np.repeat(np.arange(len(rows)), sizes), np.concatenate(rows), np.concatenate(values).astype(np.float64)
+    row, col, val = np.repeat(np.arange(len(rows), dtype=np.int32), sizes), np.concatenate(rows), np.concatenate(values)
+    rows.clear(), values.clear()
     train = ~calibrate
     rate = labels[train].mean()
     weights, bias = np.zeros(4 * BINS), float(np.log(rate / (1 - rate)))
-    use = train[row]
-    r, c, v = row[use], col[use], val[use]
     n, m1, m2, b1, b2 = int(train.sum()), np.zeros_like(weights), np.zeros_like(weights), 0.0, 0.0
+
+    def scored() -> np.ndarray:
+        return np.bincount(row, weights.astype(np.float32)[col] * val, len(labels)) + bias
+
     for t in range(1, EPOCHS + 1):
-        score = np.bincount(r, weights[c] * v, len(rows)) + bias
+        score = scored()
         error = np.where(train, 1 / (1 + np.exp(-np.clip(score, -500, 500))) - labels, 0.0)
-        g, gb = np.bincount(c, error[r] * v, len(weights)) / n + DECAY * weights, error.sum() / n
+        g, gb = np.bincount(col, error.astype(np.float32)[row] * val, len(weights)) / n + DECAY * weights, error.sum() / n
         m1, m2, b1, b2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g, 0.9 * b1 + 0.1 * gb, 0.99 * b2 + 0.01 * gb * gb
         weights -= RATE * (m1 / (1 - 0.9 ** t)) / (np.sqrt(m2 / (1 - 0.99 ** t)) + 1e-9)
         bias -= 0.05 * (b1 / (1 - 0.9 ** t)) / (np.sqrt(b2 / (1 - 0.99 ** t)) + 1e-9)
-    score = np.bincount(row, weights[col] * val, len(rows)) + bias
-    held = calibrate if len(set(labels[calibrate].tolist())) == 2 else np.ones(len(rows), bool)
+    score = scored()
+    held = calibrate if len(set(labels[calibrate].tolist())) == 2 else np.ones(len(labels), bool)
     return Model(weights.reshape(4, BINS), bias, *_platt(score[held], labels[held]))
 
 
@@ -160,7 +163,7 @@ def _platt(score: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from at most ``sample`` labelled rows, or None if they are not of both kinds. Their features, a few
-    thousand numbers a row, come to the driver."""
+    thousand numbers a row, meet in one task; the driver gets the weights."""
     prepared(docs.sparkSession)
     chosen = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -183,15 +186,28 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
                 n = len(offsets) - 1
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), batch.column(2).slice(at, n), pa.array(bins, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float32()))], names=["doc_id", "label", "bins", "shares"])
 
-    found = rows.mapInArrow(run, "doc_id long, label int, bins array<int>, shares array<float>").toArrow().sort_by("doc_id")
-    y = np.array(found.column("label").to_pylist(), np.float64)
-    if len(set(y.tolist())) < 2:
-        return None
-    lists = lambda c: [np.asarray(x.values) for x in found.column(c)]
-    held = (np.array(found.column("doc_id").to_pylist(), np.int64).astype(U64) * STEP >> U64(40)) % U64(4) == 0
-    if len(set(y[~held].tolist())) < 2:
-        held = np.zeros(len(y), bool)
-    return _fitted(lists("bins"), lists("shares"), y, held)
+    features = rows.mapInArrow(run, "doc_id long, label int, bins array<int>, shares array<float>")
+    found = features.repartition(1).mapInArrow(_train, "weights binary, intercept double, slope double, shift double").first()
+    return Model(np.frombuffer(found.weights, np.float32).reshape(4, BINS), found.intercept, found.slope, found.shift) if found else None
+
+
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all rows, in one task as they are bounded by the sample; no row if they are of one kind."""
+    ids, y, bins, shares = [], [], [], []
+    for batch in batches:
+        ids += batch.column(0).to_pylist()
+        y += batch.column(1).to_pylist()
+        bins += [np.array(x.values) for x in batch.column(2)]
+        shares += [np.array(x.values) for x in batch.column(3)]
+    order = np.argsort(np.array(ids, np.int64), kind="stable")
+    labels = np.array(y, np.float64)[order]
+    if len(set(y)) < 2:
+        return
+    held = (np.array(ids, np.int64)[order].astype(U64) * STEP >> U64(40)) % U64(4) == 0
+    if len(set(labels[~held].tolist())) < 2:
+        held = np.zeros(len(labels), bool)
+    model = _fitted([bins[i] for i in order], [shares[i] for i in order], labels, held)
+    yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), *(pa.array([x], pa.float64()) for x in (model.intercept, model.slope, model.shift))], names=["weights", "intercept", "slope", "shift"])
 
 
 def judged(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
