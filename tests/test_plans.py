@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from tests.helpers import same
 from tidespan.plans.generic import QUERIES, Generic
 from tidespan.plans.pipeline import Pipeline
 from tidespan.sources.recast import clinical_sources
@@ -99,3 +100,11 @@ def test_episodes_use_one_exchange_for_all_windows(spark, tiny):
     main = re.findall(r"Exchange hashpartitioning\(user_id#\d+L, _chunk#\d+L, \d+\)", text)
     # the rows once, and the summaries of heavy keys
     assert len(main) <= 3
+
+
+def test_refresh_leaves_the_whole_last_table(spark, tiny):
+    g = Generic(spark, tiny)
+    got = g.sink_refresh()
+    rows = same(got, g.stays())
+    assert {r[sorted(got.columns).index("user_id")] % 2 for r in rows} == {0, 1}
+    assert not any("year=" in f for f in got.inputFiles())

@@ -411,12 +411,12 @@ class Generic:
         return bins.join(self.daily(wide).select("user_id", "day", "total", "missing_pct"), ["user_id", "day"])
 
     def sink_refresh(self) -> DataFrame:
-        """A table written, written again with other rows, and read back: a refresh leaves only the last."""
+        """All stays written by year and a day late, then refreshed with all stays: only the refresh is left."""
         path = f"{shared_folder(self.table.spark)}/tidespan/sink-{uuid.uuid4().hex}"
         stays = self.stays()
-        write_table(stays.limit(5), path, ["user_id"])
-        write_table(stays.filter("user_id % 2 = 0"), path)
-        return write_table(stays.filter("user_id % 2 = 1"), path)
+        late = stays.selectExpr("user_id", *[f"{c} + INTERVAL '1' DAY AS {c}" for c in ("stay_start", "stay_end")], "year(stay_start) AS year")
+        write_table(late, path, ["year"])
+        return write_table(stays, path)
 
     def final_semi_filter(self) -> DataFrame:
         rows = materialize(self.binned().selectExpr("user_id", "bin_start", "overlap", r6("signup")), "binned")
