@@ -108,3 +108,9 @@ def test_refresh_leaves_the_whole_last_table(spark, tiny):
     rows = same(got, g.stays())
     assert {r[sorted(got.columns).index("user_id")] % 2 for r in rows} == {0, 1}
     assert not any("year=" in f for f in got.inputFiles())
+
+
+@pytest.mark.parametrize("name", ["interval_overlap_flag", "interval_overlap_flag_heavy", "episode_bin_overlap", "episode_bin_overlap_heavy",
+                                  "wide_bin_table", "stage_opioids", "stage_prova_intubation", "stage_getallvitalsigns", "stage_getalllabvalues"])
+def test_rows_behind_an_exchange_are_not_dealt_by_place(spark, tiny, name):
+    assert "monotonically_increasing_id" not in entry.queries()[name](spark, tiny)._jdf.queryExecution().optimizedPlan().toString()

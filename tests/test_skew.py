@@ -77,3 +77,22 @@ def test_overlap_and_groups(events):
     same(overlapped_bins(*args, hot_rows=10), overlapped_bins(*args))
     groups = ("user_id", "m > 100", ["max(value) AS m"])
     same(keep_groups(events, *groups, hot_rows=10), keep_groups(events, *groups))
+
+
+def test_dealing_goes_by_values_behind_an_exchange(events):
+    """A task that runs again meets its rows in another order and has to deal them alike."""
+    rows = events.selectExpr("CASE WHEN event_id % 2 = 0 THEN user_id END AS user_id", "ts", "event_id").distinct()
+    dealt = [time_chunks(rows.orderBy(way).coalesce(1), ["user_id"], "ts", apart=["event_id"])[0] for way in (F.asc("event_id"), F.desc("event_id"))]
+    got = same(*dealt)
+    alone = [r for r in got if r[sorted(dealt[0].columns).index("user_id")] is None]
+    assert len({r[0] for r in alone}) == len(alone) > 100  # _chunk is the first by name
+
+
+def test_rows_without_key_in_one_chunk_do_not_meet(events):
+    rows = events.selectExpr("CASE WHEN event_id % 2 = 0 THEN user_id END AS user_id", "ts", "event_id", "value")
+    lone = {"apart": ["1"]}  # all of them in one chunk
+    carried = carry_previous(rows, ["user_id"], "ts", ["value"], 40, tie=["event_id"], **lone)
+    assert carried.filter("user_id IS NULL AND prev_value IS NOT NULL").count() == 0 < carried.filter("prev_value IS NOT NULL").count()
+    sources = rows.groupBy("user_id", "ts").agg(F.expr("named_struct('v', max(value)) AS x"))
+    found = asof_backward(rows.drop("value"), sources, ["user_id"], "ts", 30, **lone)
+    assert found.filter("user_id IS NULL AND x IS NOT NULL").count() == 0 < found.filter("x IS NOT NULL").count()

@@ -12,19 +12,20 @@ from tidespan.operators.skew import BEFORE, CHUNK_SECONDS, HOT_ROWS, chunk_carry
 
 def asof_backward(probes: DataFrame, sources: DataFrame, by: Sequence[str], time: str,
                   tolerance_hours: float, hot_rows: int = HOT_ROWS, chunk_seconds: int = CHUNK_SECONDS,
-                  count_on: DataFrame | None = None) -> DataFrame:
+                  count_on: DataFrame | None = None, apart: Sequence[str] | None = None) -> DataFrame:
     """For every probe the latest entry of each source with ``t - tolerance <= time <= t``.
 
     ``sources`` has ``by, time`` (unique) and a column ``struct<v>`` for each source, NULL where that source has no
     entry at the time; an entry whose ``v`` is NULL counts. Sources and probes are merged into one stream per key and
     read in a single window pass; no range join, every probe comes back exactly once. A probe without key matches
-    nothing.
+    nothing. ``apart``: as in ``time_chunks``, where the probes are not read from a table.
     """
     by = list(by)
     names = [c for c in sources.columns if c not in (*by, time)]
-    rows = sources.selectExpr(*by, time, *[f"CASE WHEN {n} IS NOT NULL THEN struct({time} AS at, {n}.v AS v) END AS _r_{n}" for n in names], "0 AS _probe")
+    present = " AND ".join(f"{k} IS NOT NULL" for k in by)
+    rows = sources.filter(present).selectExpr(*by, time, *[f"CASE WHEN {n} IS NOT NULL THEN struct({time} AS at, {n}.v AS v) END AS _r_{n}" for n in names], "0 AS _probe")
     merged = probes.selectExpr("*", "1 AS _probe").unionByName(rows, allowMissingColumns=True)
-    every, heavy = time_chunks(merged, by, time, hot_rows, chunk_seconds, count_on)
+    every, heavy = time_chunks(merged, by, time, hot_rows, chunk_seconds, count_on, apart)
     upto = (f"(PARTITION BY {', '.join(by)}, _chunk ORDER BY {time}, _probe "
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
     seen = every.selectExpr("*", *[f"last(_r_{n}, true) OVER {upto} AS _s_{n}" for n in names])
@@ -42,18 +43,20 @@ def asof_backward(probes: DataFrame, sources: DataFrame, by: Sequence[str], time
 
 def carry_previous(df: DataFrame, keys: Sequence[str], time: str, columns: Sequence[str], limit_hours: float,
                    tie: Sequence[str] = (), only: str | None = None, hot_rows: int = HOT_ROWS,
-                   chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> DataFrame:
+                   chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None, apart: Sequence[str] | None = None) -> DataFrame:
     """Add ``prev_<column>`` from the row just before, if it is less than ``limit_hours`` old.
 
     The previous row counts even when its values are NULL: an older value is never reached back to. A row without
     key has no previous row.
-    ``only`` is a condition on which rows can be a previous row.
+    ``only`` is a condition on which rows can be a previous row. ``apart``: as in ``time_chunks``, where ``df`` is not
+    read from a table.
     """
     keys = list(keys)
     order = [time, *tie]
     row = "struct(" + ", ".join([f"{time} AS at", *tie, *columns]) + ")"
-    candidate = f"CASE WHEN {only or 'true'} THEN {row} END"
-    every, heavy = time_chunks(df, keys, time, hot_rows, chunk_seconds, count_on)
+    present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    candidate = f"CASE WHEN {present} AND ({only or 'true'}) THEN {row} END"
+    every, heavy = time_chunks(df, keys, time, hot_rows, chunk_seconds, count_on, apart)
     window = f"(PARTITION BY {', '.join(keys)}, _chunk ORDER BY {', '.join(order)} {BEFORE})"
     seen = every.selectExpr("*", f"{candidate} AS _row").selectExpr("*", f"last(_row, true) OVER {window} AS _prev")
     carried = chunk_carry(heavy, keys, [f"max({candidate}) AS _last"], [f"{last_before('_last')} AS _carried"])

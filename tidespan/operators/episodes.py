@@ -36,7 +36,8 @@ def state_episodes(df: DataFrame, keys: Sequence[str], time: str, state: str, ke
     """
     keys = list(keys)
     key_list = ", ".join(keys)
-    every, heavy = time_chunks(df.filter(" AND ".join(f"{c} IS NOT NULL" for c in (state, *keys))), keys, time, hot_rows, chunk_seconds, count_on)
+    every, heavy = time_chunks(df.filter(" AND ".join(f"{c} IS NOT NULL" for c in (state, *keys))), keys, time, hot_rows, chunk_seconds, count_on,
+                               apart=keys)  # no row without key is left to be spread
     piece = f"PARTITION BY {key_list}, _chunk ORDER BY {time} NULLS FIRST"
     ordered = ", ".join([piece, state, *tie])
     gap = "" if max_gap_hours is None else f" OR {micros(time)} - {micros('_lag_t')} > {round(max_gap_hours * HOUR)}L"

@@ -10,8 +10,13 @@ Both start from ``hot_keys``: the keys with more than ``hot_rows`` rows, and of
 most. That constant makes broadcasting the list safe at any size. Whether a key is on the list never changes a
 result, only where its rows are worked on.
 
-A NULL key is no key: rows without one match nothing in a join, so ``time_chunks`` gives each of them a chunk
-of its own. They see no neighbours and are spread over all tasks.
+A NULL key is no key: rows without one match nothing in a join, so ``time_chunks`` spreads them over many chunks.
+Rows of one such chunk may still be neighbours in a window; callers keep them from seeing each other.
+
+Salts and the chunks of rows without key become shuffle keys, so a task that runs again must give a row the same ones. In
+a frame read from a table that is the place of the row, which spreads equal rows too. Behind an exchange the order of
+rows may change from one run to the next: such frames name in ``apart`` columns that tell their rows apart, and the hash
+of these takes the place's part. Columns whose values depend on the order of rows (sums of doubles) don't belong there.
 """
 
 from __future__ import annotations
@@ -35,21 +40,26 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return counted.orderBy(F.desc("_hot_n"), *keys).limit(HOT_KEYS)
 
 
-def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner",
-                hot_rows: int = HOT_ROWS, count_on: DataFrame | None = None) -> DataFrame:
+def dealing_number(apart: Sequence[str] | None) -> str:
+    """A number that spreads rows: their hash, or the place in a table that is read."""
+    return f"xxhash64({', '.join(apart)})" if apart else "monotonically_increasing_id()"
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", hot_rows: int = HOT_ROWS,
+                count_on: DataFrame | None = None, apart: Sequence[str] | None = None) -> DataFrame:
     """Equi join in which a heavy key of ``big`` is spread over ``ceil(rows / hot_rows)`` salts.
 
     ``small`` is repeated once per salt, for heavy keys only. ``how`` may be any type that keeps rows of
     ``big`` alone (inner, left, left_semi, left_anti). ``count_on`` names a cheaper frame to count the keys
-    on (for example the scan ``big`` was aggregated from); salting too much is harmless. The salt goes by the
-    place of a row in its partition, so equal rows are spread like others.
+    on (for example the scan ``big`` was aggregated from); salting too much is harmless. ``apart`` is needed where
+    ``big`` is not read from a table (see above).
     """
     keys = list(keys)
     hot = hot_keys(count_on if count_on is not None else big, keys, hot_rows).selectExpr(
         *keys, f"cast(ceil(_hot_n / {hot_rows}D) AS int) AS _salts"
     )
     left = big.join(F.broadcast(hot), keys, "left").selectExpr(
-        *big.columns, f"CASE WHEN _salts IS NULL THEN 0 ELSE cast(pmod(monotonically_increasing_id(), _salts) AS int) END AS _salt"
+        *big.columns, f"CASE WHEN _salts IS NULL THEN 0 ELSE cast(pmod({dealing_number(apart)}, _salts) AS int) END AS _salt"
     )
     right = small.join(F.broadcast(hot), keys, "left").selectExpr(
         *small.columns, "explode(sequence(0, coalesce(_salts, 1) - 1)) AS _salt"
@@ -58,10 +68,11 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
 
 
 def time_chunks(df: DataFrame, keys: Sequence[str], time: str, hot_rows: int = HOT_ROWS,
-                chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None,
+                apart: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Two frames with ``_chunk``: all rows, and the rows of heavy keys alone (for ``chunk_carry``).
 
-    A normal key has one chunk, a heavy one a calendar grid of chunks, a row without key one of its own. The second frame is a semi join, which
+    A normal key has one chunk, a heavy one a calendar grid of chunks, a row without key one by its place or by ``apart``. The second frame is a semi join, which
     Catalyst moves down through aggregates and unions to the scan; where no key is heavy, AQE sees the empty
     list and drops that whole branch before it reads anything.
     """
@@ -70,7 +81,7 @@ def time_chunks(df: DataFrame, keys: Sequence[str], time: str, hot_rows: int = H
     cell = f"coalesce({floor_div(micros(time), chunk_seconds * SECOND)}, -1L << 62)"
     missing = " OR ".join(f"{k} IS NULL" for k in keys)
     every = df.join(F.broadcast(hot), keys, "left").selectExpr(
-        *df.columns, f"CASE WHEN {missing} THEN monotonically_increasing_id() WHEN _hot_n IS NULL THEN 0L ELSE {cell} END AS _chunk")
+        *df.columns, f"CASE WHEN {missing} THEN {dealing_number(apart)} WHEN _hot_n IS NULL THEN 0L ELSE {cell} END AS _chunk")
     heavy = df.join(F.broadcast(hot.select(*keys)), keys, "left_semi").selectExpr("*", f"{cell} AS _chunk")
     return every, heavy
 

@@ -270,7 +270,8 @@ class Generic:
         """Bins that any purchase interval touches; of equal starts only the longest interval matters."""
         events = self.intervals("purchase")
         spans = group(events, ["user_id", "th"], "max(stop) AS stop")
-        hits = covered_bins(spans, self.stays(), USER, "th", "stop", "stay_start", "stay_end", USER, count_on=events, **self.salts)
+        hits = covered_bins(spans, self.stays(), USER, "th", "stop", "stay_start", "stay_end", USER, count_on=events,
+                            apart=["user_id", "th"], **self.salts)
         return hits.selectExpr(*BIN, "1 AS overlap")
 
     def interval_overlap_flag(self) -> DataFrame:
@@ -337,7 +338,7 @@ class Generic:
         stays = self.stays()
         episodes = self.episodes(stays).select("user_id", "starttime", "endtime", "num_event")
         return overlapped_bins(episodes, stays, USER, "starttime", "endtime", "stay_start", "stay_end",
-                               reach_minutes=239, count_on=self.table("events"), **self.salts).select(*BIN, "starttime", "endtime", "num_event")
+                               reach_minutes=239, count_on=self.table("events"), apart=["user_id", "starttime"], **self.salts).select(*BIN, "starttime", "endtime", "num_event")
 
     def episode_bin_overlap(self) -> DataFrame:
         return self.on_spine(self.episode_bins()).select("user_id", "bin_start", "starttime", "endtime", "num_event")

@@ -108,7 +108,8 @@ def opioid_bins(prescriptions: DataFrame, stays: DataFrame) -> DataFrame:
     """Bins touched by an opioid prescription; of equal starts only the longest matters."""
     wanted = prescriptions.filter(matches_any("drug", rules.OPIOIDS))
     spans = wanted.groupBy(*ADMISSION_KEYS, "starttime").agg(F.expr("max(stoptime) AS stoptime"))
-    hits = covered_bins(spans, stays, ADMISSION_KEYS, "starttime", "stoptime", "icu_intime", "icu_outtime", ["stay_id"], count_on=wanted)
+    hits = covered_bins(spans, stays, ADMISSION_KEYS, "starttime", "stoptime", "icu_intime", "icu_outtime", ["stay_id"], count_on=wanted,
+                        apart=[*ADMISSION_KEYS, "starttime"])
     return hits.selectExpr(*BIN, "1 AS opioids")
 
 

@@ -112,7 +112,8 @@ def intubation(params: DataFrame, episodes: DataFrame, stays: DataFrame, one_row
         "lead(starttime) OVER (PARTITION BY stay_id ORDER BY starttime) AS next_intubation_time",
     )
     hits = overlapped_bins(spans, stays.select("stay_id", "icu_intime", "icu_outtime"), ["stay_id"], "intubation_time",
-                           "extubation_time", "icu_intime", "icu_outtime", reach_minutes=rules.EPISODE_REACH_MINUTES)
+                           "extubation_time", "icu_intime", "icu_outtime", reach_minutes=rules.EPISODE_REACH_MINUTES,
+                           apart=["stay_id", "intubation_time", "extubation_time"])
     if one_row_per_bin:
         hits = first_per_key(hits, ["stay_id", "bin_index"], "intubation_time ASC NULLS LAST")
     matched = hits.select("stay_id", "bin_index", "intubation_time", "extubation_time", *EPISODE_COLUMNS)
