@@ -111,6 +111,16 @@ def test_one_of_each_group(odd, odd_rows):
     assert kept == want
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(5, a), (6, a + " end"), (5, b), (3, b), (None, "c " + a), (None, "d e f g h i"), (7, None), (5, "")]
+    got = Counter((r.doc_id, r.text) for r in ngram_join.one_of_each_group(make(spark, rows), 5, (8, 10)).collect())
+    assert got == Counter((d, t) for (d, t), (_, _, c) in zip(rows, brute.components(rows, 5, 8, 10)) if d == c)
+    rows = [r for r in rows if r[0] is not None]
+    got = Counter((r.doc_id, r.text) for r in ngram_join.one_of_each_group(make(spark, rows), 5, (8, 10)).collect())
+    assert got == Counter([(5, a), (3, b), (7, None), (5, "")])
+
+
 def test_links_between_copies_of_copies(spark):
     rng = random.Random(2)
     rows, base = [], [f"w{i}" for i in range(90)]

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidespan.llm.components import components
@@ -142,10 +142,21 @@ def _close(a: str, b: str, tenths: tuple[int, int]) -> str:
 
 def linked_documents(docs: DataFrame, words: int = 4, tenths: tuple[int, int] = (85, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every row. ``tenths``: the similarity as a fraction."""
+    return _linked(docs, words, tenths, id_col, text_col, False)
+
+
+def _mark(text: Column) -> Column:
+    """Tells the rows of one doc_id apart by their text."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def _linked(docs: DataFrame, words: int, tenths: tuple[int, int], id_col: str, text_col: str, marked: bool) -> DataFrame:
+    """``linked_documents``, if ``marked`` with the mark of every row's text."""
     prepared(docs.sparkSession)
     total = total_bytes(docs, text_col)
     slices = count_of(total, SLICE_BYTES)
-    units = with_units(texts_of(docs, id_col, text_col), total)
+    texts, more = texts_of(docs, id_col, text_col), ["mark"] if marked else []
+    units = with_units(texts.withColumn("mark", _mark(F.col("text"))) if marked else texts, total)
 
     def send(key, table):
         return grams_sent(key[0].as_py(), table, words, slices)
@@ -154,10 +165,11 @@ def linked_documents(docs: DataFrame, words: int = 4, tenths: tuple[int, int] =
         return gram_classes(key[0].as_py(), table)
 
     def describe(key, texts, told):
-        return described(texts, told, words, tenths, slices)
+        sets = described(texts, told, words, tenths, slices)
+        return sets.append_column("mark", texts.column("mark")) if marked else sets
 
     grades = units.groupBy("unit").applyInArrow(send, SENT).groupBy("slice").applyInArrow(grade, ANSWERED)
-    rows = written(units.groupBy("unit").cogroup(grades.groupBy("unit")).applyInArrow(describe, SETS), "gram-sets")
+    rows = written(units.groupBy("unit").cogroup(grades.groupBy("unit")).applyInArrow(describe, SETS + (", mark binary" if marked else "")), "gram-sets")
 
     classes = rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("f")).select("sig", "f.doc_id", "f.known")
     sets = written(_one_of_each(rows.where("grams IS NOT NULL"), classes), "classes")
@@ -183,17 +195,22 @@ def linked_documents(docs: DataFrame, words: int = 4, tenths: tuple[int, int] =
     least = named.groupBy("component").agg(F.min(F.struct("known", "doc_id")).alias("f"))
     joined = whole.join(least, "component").select(F.col("node").alias("sig"), F.col("f.doc_id").alias("linked_id"), F.lit(True).alias("linked"))
     ids = classes.join(joined, "sig", "left").select("sig", F.when(F.col("linked"), F.col("linked_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    return rows.select("doc_id", "n", "sig").join(ids, "sig", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return rows.select("doc_id", "n", "sig", *more).join(ids, "sig", "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), *more)
 
 
 def _one_of_each(sets: DataFrame, classes: DataFrame) -> DataFrame:
     """One row for each signature: that of its smallest doc_id."""
     first = classes.select(F.col("sig").alias("s"), F.col("doc_id").alias("d"))
-    return sets.join(first, (F.col("doc_id").eqNullSafe(F.col("d"))) & (F.col("sig") == F.col("s")), "left_semi").drop("doc_id")
+    return sets.join(first, (F.col("doc_id").eqNullSafe(F.col("d"))) & (F.col("sig") == F.col("s")), "left_semi").drop("doc_id", "mark")
 
 
 def one_of_each_group(docs: DataFrame, words: int = 5, tenths: tuple[int, int] = (8, 10), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that are the smallest doc_id of their group; all columns as they were."""
-    kept = linked_documents(docs, words, tenths, id_col, text_col).where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    """The rows that have the smallest doc_id of their own group; all columns as they were.
+
+    Each row is judged by its own text, also where several have one doc_id; rows of one group that share its smallest
+    doc_id all stay.
+    """
+    rows = _linked(docs, words, tenths, id_col, text_col, True).where("doc_id <=> component_id")
+    kept = rows.select(F.col("doc_id").alias("__kept"), F.col("mark").alias("__mark")).distinct()
+    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept")) & (_mark(F.col(text_col)) == F.col("__mark")), "left_semi")
