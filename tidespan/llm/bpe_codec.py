@@ -104,7 +104,8 @@ def codec(path: str) -> Codec:
 
 @functools.cache
 def _remembered(path: str) -> Remembered:
-    return Remembered(codec(path).encode_chunk)
+    encode = codec(path).encode_chunk
+    return Remembered(lambda chunks: list(map(encode, chunks)))
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

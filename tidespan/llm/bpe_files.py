@@ -10,34 +10,34 @@ from array import array
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import regex
 
-from tidespan.llm.texts import ragged
+from tidespan.llm.texts import distinct, ragged
 
 #: Distinct pieces that a worker remembers. Only time depends on it: a full table is emptied.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
+#: Bytes of text that are handed to a library in one call.
+TOGETHER = 1 << 18
 
 
 class Remembered:
-    """Results by hash of a piece (a word or a chunk of a text)."""
+    """Results by the bytes of a piece (a word or a chunk of a text); ``encode`` gets the pieces not yet known."""
 
-    def __init__(self, encode: Callable[[bytes], object]):
+    def __init__(self, encode: Callable[[list[bytes]], list]):
         self.encode, self.table = encode, {}
 
     def of(self, part) -> tuple[np.ndarray, list]:
         """(number of its result for every piece of the part, the results)."""
-        codes, distinct = pd.factorize(part.hash)
-        first = np.empty(len(distinct), np.int64)
-        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        codes, first = distinct(part)
         if len(self.table) > REMEMBERED:
             self.table.clear()
-        table, data, found = self.table, part.data.tobytes(), []
-        for h, a, b in zip(distinct.tolist(), part.starts[first].tolist(), part.ends[first].tolist()):
-            x = table.get(h)
-            if x is None:
-                x = table[h] = self.encode(data[a:b])
-            found.append(x)
+        data = part.data.tobytes()
+        keys = [data[a:b] for a, b in zip(part.starts[first].tolist(), part.ends[first].tolist())]
+        found = list(map(self.table.get, keys))
+        missed = [i for i, x in enumerate(found) if x is None]
+        if missed:
+            for i, x in zip(missed, self.encode([keys[i] for i in missed])):
+                found[i] = self.table[keys[i]] = x
         return codes, found
 
 
@@ -116,17 +116,53 @@ def word_bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+def rank_file(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
+def joinable(chunk: bytes) -> bool:
+    """Begins with white space and ends with none, so that it may stand between others of the kind without a change."""
+    return chunk[0] in b" \t\n\v\f\r" and 0x20 < chunk[-1] < 0x7F
+
+
+def encoded_together(chunks: list[bytes], lengths: np.ndarray, encode: Callable[[str], np.ndarray], alone: Callable[[bytes], bytes], joins: Callable[[bytes], bool] = joinable) -> list[bytes]:
+    """Ids of many chunks with few calls: those that may stand side by side are encoded as one text and the ids dealt
+    out by the bytes they stand for (``lengths``)."""
+    out: list = [None] * len(chunks)
+    side = [i for i, c in enumerate(chunks) if joins(c)]
+    at = 0
+    while at < len(side):
+        upto, size = at, 0
+        while upto < len(side) and size < TOGETHER:
+            size += len(chunks[side[upto]])
+            upto += 1
+        some = side[at:upto]
+        ids = encode(b"".join([chunks[i] for i in some]).decode()).astype("<u4")
+        stops = np.cumsum([len(chunks[i]) for i in some])
+        after = np.searchsorted(np.cumsum(lengths[ids]), stops) + 1
+        raw = ids.tobytes()
+        for i, a, b in zip(some, [0, *after.tolist()], after.tolist()):
+            out[i] = raw[4 * a:4 * b]
+        at = upto
+    return [alone(c) if x is None else x for c, x in zip(chunks, out)]
+
+
 @functools.cache
 def byte_bpe(path: str, special: tuple[tuple[str, int], ...], pattern: str):
-    """Byte-level vocabulary from a rank file; encodes a chunk to ids. Special strings inside texts are special."""
+    """Byte-level vocabulary from a rank file; encodes chunks to ids. Special strings inside texts are special."""
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    ranks = rank_file(path)
     known = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
+    lengths = np.zeros(max(ranks.values()) + 1, np.int64)
+    lengths[list(ranks.values())] = list(map(len, ranks))
 
-    def encode(chunk: bytes) -> bytes:
+    def alone(chunk: bytes) -> bytes:
         text = chunk.decode()
         return packed_ids(known.encode(text, allowed_special="all") if "<|" in text else known.encode_ordinary(text))
 
-    return encode
+    def together(text: str) -> np.ndarray:
+        return np.array(known.encode_ordinary(text), np.uint32)
+
+    return lambda chunks: encoded_together(chunks, lengths, together, alone, lambda c: b"<|" not in c and joinable(c))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidespan.llm.tables import prepared, texts_of
-from tidespan.llm.texts import STEP, U64, WORD_BYTE, Words, _hashes, BYTE_CODE, mix, powers, rolling, text_parts
+from tidespan.llm.texts import STEP, U64, WORD_BYTE, Words, _hashes, mix, powers, rolling, text_parts
 
 SAMPLE = 3000
 THRESHOLD = 0.5
@@ -72,7 +72,7 @@ def duplicate_lines(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     starts = np.flatnonzero(first)
     place = np.cumsum(body)
     lengths = np.diff(np.append(place[starts] - 1, place[-1]))
-    h = _hashes(BYTE_CODE[data[body]], place[starts] - 1, lengths)
+    h = _hashes(data[body], place[starts] - 1, lengths)
     worded = np.diff(np.concatenate([[0], np.cumsum(WORD_BYTE[data], dtype=np.int64)])[np.append(starts, len(data))]) > 0
     row = np.searchsorted(offsets, starts, "right") - 1
     row, h = row[worded], h[worded]

@@ -1,7 +1,8 @@
 """Vector work on whole texts inside a task: the bytes of an Arrow batch, its words and their hashes.
 
 Words are the maximal runs of bytes outside ``\\x20\\x09-\\x0D``; these are ASCII, so bytes and code points agree on
-them. Hashes have 64 bits and depend on nothing but the bytes of a word, so every task gets the same ones.
+them. Hashes have 64 bits and depend on nothing but the bytes of a word, so every task gets the same ones. A hash sums one
+random number for every (place, byte), so no arrangement of letters makes two words agree.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 U64 = np.uint64
@@ -20,10 +22,11 @@ WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa
 #: A batch is worked on in parts of about so many bytes, so memory depends on the longest text only.
 PART_BYTES = 2_000_000
 
-_random = np.random.default_rng(20240607)
-BYTE_CODE = _random.integers(1, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
-LOWER_CODE = BYTE_CODE.copy()
-LOWER_CODE[65:91] = BYTE_CODE[97:123]
+#: Random numbers for (place, byte) of the first places; later ones are computed.
+SHORT = 32
+PLACED = np.random.default_rng(20240607).integers(0, 2**64, SHORT * 256, dtype=U64)
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -59,13 +62,45 @@ def text_parts(column: pa.Array, part_bytes: int = PART_BYTES) -> Iterator[tuple
         at = end
 
 
-def _hashes(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """One hash for each run; ``codes`` holds the runs one after the other, ``starts`` their places in it."""
+def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """One hash for each run; ``data`` holds the runs one after the other, ``starts`` their places in it."""
     if not len(starts):
         return np.empty(0, U64)
-    place = np.arange(len(codes)) - np.repeat(starts, lengths)
+    place = np.arange(len(data)) - np.repeat(starts, lengths)
     with np.errstate(over="ignore"):
-        return mix(np.add.reduceat(codes * powers(int(lengths.max()))[place], starts) + lengths.astype(U64))
+        if lengths.max() <= SHORT:
+            codes = PLACED[place << 8 | data]
+        else:
+            codes = PLACED[(place & SHORT - 1) << 8 | data]
+            late = np.flatnonzero(place >= SHORT)
+            codes[late] = mix(mix((place[late] << 8 | data[late]).astype(U64) + STEP) + PLACED[0])
+        return mix(np.add.reduceat(codes, starts) + lengths.astype(U64))
+
+
+def distinct(part) -> tuple[np.ndarray, np.ndarray]:
+    """(number of its text for every run of the part, one run for each number). Runs of one hash are compared byte by byte."""
+    codes, found = pd.factorize(part.hash)
+    first = np.empty(len(found), np.int64)
+    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    lengths = part.ends - part.starts
+    other = lengths != lengths[first[codes]]
+    same = np.flatnonzero(~other)
+    n = lengths[same]
+    unlike = part.data[ragged(part.starts[same], n)] != part.data[ragged(part.starts[first[codes[same]]], n)]
+    if unlike.any():
+        other[same[np.searchsorted(np.cumsum(n), np.flatnonzero(unlike), "right")]] = True
+    if other.any():
+        more: dict[bytes, int] = {}
+        added: list[int] = []
+        codes = codes.copy()
+        for i in np.flatnonzero(other).tolist():
+            key = part.data[part.starts[i]:part.ends[i]].tobytes()
+            if key not in more:
+                more[key] = len(first) + len(added)
+                added.append(i)
+            codes[i] = more[key]
+        first = np.append(first, added)
+    return codes, first
 
 
 class Words:
@@ -81,7 +116,8 @@ class Words:
         first[heads], last[tails] = inside[heads], inside[tails]
         self.starts, self.ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         lengths = self.ends - self.starts
-        self.hash = _hashes((LOWER_CODE if lower else BYTE_CODE)[data[inside]], np.cumsum(lengths) - lengths, lengths)
+        runs = data[inside]
+        self.hash = _hashes(LOWER[runs] if lower else runs, np.cumsum(lengths) - lengths, lengths)
         self.data = data
         #: words of text i: bounds[i] to bounds[i + 1]
         self.bounds = np.searchsorted(self.starts, offsets)
@@ -94,10 +130,10 @@ class Chunks:
     """Each run of white space with the run of other characters after it; a text's last white space is one too.
 
     No merge rule of the tokenizers here crosses the end of such a chunk: their patterns never match
-    white space after anything else.
+    white space after anything else. ``uncut``: ASCII white space before which a text is not cut all the same.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, uncut: bytes = b""):
         inside = WORD_BYTE[data]
         raw = data.tobytes()
         if any(x in raw for x in (b"\xc2\xa0", b"\xc2\x85", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")):
@@ -105,11 +141,13 @@ class Chunks:
                 inside[m.start():m.end()] = False
         first = ~inside
         first[1:] &= inside[:-1]
+        for byte in uncut:
+            first &= data != byte
         heads = offsets[:-1][offsets[1:] > offsets[:-1]]
         first[heads] = True
         self.starts = np.flatnonzero(first)
         self.ends = np.append(self.starts[1:], len(data)) if len(self.starts) else self.starts
-        self.hash = _hashes(BYTE_CODE[data], self.starts, self.ends - self.starts)
+        self.hash = _hashes(data, self.starts, self.ends - self.starts)
         self.data = data
         self.bounds = np.searchsorted(self.starts, offsets)
 

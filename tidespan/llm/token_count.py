@@ -63,7 +63,7 @@ def _counter(path: str) -> Remembered:
             n = words[word] = merged_count(bpe.symbols(word), bpe.ranks)
         return n
 
-    return Remembered(lambda chunk: sum(1 if special else of_word(w) for special, w in bpe.pieces(chunk)))
+    return Remembered(lambda chunks: [sum(1 if special else of_word(w) for special, w in bpe.pieces(c)) for c in chunks])
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

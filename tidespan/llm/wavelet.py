@@ -188,7 +188,7 @@ def _remembered(path: str) -> Remembered:
     def encode(chunk: bytes) -> bytes:
         return b"".join([packed_ids([bpe.special[w]]) if special else known.get(w) or of_word(w) for special, w in bpe.pieces(chunk)])
 
-    return Remembered(encode)
+    return Remembered(lambda chunks: list(map(encode, chunks)))
 
 
 def shards(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
