@@ -6,11 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidespan.llm import bpe_codec, chat, ngram_join, order_minhash, packing, quality, sharding, substring_dedup, tables, token_count, wavelet
+from tidespan.llm import (
+    bpe_codec, chat, ngram_join, order_minhash, packing, piece_model, quality, sharding, spelling, substring_dedup, tables, token_alignment,
+    token_count, wavelet,
+)
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
-#: The same vocabulary as ranks, and the special string of the other file.
+PIECES = "piece_bpe_32k.model"
+#: The vocabulary of BYTE_BPE as ranks, and the special string of that file.
 BYTE_RANKS, BYTE_SPECIAL = "byte_bpe_50k.tiktoken", (("<|endoftext|>", 50256),)
 
 
@@ -69,8 +73,21 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(spark.read.schema(wavelet.SHARDS).parquet(folder))
 
 
+def op11_fm_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"), 6, 5, 5, slip=199)
+
+
+def op12_piece_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_model.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
+
+
+def op13_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, public_tokenizers.path(PIECES))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_karmarkar_karp, op2_offset_masks, op3_ngram_jaccard, op4_ngram_regression, op5_best_fit, op6_heap_merges, op7_block_anchors, op8_forced_boundaries, op9_order_minhash, op10_wavelet,
+    op11_fm_search, op12_piece_model, op13_pointer_jumping,
 )}
 
 #: ASCII white space of the word rule, in RE2.
