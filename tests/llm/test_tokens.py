@@ -135,6 +135,18 @@ def test_wavelet_matrix():
                 m.select(v, len(places))
 
 
+def test_only_touched_frames_are_unpacked(monkeypatch):
+    monkeypatch.setattr(wavelet, "FRAME", 512)
+    values = np.random.default_rng(2).integers(0, 40, 20_000).astype(np.uint16)
+    payload = wavelet.to_file([1], np.array([20_000]), wavelet.WaveletMatrix.build(values, 6))
+    opened = lambda m: max(len(p.opened) for p in m.planes)
+    for ask, want, limit in ((lambda m: m.access(12_345), values[12_345], 1), (lambda m: m.rank(7, 15_000), (values[:15_000] == 7).sum(), 2),
+                             (lambda m: m.select(7, 200), np.flatnonzero(values == 7)[200], 4)):
+        _, _, m = wavelet.from_file(payload)
+        assert opened(m) == 0 and ask(m) == want and opened(m) <= limit
+    assert (m.values() == values).all() and opened(m) == 40
+
+
 def test_wavelet_files(spark, odd, odd_rows, by_words, tmp_path, monkeypatch):
     monkeypatch.setattr(wavelet, "SHARD_IDS", 500)
     wavelet.write_shards(odd, WORDS, f"{tmp_path}/w")

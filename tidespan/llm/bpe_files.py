@@ -77,7 +77,8 @@ class WordBpe:
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.names = {i: t for t, i in (self.vocab | self.special).items()}
         self.letters = byte_letters()
-        self._find = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self._find, self._find_lines = regex.compile(pattern).findall, regex.compile(f"{pattern}|\n").findall
         self._cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
 
     def pieces(self, chunk: bytes) -> list[tuple[bool, str]]:
@@ -104,6 +105,11 @@ class WordBpe:
             return [part[:-1], part[-1]]
         return self._find(part)
 
+    def lines(self, text: str) -> list[str]:
+        """Words of many chunks without white space and special strings, each with a line feed behind it, which stays."""
+        text = text if text.isascii() else unicodedata.normalize("NFC", text)
+        return self._find_lines(text.lower() if "Σ" not in text else "".join(map(str.lower, text)))
+
     def symbols(self, word: str) -> list[str]:
         """One letter a byte; the last one carries the word end."""
         out = [self.letters[b] for b in word.encode()]

@@ -1,14 +1,14 @@
 """Token ids as wavelet matrices, one per shard, in compressed files.
 
 A shard is a run of documents in ascending doc_id order. Its ids are stored as bit-planes, highest bit first; after
-each plane the ids with a 0 bit go before those with a 1 bit. With a count of ones before every 512 bits, one file
-answers access (the id at a place), rank (how often an id occurs before a place) and select (where its n-th
-occurrence is) without decoding the rest.
+each plane the ids with a 0 bit go before those with a 1 bit. A plane is cut into frames of 524,288 bits, each compressed by itself, with
+the count of ones before every frame; so one file answers access (the id at a place), rank (how often an id occurs
+before a place) and select (where its n-th occurrence is) by unpacking one or two frames a plane.
 
-File format, little-endian: ``WVM1``, uint32 bits a number, uint64 numbers, uint64 documents, then zstandard of: doc_id
-(int64 each), a null flag a document (uint8), ids of each document (int64 each), then for each plane uint64 zeros, its bits in
-64-bit words, and uint64 ones before each block of 512 bits. Files are the ``payload`` of rows in Parquet, written
-through Spark's committer; so a lost executor costs its running tasks.
+File format, little-endian: ``WVM2``, uint32 bits a number, uint64 numbers, uint64 documents, uint32 bytes of the packed document
+table; for each plane uint64 ones before every frame and in all, then uint32 bytes of every packed frame; then the zstandard
+frames: the document table (doc_id, int64 each; a null flag, uint8; ids of each document, int64), and the frames of all planes (bits
+in 64-bit words). Files are the ``payload`` of rows in Parquet, written through Spark's committer; so a lost executor costs its running tasks.
 
 Defined results: null text: empty, so a document is its end id alone; rows of equal doc_id are ordered by text; null
 doc_ids come first; an empty table gives no shard; other columns are ignored.
@@ -27,73 +27,114 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidespan.llm.bpe_files import Remembered, flat_ids, packed_ids, word_bpe
+from tidespan.llm.bpe_files import word_bpe
+from tidespan.llm.memo import Arena, Memo, holding
 from tidespan.llm.tables import prepared, texts_of
 from tidespan.llm.texts import Words, text_parts
 
-MAGIC = b"WVM1"
-BLOCK = 512
+MAGIC = b"WVM2"
+#: Bits of a plane that are compressed together.
+FRAME = 1 << 19
 #: A shard is closed at so many ids; the longest document may go beyond.
 SHARD_IDS = 1 << 21
+#: Words that a worker remembers. Only time depends on it.
+KNOWN_WORDS = 400_000
 SHARDS = "first_doc_id long, shard long, n_tokens long, payload binary"
 
 
+class Plane:
+    """One bit of every number: frames of 64-bit words, unpacked when they are first touched."""
+
+    def __init__(self, n: int, before: np.ndarray, packed: list[bytes], opened: dict[int, np.ndarray]):
+        self.n, self.before, self.packed, self.opened = n, before, packed, opened
+        self.zeros = n - int(before[-1])
+
+    @classmethod
+    def of(cls, bit: np.ndarray) -> Plane:
+        raw = np.zeros(-(-len(bit) // 64) * 8, np.uint8)
+        packed = np.packbits(bit, bitorder="little")
+        raw[:len(packed)] = packed
+        words = raw.view("<u8")
+        frames = [words[a:a + FRAME // 64] for a in range(0, len(words), FRAME // 64)]
+        ones = [int(np.bitwise_count(w).sum(dtype=np.int64)) for w in frames]
+        return cls(len(bit), np.concatenate([[0], np.cumsum(ones, dtype=np.int64)]), [], dict(enumerate(frames)))
+
+    def frame(self, f: int) -> np.ndarray:
+        if f not in self.opened:
+            self.opened[f] = np.frombuffer(zstandard.ZstdDecompressor().decompress(self.packed[f]), "<u8")
+        return self.opened[f]
+
+    def bit(self, i: int) -> int:
+        f, r = divmod(i, FRAME)
+        return int(self.frame(f)[r >> 6]) >> (r & 63) & 1
+
+    def ones(self, i: int) -> int:
+        """Ones before place i."""
+        f, r = divmod(i, FRAME)
+        out = int(self.before[f])
+        if r:
+            words = self.frame(f)
+            out += int(np.bitwise_count(words[:r >> 6]).sum(dtype=np.int64))
+            if r & 63:
+                out += (int(words[r >> 6]) & (1 << (r & 63)) - 1).bit_count()
+        return out
+
+    def nth(self, k: int, one: int) -> int:
+        """Place of the k-th (from 0) one or zero: frames by binary search, then words, then bits."""
+        places = np.minimum(np.arange(len(self.before)) * FRAME, self.n)
+        before = self.before if one else places - self.before
+        f = int(np.searchsorted(before, k, "right")) - 1
+        k -= int(before[f])
+        words = self.frame(f) if one else ~self.frame(f)
+        upto = np.cumsum(np.bitwise_count(words), dtype=np.int64)
+        w = int(np.searchsorted(upto, k, "right"))
+        k -= int(upto[w - 1]) if w else 0
+        word = int(words[w])
+        for _ in range(k):
+            word &= word - 1
+        return f * FRAME + w * 64 + (word & -word).bit_length() - 1
+
+    def bits(self) -> np.ndarray:
+        words = [self.frame(f) for f in range(len(self.before) - 1)]
+        return np.unpackbits(np.concatenate(words).view(np.uint8), count=self.n, bitorder="little").view(bool) if words else np.zeros(0, bool)
+
+
 class WaveletMatrix:
     """Bit-planes over a sequence of unsigned numbers, with rank and select."""
 
-    def __init__(self, bits: int, n: int, planes: list[np.ndarray], zeros: list[int], ones: list[np.ndarray]):
-        self.bits, self.n, self.planes, self.zeros, self.ones = bits, n, planes, zeros, ones
+    def __init__(self, n: int, planes: list[Plane]):
+        self.n, self.planes, self.levels = n, planes, len(planes)
 
     @classmethod
     def build(cls, values: np.ndarray, bits: int) -> WaveletMatrix:
-        n = len(values)
-        words = -(-n // BLOCK) * (BLOCK // 64)
-        planes, zeros, ones = [], [], []
+        n, planes = len(values), []
         for level in range(bits - 1, -1, -1):
-            bit = (values >> values.dtype.type(level)) & values.dtype.type(1) != 0
-            raw = np.zeros(words * 8, np.uint8)
-            packed = np.packbits(bit, bitorder="little")
-            raw[:len(packed)] = packed
-            plane = raw.view("<u8")
-            planes.append(plane)
-            counts = np.bitwise_count(plane).reshape(-1, BLOCK // 64).sum(axis=1, dtype=np.int64)
-            ones.append(np.concatenate([[0], np.cumsum(counts)]))
-            zeros.append(n - int(ones[-1][-1]))
+            bit = values & values.dtype.type(1 << level) != 0
+            planes.append(Plane.of(bit))
             values = np.concatenate([values[~bit], values[bit]])
-        return cls(bits, n, planes, zeros, ones)
-
-    def _bit(self, level: int, i: int) -> int:
-        return int(self.planes[level][i >> 6]) >> (i & 63) & 1
-
-    def _ones(self, level: int, i: int) -> int:
-        """Ones before place i of a plane."""
-        block, plane = i // BLOCK, self.planes[level]
-        out = int(self.ones[level][block])
-        for w in range(block * (BLOCK // 64), i >> 6):
-            out += int(plane[w]).bit_count()
-        return out + (int(plane[i >> 6]) & ((1 << (i & 63)) - 1)).bit_count() if i & 63 else out
+        return cls(n, planes)
 
     def access(self, i: int) -> int:
         if not 0 <= i < self.n:
             raise IndexError(i)
         out = 0
-        for level in range(self.bits):
-            bit, ones = self._bit(level, i), self._ones(level, i)
+        for plane in self.planes:
+            bit, ones = plane.bit(i), plane.ones(i)
             out = out << 1 | bit
-            i = self.zeros[level] + ones if bit else i - ones
+            i = plane.zeros + ones if bit else i - ones
         return out
 
     def _range(self, value: int, end: int) -> tuple[int, int]:
         """Where the occurrences of the value before ``end`` stand below the last plane."""
         a = 0
-        for level in range(self.bits):
-            below, upto = self._ones(level, a), self._ones(level, end)
-            a, end = (self.zeros[level] + below, self.zeros[level] + upto) if value >> (self.bits - 1 - level) & 1 else (a - below, end - upto)
+        for level, plane in enumerate(self.planes):
+            below, upto = plane.ones(a), plane.ones(end)
+            a, end = (plane.zeros + below, plane.zeros + upto) if value >> (self.levels - 1 - level) & 1 else (a - below, end - upto)
         return a, end
 
     def rank(self, value: int, end: int | None = None) -> int:
         """Occurrences of the value before place ``end``."""
-        if not 0 <= value < 1 << self.bits:
+        if not 0 <= value < 1 << self.levels:
             return 0
         a, b = self._range(value, self.n if end is None else end)
         return b - a
@@ -103,92 +144,124 @@ class WaveletMatrix:
         if not 0 <= nth < self.rank(value):
             raise IndexError(nth)
         i = self._range(value, self.n)[0] + nth
-        for level in range(self.bits - 1, -1, -1):
-            one = value >> (self.bits - 1 - level) & 1
-            i = self._nth(level, i - self.zeros[level] if one else i, one)
+        for level in range(self.levels - 1, -1, -1):
+            plane, one = self.planes[level], value >> (self.levels - 1 - level) & 1
+            i = plane.nth(i - plane.zeros if one else i, one)
         return i
 
-    def _nth(self, level: int, k: int, one: int) -> int:
-        """Place of the k-th (from 0) one or zero of a plane: blocks by binary search, then words, then bits."""
-        ones = self.ones[level]
-        before = ones if one else np.arange(len(ones)) * BLOCK - ones
-        block = int(np.searchsorted(before, k, "right")) - 1
-        k -= int(before[block])
-        w = block * (BLOCK // 64)
-        while True:
-            word = int(self.planes[level][w])
-            word = word if one else ~word & (1 << 64) - 1
-            if k < (c := word.bit_count()):
-                break
-            k, w = k - c, w + 1
-        for _ in range(k):
-            word &= word - 1
-        return w * 64 + (word & -word).bit_length() - 1
-
     def values(self) -> np.ndarray:
         """The whole sequence, plane by plane from the last one up."""
-        kind = np.uint16 if self.bits <= 16 else np.uint32
+        kind = np.uint16 if self.levels <= 16 else np.uint32
         out = np.zeros(self.n, kind)
-        for level in range(self.bits - 1, -1, -1):
-            bit = np.unpackbits(self.planes[level].view(np.uint8), count=self.n, bitorder="little").view(bool)
+        for level in range(self.levels - 1, -1, -1):
+            plane = self.planes[level]
+            bit = plane.bits()
             above = np.empty_like(out)
-            above[~bit] = out[:self.zeros[level]]
-            above[bit] = out[self.zeros[level]:] | kind(1 << self.bits - 1 - level)
+            above[~bit] = out[:plane.zeros]
+            above[bit] = out[plane.zeros:] | kind(1 << self.levels - 1 - level)
             out = above
         return out
 
 
 def to_file(doc_ids: list[int | None], sizes: np.ndarray, matrix: WaveletMatrix) -> bytes:
-    body = [np.array([x or 0 for x in doc_ids], "<i8"), np.array([x is None for x in doc_ids], np.uint8), sizes.astype("<i8")]
-    for plane, zeros, ones in zip(matrix.planes, matrix.zeros, matrix.ones):
-        body += [np.array([zeros], "<u8"), plane, ones.astype("<u8")]
-    packed = zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in body))
-    return MAGIC + struct.pack("<IQQ", matrix.bits, matrix.n, len(doc_ids)) + packed
+    pack = zstandard.ZstdCompressor(level=1).compress
+    table = pack(b"".join(x.tobytes() for x in (np.array([x or 0 for x in doc_ids], "<i8"), np.array([x is None for x in doc_ids], np.uint8), sizes.astype("<i8"))))
+    head, frames = [MAGIC, struct.pack("<IQQI", matrix.levels, matrix.n, len(doc_ids), len(table))], [table]
+    for plane in matrix.planes:
+        packed = [pack(plane.frame(f).tobytes()) for f in range(len(plane.before) - 1)]
+        head += [plane.before.astype("<u8").tobytes(), np.array(list(map(len, packed)), "<u4").tobytes()]
+        frames += packed
+    return b"".join(head + frames)
 
 
 def from_file(payload: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
+    """The documents of a shard, their numbers of ids, and the matrix, whose frames stay packed until they are asked for."""
     if payload[:4] != MAGIC:
         raise ValueError("not a wavelet shard")
-    bits, n, docs = struct.unpack_from("<IQQ", payload, 4)
-    raw, at = zstandard.ZstdDecompressor().decompress(payload[24:]), 0
-
-    def take(kind: str, count: int) -> np.ndarray:
-        nonlocal at
-        out = np.frombuffer(raw, kind, count, at)
-        at += out.nbytes
-        return out
-
-    ids, null, sizes = take("<i8", docs).tolist(), take("u1", docs), take("<i8", docs)
+    bits, n, docs, size = struct.unpack_from("<IQQI", payload, 4)
+    count, at = -(-n // FRAME), 4 + struct.calcsize("<IQQI")
+    heads = []
+    for _ in range(bits):
+        heads.append((np.frombuffer(payload, "<u8", count + 1, at).astype(np.int64), np.frombuffer(payload, "<u4", count, at + 8 * (count + 1)).tolist()))
+        at += 8 * (count + 1) + 4 * count
+    raw = zstandard.ZstdDecompressor().decompress(payload[at:at + size])
+    at += size
+    ids, null, sizes = np.frombuffer(raw, "<i8", docs).tolist(), np.frombuffer(raw, "u1", docs, 8 * docs), np.frombuffer(raw, "<i8", docs, 9 * docs)
     for i in np.flatnonzero(null):
         ids[i] = None
-    blocks = -(-n // BLOCK)
-    planes, zeros, ones = [], [], []
-    for _ in range(bits):
-        zeros.append(int(take("<u8", 1)[0]))
-        planes.append(take("<u8", blocks * (BLOCK // 64)))
-        ones.append(take("<u8", blocks + 1).astype(np.int64))
-    return ids, sizes, WaveletMatrix(bits, n, planes, zeros, ones)
+    planes = []
+    for before, lengths in heads:
+        ends = np.cumsum(lengths, dtype=np.int64) + at
+        planes.append(Plane(n, before, [payload[e - m:e] for e, m in zip(ends.tolist(), lengths)], {}))
+        at = int(ends[-1]) if lengths else at
+    return ids, sizes, WaveletMatrix(n, planes)
+
+
+class WordIds:
+    """Ids of chunks without white space, by the tokenizers library's own merges: the words of all new chunks are found in
+    one text, and those not met before go to the library together."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        self.bpe, self.merges = word_bpe(path), Tokenizer(Tokenizer.from_file(path).model)
+        self.merges.pre_tokenizer = WhitespaceSplit()  # no letter that stands for a byte is white space
+        self.letters = {b: c for b, c in self.bpe.letters.items() if b != 0x20}
+        self.last = np.zeros(max(self.bpe.names) + 1, bool)
+        self.last[[i for t, i in self.bpe.vocab.items() if t.endswith(self.bpe.suffix)]] = True
+        self.known: dict[str, int] = {}
+        self.memo = Memo(self.encode)
+        self.clear()
+
+    def clear(self) -> None:
+        self.known.clear()
+        self.known["\n"] = 0  # between chunks, without ids
+        self.ids = Arena(np.uint32)
+        self.ids.add(np.empty(0, np.uint32), np.zeros(1, np.int64))
+
+    def learn(self, words: list[str]) -> None:
+        if not words:
+            return
+        text = " ".join(words).encode().decode("latin-1").translate(self.letters)
+        ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        after = np.flatnonzero(self.last[ids]) + 1  # a word's last token carries the word end
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.ids.add(ids, np.diff(after, prepend=0))
+
+    def encode(self, raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > KNOWN_WORDS:
+            self.clear()
+        special = holding(raw, lengths, b"<|")
+        ends = np.cumsum(lengths)
+        if special.any():  # special strings may stand in these
+            plain = np.repeat(~special, lengths)
+            words = self.bpe.lines(np.insert(raw[plain], np.cumsum(lengths[~special]), 10).tobytes().decode())
+        else:
+            words = self.bpe.lines(np.insert(raw, ends, 10).tobytes().decode())
+        apart = [self.bpe.pieces(raw[ends[i] - lengths[i]:ends[i]].tobytes()) for i in np.flatnonzero(special).tolist()]
+        met = dict.fromkeys(words)
+        met.update((w, None) for pieces in apart for is_special, w in pieces if not is_special)
+        self.learn([w for w in met if w not in self.known])
+        which = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        flat, n = self.ids.get(which)
+        sizes = np.zeros(len(lengths), np.int64)
+        sizes[~special] = np.diff(np.cumsum(n)[which == 0], prepend=0)
+        if not special.any():
+            return flat, sizes
+        found = np.split(flat, np.cumsum(sizes[~special])[:-1]) if (~special).any() else []
+        out: list = [None] * len(lengths)
+        for i, x in zip(np.flatnonzero(~special).tolist(), found):
+            out[i] = x
+        for i, pieces in zip(np.flatnonzero(special).tolist(), apart):
+            out[i] = np.concatenate([np.empty(0, np.uint32), *[np.array([self.bpe.special[w]], np.uint32) if s else self.ids.get(np.array([self.known[w]]))[0] for s, w in pieces]])
+            sizes[i] = len(out[i])
+        return np.concatenate(out), sizes
 
 
 @functools.cache
-def _remembered(path: str) -> Remembered:
-    """Ids of a chunk by the tokenizers library's own merges."""
-    from tokenizers import Tokenizer
-
-    bpe, model = word_bpe(path), Tokenizer.from_file(path).model
-    known: dict[str, bytes] = {}
-
-    def of_word(word: str) -> bytes:
-        if len(known) > 500_000:
-            known.clear()
-        raw = word.encode().decode("latin-1").translate(bpe.letters)
-        known[word] = ids = packed_ids([t.id for t in model.tokenize(raw)])
-        return ids
-
-    def encode(chunk: bytes) -> bytes:
-        return b"".join([packed_ids([bpe.special[w]]) if special else known.get(w) or of_word(w) for special, w in bpe.pieces(chunk)])
-
-    return Remembered(lambda chunks: list(map(encode, chunks)))
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
 
 
 def shards(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,7 +289,7 @@ def shards(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id",
         for batch in batches:
             for at, data, offsets in text_parts(batch.column(1)):
                 words = Words(data, offsets)
-                flat, before = flat_ids(*_remembered(path).of(words))
+                flat, before = word_ids(path).memo.of(words)
                 ends = before[words.bounds]
                 rows = len(offsets) - 1
                 names += batch.column(0).slice(at, rows).to_pylist()
