@@ -12,12 +12,11 @@ from collections.abc import Callable
 import numpy as np
 import regex
 
+from tidespan.llm.memo import Memo, holding, joinable, split_together
 from tidespan.llm.texts import distinct, ragged
 
 #: Distinct pieces that a worker remembers. Only time depends on it: a full table is emptied.
 REMEMBERED = 500_000
-#: Bytes of text that are handed to a library in one call.
-TOGETHER = 1 << 18
 
 
 class Remembered:
@@ -127,36 +126,9 @@ def rank_file(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def joinable(chunk: bytes) -> bool:
-    """Begins with white space and ends with none, so that it may stand between others of the kind without a change."""
-    return chunk[0] in b" \t\n\v\f\r" and 0x20 < chunk[-1] < 0x7F
-
-
-def encoded_together(chunks: list[bytes], lengths: np.ndarray, encode: Callable[[str], np.ndarray], alone: Callable[[bytes], bytes], joins: Callable[[bytes], bool] = joinable) -> list[bytes]:
-    """Ids of many chunks with few calls: those that may stand side by side are encoded as one text and the ids dealt
-    out by the bytes they stand for (``lengths``)."""
-    out: list = [None] * len(chunks)
-    side = [i for i, c in enumerate(chunks) if joins(c)]
-    at = 0
-    while at < len(side):
-        upto, size = at, 0
-        while upto < len(side) and size < TOGETHER:
-            size += len(chunks[side[upto]])
-            upto += 1
-        some = side[at:upto]
-        ids = encode(b"".join([chunks[i] for i in some]).decode()).astype("<u4")
-        stops = np.cumsum([len(chunks[i]) for i in some])
-        after = np.searchsorted(np.cumsum(lengths[ids]), stops) + 1
-        raw = ids.tobytes()
-        for i, a, b in zip(some, [0, *after.tolist()], after.tolist()):
-            out[i] = raw[4 * a:4 * b]
-        at = upto
-    return [alone(c) if x is None else x for c, x in zip(chunks, out)]
-
-
 @functools.cache
-def byte_bpe(path: str, special: tuple[tuple[str, int], ...], pattern: str):
-    """Byte-level vocabulary from a rank file; encodes chunks to ids. Special strings inside texts are special."""
+def byte_bpe(path: str, special: tuple[tuple[str, int], ...], pattern: str) -> Memo:
+    """Ids of chunks by a byte-level vocabulary from a rank file. Special strings inside texts are special."""
     import tiktoken
 
     ranks = rank_file(path)
@@ -164,11 +136,10 @@ def byte_bpe(path: str, special: tuple[tuple[str, int], ...], pattern: str):
     lengths = np.zeros(max(ranks.values()) + 1, np.int64)
     lengths[list(ranks.values())] = list(map(len, ranks))
 
-    def alone(chunk: bytes) -> bytes:
-        text = chunk.decode()
-        return packed_ids(known.encode(text, allowed_special="all") if "<|" in text else known.encode_ordinary(text))
+    def alone(text: str) -> list[int]:
+        return known.encode(text, allowed_special="all")
 
     def together(text: str) -> np.ndarray:
-        return np.array(known.encode_ordinary(text), np.uint32)
+        return np.array(known.encode_ordinary(text), np.int64)
 
-    return lambda chunks: encoded_together(chunks, lengths, together, alone, lambda c: b"<|" not in c and joinable(c))
+    return Memo(lambda raw, n: split_together(raw, n, joinable(raw, n) & ~holding(raw, n, b"<|"), lengths, together, alone))

@@ -23,14 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidespan.llm.bpe_files import Remembered, byte_bpe, flat_ids
+from tidespan.llm.bpe_files import byte_bpe
 from tidespan.llm.tables import prepared, texts_of, written
 from tidespan.llm.texts import Chunks, text_parts
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Blocks in which the pieces of one length are ranked.
 RANK_BLOCKS = 256
-_tables: dict[tuple, Remembered] = {}
 
 
 class Capacities:
@@ -111,14 +110,12 @@ def token_pieces(docs: DataFrame, path: str, pattern: str, special: tuple[tuple[
     prepared(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (path, special, pattern)
-        if key not in _tables:
-            _tables[key] = Remembered(byte_bpe(path, special, pattern))
+        known = byte_bpe(path, special, pattern)
         for batch in batches:
             names = batch.column(0)
             for at, data, offsets in text_parts(batch.column(1)):
                 chunks = Chunks(data, offsets)
-                ids, before = flat_ids(*_tables[key].of(chunks))
+                ids, before = known.of(chunks)
                 ends = before[chunks.bounds]
                 out: list[tuple] = []
                 for i, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist())):
