@@ -134,7 +134,7 @@ FINALS = {
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey) WHERE hospstay_seq = 1 AND icustay_seq = 1""",
     "order_ranks": """SELECT o_custkey, o_orderkey, o_orderdate,
         dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST) AS hospstay_seq FROM orders""",
-    "sink_refresh": "SELECT * FROM stays WHERE user_id % 2 = 1",
+    "sink_refresh": "SELECT * FROM stays",
     "window_avg_ratio": """SELECT o_orderkey AS order_key, round(avg(l_extendedprice), 6) AS weight, round(avg(l_quantity), 6) AS height,
         round(avg(l_extendedprice) / nullif(pow(avg(l_quantity) / 10, 2), 0), 6) AS ratio
         FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey

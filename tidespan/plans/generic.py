@@ -31,7 +31,8 @@ from tidespan.operators.outer import full_outer_distinct, keep_groups
 from tidespan.operators.pivot import Measure, guarded_pivot
 from tidespan.operators.ranking import dense_rank_by_time, earliest_by_time, first_per_key, smallest_time
 from tidespan.operators.spine import time_spine
-from tidespan.sources.registry import Sources, materialize, shared_folder, write_table
+from tidespan.sources.registry import Sources, materialize, shared_folder
+from tidespan.sources.snapshots import write_snapshot
 
 TYPES = ("click", "error", "purchase", "signup", "view")
 LOOKBACK = ("error", "purchase", "signup")
@@ -412,12 +413,12 @@ class Generic:
         return bins.join(self.daily(wide).select("user_id", "day", "total", "missing_pct"), ["user_id", "day"])
 
     def sink_refresh(self) -> DataFrame:
-        """All stays written by year and a day late, then refreshed with all stays: only the refresh is left."""
+        """All stays written by year and a day late, then refreshed from the table itself: only the refresh is left."""
         path = f"{shared_folder(self.table.spark)}/tidespan/sink-{uuid.uuid4().hex}"
-        stays = self.stays()
-        late = stays.selectExpr("user_id", *[f"{c} + INTERVAL '1' DAY AS {c}" for c in ("stay_start", "stay_end")], "year(stay_start) AS year")
-        write_table(late, path, ["year"])
-        return write_table(stays, path)
+        bounds = ("stay_start", "stay_end")
+        late = self.stays().selectExpr("user_id", *[f"{c} + INTERVAL '1' DAY AS {c}" for c in bounds], "year(stay_start) AS year")
+        written = write_snapshot(late, path, ["year"])
+        return write_snapshot(written.selectExpr("user_id", *[f"{c} - INTERVAL '1' DAY AS {c}" for c in bounds]), path, retain=0)
 
     def final_semi_filter(self) -> DataFrame:
         rows = materialize(self.binned().selectExpr("user_id", "bin_start", "overlap", r6("signup")), "binned")

@@ -18,7 +18,8 @@ from tidespan.functions.scoring import safe_ratio
 from tidespan.operators.outer import keep_groups
 from tidespan.operators.spine import time_spine
 from tidespan.plans import measurements, rules, severity, stays, treatments, ventilation
-from tidespan.sources.registry import Sources, materialize, remove_table, write_table
+from tidespan.sources.registry import Sources, materialize, remove_table
+from tidespan.sources.snapshots import write_snapshot
 
 BIN = ["stay_id", "bin_index"]
 KEYS = ["subject_id", "hadm_id", "stay_id", "icu_day_start"]
@@ -293,7 +294,7 @@ class Pipeline:
 
     # --- sink ------------------------------------------------------------------------------------
     def write(self, folder: str, stages: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
-        """Full refresh of the named stages (default all) as Parquet tables below ``folder``.
+        """Full refresh of the named stages (default all) as tables below ``folder``, each published as a whole.
 
         A stage that others read is written first, and they read the written table.
         """
@@ -301,7 +302,7 @@ class Pipeline:
         wanted = stages or STAGES
         out = {}
         for name in sorted(wanted, key=lambda n: (n not in kept, STAGES.index(n))):
-            out[name] = write_table(getattr(self, name)(), f"{folder}/{name}")
+            out[name] = write_snapshot(getattr(self, name)(), f"{folder}/{name}")
             if name in kept:
                 self.__dict__.setdefault(kept[name], out[name])
         return {name: out[name] for name in wanted}

@@ -9,17 +9,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tidespan.sources.contracts import CLINICAL, conform
+from tidespan.sources.snapshots import read_snapshot, versions
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 class Sources:
-    """Named tables: Parquet files ``<root>/<name>.parquet``, catalogue tables or given DataFrames."""
+    """Named tables: Parquet files ``<root>/<name>.parquet``, refreshed tables ``<snapshots>/<name>``, catalogue tables or given DataFrames."""
 
     def __init__(self, spark: SparkSession, root: str | None = None, catalog: dict[str, str] | None = None,
-                 frames: dict[str, DataFrame] | None = None):
+                 frames: dict[str, DataFrame] | None = None, snapshots: str | None = None):
         self.spark = spark
         self.root = root
+        self.snapshots = snapshots
         self.catalog = catalog or {}
         self.frames = frames or {}
         self._open: dict[str, DataFrame] = {}
@@ -35,6 +37,8 @@ class Sources:
             df = self.frames[name]
         elif name in self.catalog:
             df = self.spark.table(self.catalog[name])
+        elif self.snapshots is not None and versions(self.spark, f"{self.snapshots}/{name}"):
+            df = read_snapshot(self.spark, f"{self.snapshots}/{name}")
         elif self.root is not None:
             df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         else:
@@ -44,15 +48,6 @@ class Sources:
     __call__ = table
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Full refresh of a Parquet table; returns the table as a scan."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def remove_table(spark: SparkSession, path: str) -> None:
     """Delete a written table through the file system that holds it."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -82,4 +77,5 @@ def materialize(df: DataFrame, name: str, made: list[str] | None = None) -> Data
     folder = f"{shared_folder(df.sparkSession)}/tidespan/{name}-{uuid.uuid4().hex}"
     if made is not None:
         made.append(folder)
-    return write_table(df, folder)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
