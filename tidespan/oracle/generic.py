@@ -190,6 +190,9 @@ FINALS = {
     "bin_any_flag": "SELECT * FROM any_error",
     "bin_distinct_list": "SELECT * FROM label_list",
     "interval_overlap_flag": "SELECT * FROM overlap_flags",
+    "interval_overlap_pairs": """SELECT a.user_id, a.event_id AS purchase_id, b.event_id AS error_id, greatest(a.th, b.th) AS starttime, least(a.stop, b.stop) AS stoptime
+        FROM spans a JOIN spans b ON a.user_id = b.user_id AND a.th <= b.stop AND b.th <= a.stop
+        WHERE a.event_type = 'purchase' AND b.event_type = 'error' AND a.th <= a.stop AND b.th <= b.stop""",
     "lookback_flags": "SELECT * FROM lookbacks",
     "lookback_still_active": "SELECT * FROM active_lookbacks",
     "flag_union_join": "SELECT * FROM all_flags",

@@ -21,12 +21,12 @@ from tidespan.operators.bins import (
     bin_aggregate,
     bins_with_lookback,
     covered_bins,
-    events_in_window,
     lookback_bins,
     overlapped_bins,
 )
 from tidespan.operators.codes import CodeRule, code_flags
 from tidespan.operators.episodes import episode_features, state_episodes
+from tidespan.operators.intervals import interval_join, points_in_windows
 from tidespan.operators.outer import full_outer_distinct, keep_groups
 from tidespan.operators.pivot import Measure, guarded_pivot
 from tidespan.operators.ranking import dense_rank_by_time, earliest_by_time, first_per_key, smallest_time
@@ -125,8 +125,8 @@ class Generic:
     def window_avg_ratio(self) -> DataFrame:
         orders = self.table("orders").selectExpr("o_orderkey AS order_key", "o_orderdate")
         lines = self.table("lineitem").selectExpr("l_orderkey AS order_key", "l_shipdate", "l_extendedprice", "l_quantity")
-        inside = events_in_window(lines, orders, ["order_key"], "l_shipdate", plus_hours("o_orderdate", -30 * 24),
-                                  plus_hours("o_orderdate", 90 * 24), slice_hours=60 * 24)
+        inside = points_in_windows(lines, orders, ["order_key"], "l_shipdate", plus_hours("o_orderdate", -30 * 24),
+                                   plus_hours("o_orderdate", 90 * 24), whole_cells=False)
         means = group(inside, ["order_key"], "avg(l_extendedprice) AS p", "avg(l_quantity) AS q")
         return orders.select("order_key").join(means, "order_key", "left").selectExpr(
             "order_key", r6("p", "weight"), r6("q", "height"), r6(scoring.safe_ratio("p", "pow(q / 10, 2)"), "ratio")
@@ -262,10 +262,10 @@ class Generic:
                        "listagg(event_type, ', ') WITHIN GROUP (ORDER BY event_type) AS labels")
         return self.on_spine(labels).select("user_id", "bin_start", "labels")
 
-    def intervals(self, *types: str) -> DataFrame:
+    def intervals(self, *types: str, more: tuple[str, ...] = ()) -> DataFrame:
         """Event as interval of 0–29 hours; every tenth has no end."""
         stop = "CASE WHEN event_id % 10 <> 0 THEN th + (cast(floor(value) AS bigint) % 30) * INTERVAL '1' HOUR END"
-        return self.events(*types).selectExpr("user_id", "event_type", "th", f"{stop} AS stop")
+        return self.events(*types).selectExpr("user_id", "event_type", "th", f"{stop} AS stop", *more)
 
     def overlaps(self) -> DataFrame:
         """Bins that any purchase interval touches; of equal starts only the longest interval matters."""
@@ -278,6 +278,12 @@ class Generic:
     def interval_overlap_flag(self) -> DataFrame:
         return self.on_spine(self.overlaps()).selectExpr("user_id", "bin_start", "coalesce(overlap, 0) AS overlap")
 
+    def interval_overlap_pairs(self) -> DataFrame:
+        """Purchases and errors of a user, both as intervals, that overlap."""
+        sides = [self.intervals(t, more=("event_id",)).selectExpr("user_id", f"event_id AS {t}_id", f"th AS {t}_start", f"stop AS {t}_stop") for t in ("purchase", "error")]
+        pairs = interval_join(*sides, USER, ("purchase_start", "purchase_stop"), ("error_start", "error_stop"))
+        return pairs.selectExpr("user_id", "purchase_id", "error_id", "greatest(purchase_start, error_start) AS starttime", "least(purchase_stop, error_stop) AS stoptime")
+
     def lookbacks(self, active_until: str | None) -> DataFrame:
         hits = lookback_bins(self.intervals(*LOOKBACK), self.stays(), USER, "th", "stay_start", "stay_end", active_until)
         flags = group(hits, BIN, *[f"max(CASE WHEN event_type = '{t}' THEN 1 END) AS {t}_24h" for t in LOOKBACK])
@@ -436,7 +442,7 @@ QUERIES = (
     "union_pivot_rates", "sum_by_time", "guarded_pivot", "asof_fallback", "carry_previous",
     "full_outer_distinct", "group_by_measure", "priority_row_number", "first_service", "distinct_on_first",
     "text_classifier", "text_max_label", "time_spine", "bin_avg", "bin_any_flag", "bin_distinct_list",
-    "interval_overlap_flag", "lookback_flags", "lookback_still_active", "flag_union_join", "state_episodes",
+    "interval_overlap_flag", "interval_overlap_pairs", "lookback_flags", "lookback_still_active", "flag_union_join", "state_episodes",
     "episode_features", "episode_bin_overlap", "rule_cascade_flag", "wide_bin_table", "daily_scores",
     "stay_scores", "logistic_risk", "date_key_join", "final_semi_filter", "sink_refresh",
 )
