@@ -97,7 +97,7 @@ def test_binned_frames_share_their_partitioning(spark, tiny):
 
 def test_episodes_use_one_exchange_for_all_windows(spark, tiny):
     text = plan(Generic(spark, tiny).state_episodes())
-    main = re.findall(r"Exchange hashpartitioning\(user_id#\d+L, _chunk#\d+L, \d+\)", text)
+    main = re.findall(r"Exchange hashpartitioning\(user_id#\d+L, _chunk#\d+L, _sub#\d+, \d+\)", text)
     # the rows once, and the summaries of heavy keys
     assert len(main) <= 3
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidespan.functions.temporal import HOUR, hours_between, micros
 from tidespan.functions.text import in_list
 from tidespan.operators.skew import (
+    CHUNK,
     CHUNK_SECONDS,
     HOT_ROWS,
     chunk_carry,
@@ -23,7 +24,7 @@ from tidespan.operators.skew import (
 def state_episodes(df: DataFrame, keys: Sequence[str], time: str, state: str, keep: Sequence[str] | None = None,
                    min_hours: float = 1.0, earliest: Sequence[str] = (), tie: Sequence[str] = (),
                    max_gap_hours: float | None = None, hot_rows: int = HOT_ROWS,
-                   chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None) -> DataFrame:
+                   chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None, crowded: bool = True) -> DataFrame:
     """Maximal runs of equal ``state`` in time order, one row each: ``keys, state, starttime, endtime``.
 
     Rows without state or without key are ignored. A run ends at the time of the row that follows it (the last run of a
@@ -31,69 +32,67 @@ def state_episodes(df: DataFrame, keys: Sequence[str], time: str, state: str, ke
     ``earliest`` the minimum per run is kept. ``max_gap_hours`` additionally opens a new run after a longer
     silence (off by default).
 
-    Heavy keys are cut into time chunks: runs are found inside each chunk, and a run that continues over a
-    chunk border gets one number through the chunk summaries.
+    Heavy keys are cut into pieces: runs are found inside each piece, and a run that continues over a border gets one number
+    through the summaries of the pieces. Rows of one time share a number, so where an instant reaches over several
+    pieces those before the border also count the runs that begin at that instant behind it. ``crowded``: as in ``time_chunks``.
     """
     keys = list(keys)
     key_list = ", ".join(keys)
     every, heavy = time_chunks(df.filter(" AND ".join(f"{c} IS NOT NULL" for c in (state, *keys))), keys, time, hot_rows, chunk_seconds, count_on,
-                               apart=keys)  # no row without key is left to be spread
-    piece = f"PARTITION BY {key_list}, _chunk ORDER BY {time} NULLS FIRST"
+                               apart=keys, order=[state, *tie], tell=df.columns, crowded=crowded)  # no row without key is left to be spread
+    piece = f"PARTITION BY {', '.join((*keys, *CHUNK))} ORDER BY {time} NULLS FIRST"
     ordered = ", ".join([piece, state, *tie])
-    gap = "" if max_gap_hours is None else f" OR {micros(time)} - {micros('_lag_t')} > {round(max_gap_hours * HOUR)}L"
+    limit = None if max_gap_hours is None else round(max_gap_hours * HOUR)
+    gap = "" if limit is None else f" OR {micros(time)} - {micros('_lag_t')} > {limit}L"
 
     def flagged(rows: DataFrame) -> DataFrame:
-        """Neighbours inside the chunk, and whether a run begins here."""
+        """Neighbours inside the piece, and whether a run begins here."""
         return rows.selectExpr(
             "*",
             f"lag({state}) OVER ({ordered}) AS _lag",
             f"lag({time}) OVER ({ordered}) AS _lag_t",
             f"lead({time}) OVER ({ordered}) AS _lead_t",
+            f"lead({state}) OVER ({ordered}) IS NULL AS _tail",
         ).selectExpr("*", f"CASE WHEN _lag IS NULL OR _lag <> {state}{gap} THEN 1 ELSE 0 END AS _new")
 
     # the default frame of a running sum: rows of equal time share the number
     numbered = flagged(every).selectExpr("*", f"sum(_new) OVER ({piece}) AS _seq")
 
-    near = "" if max_gap_hours is None else (
-        f" AND {micros('_first_t')} - {micros(previous('_last_t'))} <= {round(max_gap_hours * HOUR)}L"
-    )
+    instants = flagged(heavy).groupBy(*keys, *CHUNK, time).agg(
+        F.expr("sum(_new) AS _n"), F.expr(f"max(CASE WHEN _lag IS NULL THEN {state} END) AS _head"), F.expr(f"max(CASE WHEN _tail THEN {state} END) AS _end"))
+    near = "" if limit is None else f" AND NOT coalesce({micros('_first.t')} - {micros(previous('_last_t'))} > {limit}L, false)"
     links = chunk_carry(
-        flagged(heavy),
+        instants,
         keys,
         [
-            "sum(_new) AS _n",
-            f"max(CASE WHEN _lag IS NULL THEN {state} END) AS _first_state",
-            f"max(CASE WHEN _lead_t IS NULL THEN {state} END) AS _last_state",
-            f"min({time}) AS _first_t",
+            "sum(_n) AS _n",
+            "max(_head) AS _first_state",
+            "max(_end) AS _last_state",
+            f"min(struct({time} AS t, _n AS n)) AS _first",
             f"max({time}) AS _last_t",
         ],
         [
             f"{total_before('_n')} AS _before",
-            f"{following('_first_t')} AS _next_t",
+            f"{following('_first.t')} AS _next_t",
             f"CASE WHEN {previous('_last_state')} = _first_state{near} THEN 1 ELSE 0 END AS _joins",
+            "_first",
+            "_last_t",
         ],
-    ).selectExpr(
-        *keys, "_chunk", "_next_t",
-        f"_before - sum(_joins) OVER (PARTITION BY {key_list} ORDER BY _chunk) AS _base",
-    )
+    ).selectExpr("*", f"_before - sum(_joins) OVER (PARTITION BY {key_list} ORDER BY {', '.join(CHUNK)}) AS _base")
+    begun = links.selectExpr(*keys, *CHUNK, "explode(array(struct(_first.t AS t, _first.n - _joins AS n, 0 AS asks), struct(_last_t AS t, 0L AS n, 1 AS asks))) AS _i")
+    behind = (f"coalesce(sum(_i.n) OVER (PARTITION BY {key_list}, _i.t ORDER BY {', '.join(CHUNK)}, _i.asks "
+              "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)")
+    shared = begun.selectExpr(*keys, *CHUNK, "_i.asks AS _asks", f"{behind} AS _shared").filter("_asks = 1").drop("_asks")
+    links = links.select(*keys, *CHUNK, "_next_t", "_last_t", "_base").join(shared, [*keys, *CHUNK])
 
-    pieces = numbered.groupBy(*keys, "_chunk", "_seq", state).agg(
-        *[F.expr(e) for e in (
-            f"min({time}) AS _start",
-            f"max({time}) AS _last",
-            f"max(coalesce(_lead_t, {time})) AS _end",
-            "max(_lead_t IS NULL) AS _open",
-            *[f"min({c}) AS {c}" for c in earliest],
-        )]
-    )
     runs = (
-        pieces.join(links, [*keys, "_chunk"], "left")
-        .selectExpr("*", "_seq + coalesce(_base, 0) AS _run")
+        numbered.join(links, [*keys, *CHUNK], "left")
+        .selectExpr("*", f"_seq + coalesce(_base, 0) + CASE WHEN {time} <=> _last_t THEN coalesce(_shared, 0) ELSE 0 END AS _run")
         .groupBy(*keys, state, "_run")
         .agg(*[F.expr(e) for e in (
-            "min(_start) AS starttime",
-            "max(_last) AS _last",
-            "max(CASE WHEN _open THEN greatest(_end, _next_t) ELSE _end END) AS endtime",
+            f"min({time}) AS starttime",
+            f"max({time}) AS _last",
+            f"max(CASE WHEN _tail THEN greatest({time}, _next_t) ELSE greatest(_lead_t, {time}) END) AS endtime",
             *[f"min({c}) AS {c}" for c in earliest],
         )])
     )

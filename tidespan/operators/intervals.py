@@ -6,7 +6,7 @@ however wide it is, and no two of its cells overlap. A point lies in one cell of
 exactly one cell, the join is an equi join on ``(keys, level, cell)``, and every match of it is a result but for those in the
 two leaves at a window's ends. A heavy key is spread over its cells, and AQE may split a heavy cell further.
 
-Points are repeated once for each level in use, which a scalar subquery over the windows tells. With ``whole_cells=False`` a window
+Points are repeated once for each level in use; the list of these is a broadcast of a few numbers. With ``whole_cells=False`` a window
 takes cells of one level alone, the one of which ``CELLS`` reach over it; points then meet a few windows that end in
 their cell without holding them, but are repeated once for each width class in use. That suits windows of about one width.
 """
@@ -20,14 +20,19 @@ from pyspark.sql import functions as F
 
 from tidespan.functions.temporal import HOUR, SECOND, floor_div, micros
 
-#: Levels of the tree; 4**20 leaves of a second are 34,000 years.
-LEVELS = 20
+#: Ten thousand years, the span of all timestamps; the largest cell is as wide.
+SPAN_SECONDS = 320_000_000_000
 #: Cells of one level that reach over a window, at most, without the one at its end.
 CELLS = 16
 LEAF_SECONDS = HOUR // SECOND
 
 
-def _tree_cells(level: str) -> str:
+def levels_of(leaf_seconds: int) -> int:
+    """The level of the largest cells."""
+    return next(x for x in range(64) if leaf_seconds * 4 ** x >= SPAN_SECONDS)
+
+
+def _tree_cells(level: str, top: int) -> str:
     """Cells of a level that lie inside leaves ``_l`` to ``_r`` (exclusive) and in no larger cell that does, as an array."""
     low, high = f"-shiftright(-_l, 2 * {level})", f"shiftright(_r, 2 * {level})"  # inwards
     above_low, above_high = f"-4 * shiftright(-_l, 2 * {level} + 2)", f"4 * shiftright(_r, 2 * {level} + 2)"
@@ -35,7 +40,7 @@ def _tree_cells(level: str) -> str:
     def cells(a: str, b: str) -> str:
         return f"CASE WHEN {a} < {b} THEN sequence({a}, {b} - 1) ELSE array() END"
 
-    return (f"CASE WHEN {low} >= {high} THEN array() WHEN {above_low} >= {above_high} OR {level} = {LEVELS} THEN {cells(low, high)} "
+    return (f"CASE WHEN {low} >= {high} THEN array() WHEN {above_low} >= {above_high} OR {level} = {top} THEN {cells(low, high)} "
             f"ELSE concat({cells(low, above_low)}, {cells(above_high, high)}) END")
 
 
@@ -48,7 +53,7 @@ def window_cells(windows: DataFrame, low: str, high: str, leaf_seconds: int = LE
     bounded = windows.selectExpr("*", f"{micros(low)} AS _low", f"{micros(high)} AS _high").filter("_low <= _high")
     leaves = bounded.selectExpr("*", f"{floor_div('_low', leaf)} AS _l", f"{floor_div('_high', leaf)} + 1 AS _r")
     if whole_cells:
-        tree = f"flatten(transform(sequence(0, {LEVELS}), x -> transform({_tree_cells('x')}, c -> struct(x AS level, c AS cell))))"
+        tree = f"flatten(transform(sequence(0, {levels_of(leaf_seconds)}), x -> transform({_tree_cells('x', levels_of(leaf_seconds))}, c -> struct(x AS level, c AS cell))))"
         cells = leaves.selectExpr(*bounded.columns, f"explode({tree}) AS _at").selectExpr(*bounded.columns, "_at.level AS _level", "_at.cell AS _cell")
         return cells
     level = f"cast(greatest(0, ceil(round(log2((_r - _l) / {CELLS}D), 9) / 2)) AS int)"
@@ -59,11 +64,11 @@ def window_cells(windows: DataFrame, low: str, high: str, leaf_seconds: int = LE
 def point_cells(points: DataFrame, cells: DataFrame, time: str, leaf_seconds: int = LEAF_SECONDS) -> DataFrame:
     """One row for each point and level that ``cells`` have: all columns, ``_t`` in microseconds, ``_level``, ``_cell``.
 
-    Which levels there are is one small array (``LEVELS`` + 1 numbers at most), found before the points are read.
+    The levels in use are broadcast: one small row for each, some twenty at most whatever the windows.
     """
-    levels = cells.select(F.coalesce(F.collect_set("_level"), F.array().cast("array<int>"))).scalar()
+    levels = cells.select("_level").distinct()
     timed = points.selectExpr("*", f"{micros(time)} AS _t").filter("_t IS NOT NULL")
-    spread = timed.select("*", F.explode(levels).alias("_level"))
+    spread = timed.selectExpr("*", f"explode(sequence(0, {levels_of(leaf_seconds)})) AS _level").join(F.broadcast(levels), "_level", "left_semi")
     return spread.selectExpr("*", f"shiftright({floor_div('_t', leaf_seconds * SECOND)}, 2 * _level) AS _cell")
 
 

@@ -3,8 +3,10 @@
 Two tools, both exact and both without a driver-side step:
 
 * ``salted_join`` spreads the rows of heavy keys over several join partitions.
-* ``time_chunks`` cuts the timeline of heavy keys into pieces, so ordered (window) work on one key
-  runs in many tasks; ``chunk_carry`` then hands values on from piece to piece.
+* ``time_chunks`` cuts the ordered rows of heavy keys into pieces, so ordered (window) work on one key
+  runs in many tasks; ``chunk_carry`` then hands values on from piece to piece: a prefix scan over the pieces. A piece is a
+  stretch of calendar time; where that alone holds more than ``hot_rows`` rows (many at one instant, or without time) it is cut
+  further, by the full order of the rows, at splitters taken from a sample.
 
 Both start from ``hot_keys``: the keys with more than ``hot_rows`` rows, and of these the ``HOT_KEYS`` with the
 most. That constant makes broadcasting the list safe at any size. Whether a key is on the list never changes a
@@ -31,6 +33,10 @@ from tidespan.functions.temporal import SECOND, floor_div, micros
 HOT_ROWS = 5_000_000
 HOT_KEYS = 100_000
 CHUNK_SECONDS = 600
+#: The columns that number a piece: its stretch of time, and the part of it.
+CHUNK = ("_chunk", "_sub")
+#: Sampled rows for each part of a crowded stretch, and parts of a stretch at most.
+SAMPLES, PARTS = 16, 1000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -69,33 +75,55 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
 
 def time_chunks(df: DataFrame, keys: Sequence[str], time: str, hot_rows: int = HOT_ROWS,
                 chunk_seconds: int = CHUNK_SECONDS, count_on: DataFrame | None = None,
-                apart: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Two frames with ``_chunk``: all rows, and the rows of heavy keys alone (for ``chunk_carry``).
+                apart: Sequence[str] | None = None, order: Sequence[str] = (), tell: Sequence[str] | None = None,
+                crowded: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Two frames with ``_chunk, _sub``: all rows, and the rows of heavy keys alone (for ``chunk_carry``).
 
-    A normal key has one chunk, a heavy one a calendar grid of chunks, a row without key one by its place or by ``apart``. The second frame is a semi join, which
+    A normal key has one piece, a heavy one a calendar grid of pieces, a row without key one by its place or by ``apart``. The second frame is a semi join, which
     Catalyst moves down through aggregates and unions to the scan; where no key is heavy, AQE sees the empty
-    list and drops that whole branch before it reads anything.
+    list and drops that whole branch before it reads anything. ``order`` says how rows of one time are ordered;
+    crowded pieces are cut by ``(time, order, hash of the row)``, so rows of one instant, or without time, are spread too. Rows
+    equal in all columns (in ``tell``, else in ``apart``, where these are given) stay together. ``crowded=False`` leaves such pieces whole and the plan
+    smaller, for tables in which a key has few rows in ``chunk_seconds``.
     """
     keys = list(keys)
     hot = hot_keys(count_on if count_on is not None else df, keys, hot_rows)
     cell = f"coalesce({floor_div(micros(time), chunk_seconds * SECOND)}, -1L << 62)"
     missing = " OR ".join(f"{k} IS NULL" for k in keys)
+    values = tell or apart or [f"`{f.name}`" for f in df.schema if "map<" not in f.dataType.simpleString()]
+    place = "struct(" + ", ".join([f"{time} AS a0", *[f"{c} AS a{i + 1}" for i, c in enumerate(order)], f"xxhash64({', '.join(values)}) AS h"]) + ")"
+    heavy = df.join(F.broadcast(hot.select(*keys)), keys, "left_semi").selectExpr("*", f"{cell} AS _chunk")
+    part = f"CASE WHEN _splits IS NULL THEN 0 ELSE size(filter(_splits, s -> s <= {place})) END AS _sub"
     every = df.join(F.broadcast(hot), keys, "left").selectExpr(
         *df.columns, f"CASE WHEN {missing} THEN {dealing_number(apart)} WHEN _hot_n IS NULL THEN 0L ELSE {cell} END AS _chunk")
-    heavy = df.join(F.broadcast(hot.select(*keys)), keys, "left_semi").selectExpr("*", f"{cell} AS _chunk")
-    return every, heavy
+    if not crowded:
+        return every.selectExpr("*", "0 AS _sub"), heavy.selectExpr("*", "0 AS _sub")
+    splits = _splitters(heavy, keys, place, hot_rows)
+    cut = [x.join(F.broadcast(splits), [*keys, "_chunk"], "left").selectExpr(*df.columns, "_chunk", part) for x in (every, heavy)]
+    return cut[0], cut[1]
+
+
+def _splitters(heavy: DataFrame, keys: Sequence[str], place: str, hot_rows: int) -> DataFrame:
+    """``keys, _chunk, _splits`` for the pieces with more than ``hot_rows`` rows, ``HOT_KEYS`` of them at most: ascending places that
+    cut them into parts of about ``hot_rows``. There is less than one place for ``hot_rows`` rows of the table."""
+    by = [*keys, "_chunk"]
+    drawn = f"CASE WHEN pmod(_place.h, {max(1, hot_rows // SAMPLES)}L) = 0 THEN _place END"
+    lists = heavy.selectExpr(*by, f"{place} AS _place").groupBy(*by).agg(F.expr("count(1) AS _n"), F.expr(f"collect_list({drawn}) AS _all"))
+    lists = lists.filter(f"_n > {hot_rows}").orderBy(F.desc("_n"), *by).limit(HOT_KEYS)
+    step = f"greatest({SAMPLES}, cast(ceil(size(_all) / {PARTS}D) AS int))"
+    return lists.selectExpr(*by, f"filter(array_sort(_all), (x, i) -> i % {step} = {step} - 1) AS _splits")
 
 
 def chunk_carry(heavy: DataFrame, keys: Sequence[str], summaries: Sequence[str], carries: Sequence[str]) -> DataFrame:
-    """One row per chunk of a heavy key: values computed over the chunk summaries in time order.
+    """One row per piece of a heavy key: values computed over the summaries of the pieces in order.
 
-    ``summaries`` are aggregates per chunk (SQL with alias), ``carries`` window expressions over them, built
-    with the functions below. A key has at most (calendar span / chunk length) chunks, so the window is
-    bounded by the calendar and not by the row count.
+    ``summaries`` are aggregates per piece (SQL with alias), ``carries`` window expressions over them, built
+    with the functions below. A key has at most (calendar span / chunk length) stretches and (rows / ``hot_rows``)
+    further parts, so the window stays small.
     """
     keys = list(keys)
-    per_chunk = heavy.groupBy(*keys, "_chunk").agg(*[F.expr(s) for s in summaries])
-    return per_chunk.selectExpr(*keys, "_chunk", *[c.format(w=f"PARTITION BY {', '.join(keys)} ORDER BY _chunk") for c in carries])
+    per_chunk = heavy.groupBy(*keys, *CHUNK).agg(*[F.expr(s) for s in summaries])
+    return per_chunk.selectExpr(*keys, *CHUNK, *[c.format(w=f"PARTITION BY {', '.join(keys)} ORDER BY {', '.join(CHUNK)}") for c in carries])
 
 
 BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"

@@ -69,6 +69,7 @@ def lab_values(labevents: DataFrame, chartevents: DataFrame, count_on: DataFrame
     found = asof_backward(
         rows, charted, ["subject_id"], "charttime", rules.BLOOD_GAS_TOLERANCE_HOURS,
         count_on=(labevents if count_on is None else count_on).filter(in_list("itemid", all_codes(measures))), apart=["subject_id", "charttime"],
+        crowded=False,  # one row a patient and time
     )
     fallback = {"pao2": "coalesce(pao2, po2) AS pao2", "paco2": "coalesce(paco2, pco2) AS paco2"}
     return found.selectExpr("subject_id", "charttime", *[fallback.get(c, c) for c in LAB_COLUMNS])
@@ -103,7 +104,8 @@ def vital_signs(chartevents: DataFrame, count_on: DataFrame | None = None) -> Da
         F.expr("max(NOT vital) AS scored"), F.expr("max(vital) AS charted"), F.expr("max(tube) AS tube"),
     )
     carried = carry_previous(wide, ["stay_id"], "charttime", list(gcs), rules.GCS_LIMIT_HOURS, tie=["hadm_id", "subject_id"],
-                             only="scored", count_on=(chartevents if count_on is None else count_on).filter(in_list("itemid", codes)), apart=keys)
+                             only="scored", count_on=(chartevents if count_on is None else count_on).filter(in_list("itemid", codes)), apart=keys,
+                             crowded=False)  # one row a stay and time
     own = " + ".join(f"coalesce({n}, {normal})" for n, normal in rules.GCS_NORMAL.items())
     filled = " + ".join(f"coalesce({n}, prev_{n}, {normal})" for n, normal in rules.GCS_NORMAL.items())
     score = f"CASE WHEN coalesce(verbal, prev_verbal) = 0 THEN 15 WHEN prev_verbal = 0 THEN {own} ELSE {filled} END"

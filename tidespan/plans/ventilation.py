@@ -44,7 +44,7 @@ def ventilation_episodes(stays: DataFrame, ventilator_setting: DataFrame, oxygen
         f"CASE WHEN {in_list(DEVICE, rules.TRACHEOSTOMY_DEVICES)} THEN charttime END AS tracheo_ts",
     )
     episodes = state_episodes(observed, ["stay_id"], "charttime", "status", keep=[rules.INVASIVE], earliest=["tracheo_ts"],
-                              max_gap_hours=max_gap_hours, count_on=ventilator_setting)
+                              max_gap_hours=max_gap_hours, count_on=ventilator_setting, crowded=False)  # a status or two a stay and time
     inside = episodes.join(stays.select("stay_id", "icu_intime", "icu_outtime"), "stay_id").filter(
         "starttime BETWEEN icu_intime AND icu_outtime"
     )
