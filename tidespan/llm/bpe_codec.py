@@ -17,7 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidespan.llm.bpe_files import Remembered, WordBpe, flat_ids, packed_ids, word_bpe
+from tidespan.llm.bpe_files import WordBpe, word_bpe
+from tidespan.llm.memo import Memo, one_by_one
 from tidespan.llm.tables import prepared, texts_of
 from tidespan.llm.texts import Words, text_parts
 
@@ -85,11 +86,11 @@ class Codec:
             out += ids
         return out
 
-    def encode_chunk(self, chunk: bytes) -> bytes:
+    def encode_chunk(self, chunk: bytes) -> list[int]:
         out: list[int] = []
         for special, word in self.bpe.pieces(chunk):
             out += [self.bpe.special[word]] if special else self.encode_word(word.encode())
-        return packed_ids(out)
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The file has no decoder, so its library joins the names of the ids with spaces."""
@@ -103,9 +104,8 @@ def codec(path: str) -> Codec:
 
 
 @functools.cache
-def _remembered(path: str) -> Remembered:
-    encode = codec(path).encode_chunk
-    return Remembered(lambda chunks: list(map(encode, chunks)))
+def _remembered(path: str) -> Memo:
+    return Memo(one_by_one(codec(path).encode_chunk))
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,7 +117,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         for batch in batches:
             for at, data, offsets in text_parts(batch.column(1)):
                 words = Words(data, offsets)
-                ids, before = flat_ids(*table.of(words))
+                ids, before = table.of(words)
                 lists = pa.ListArray.from_arrays(pa.array(before[words.bounds], pa.int32()), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(offsets) - 1), lists], names=["doc_id", "ids"])
 

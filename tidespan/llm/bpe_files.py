@@ -1,4 +1,4 @@
-"""Readers of public tokenizer files, and the table that lets a task encode every distinct piece of text once."""
+"""Readers of public tokenizer files."""
 
 from __future__ import annotations
 
@@ -6,52 +6,11 @@ import base64
 import functools
 import json
 import unicodedata
-from array import array
-from collections.abc import Callable
 
 import numpy as np
 import regex
 
 from tidespan.llm.memo import Memo, holding, joinable, split_together
-from tidespan.llm.texts import distinct, ragged
-
-#: Distinct pieces that a worker remembers. Only time depends on it: a full table is emptied.
-REMEMBERED = 500_000
-
-
-class Remembered:
-    """Results by the bytes of a piece (a word or a chunk of a text); ``encode`` gets the pieces not yet known."""
-
-    def __init__(self, encode: Callable[[list[bytes]], list]):
-        self.encode, self.table = encode, {}
-
-    def of(self, part) -> tuple[np.ndarray, list]:
-        """(number of its result for every piece of the part, the results)."""
-        codes, first = distinct(part)
-        if len(self.table) > REMEMBERED:
-            self.table.clear()
-        data = part.data.tobytes()
-        keys = [data[a:b] for a, b in zip(part.starts[first].tolist(), part.ends[first].tolist())]
-        found = list(map(self.table.get, keys))
-        missed = [i for i, x in enumerate(found) if x is None]
-        if missed:
-            for i, x in zip(missed, self.encode([keys[i] for i in missed])):
-                found[i] = self.table[keys[i]] = x
-        return codes, found
-
-
-def packed_ids(ids: list[int]) -> bytes:
-    """Ids as little-endian 32-bit numbers, the form in which they are remembered."""
-    return array("I", ids).tobytes()
-
-
-def flat_ids(codes: np.ndarray, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all pieces one after the other, number of ids before each piece and in all)."""
-    if not len(codes):
-        return np.empty(0, np.uint32), np.zeros(1, np.int64)
-    sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
-    flat, starts, lengths = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes, sizes[codes]
-    return flat[ragged(starts[codes], lengths)], np.concatenate([[0], np.cumsum(lengths)])
 
 
 def byte_letters() -> dict[int, str]:

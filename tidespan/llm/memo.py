@@ -6,6 +6,7 @@ on a hash alone. A result is a run of numbers; pieces not yet known are handed o
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 import numpy as np
@@ -99,6 +100,18 @@ class Memo:
         self._sorted.append(run)
 
 
+def one_by_one(encode: Callable[[bytes], list[int]]) -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """For a ``Memo``: every new piece by itself."""
+
+    def run(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        whole, ends = raw.tobytes(), np.cumsum(lengths).tolist()
+        found = [encode(whole[a:b]) for a, b in zip([0, *ends], ends)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.int64, int(sizes.sum())), sizes
+
+    return run
+
+
 def split_together(raw: np.ndarray, lengths: np.ndarray, joins: np.ndarray, token_bytes: np.ndarray, together: Callable[[str], np.ndarray],
                    alone: Callable[[str], list[int]], limit: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """Ids of pieces with few calls of a library: those that may stand side by side (``joins``) are encoded as one text,

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidespan.llm.bpe_files import Remembered, word_bpe
+from tidespan.llm.bpe_files import word_bpe
+from tidespan.llm.memo import Memo, one_by_one
 from tidespan.llm.tables import prepared, texts_of
 from tidespan.llm.texts import Words, text_parts
 
@@ -52,7 +53,7 @@ def merged_count(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
 
 
 @functools.cache
-def _counter(path: str) -> Remembered:
+def _counter(path: str) -> Memo:
     bpe = word_bpe(path)
     words: dict[str, int] = {}
 
@@ -63,7 +64,7 @@ def _counter(path: str) -> Remembered:
             n = words[word] = merged_count(bpe.symbols(word), bpe.ranks)
         return n
 
-    return Remembered(lambda chunks: [sum(1 if special else of_word(w) for special, w in bpe.pieces(c)) for c in chunks])
+    return Memo(one_by_one(lambda chunk: [sum(1 if special else of_word(w) for special, w in bpe.pieces(chunk))]))
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -76,8 +77,8 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             ids = batch.column(0)
             for at, data, offsets in text_parts(batch.column(1)):
                 words = Words(data, offsets)
-                codes, found = counter.of(words)
-                sums = np.concatenate([[0], np.cumsum(np.array(found, np.int64)[codes])]) if len(codes) else np.zeros(1, np.int64)
+                counts, _ = counter.of(words)  # one number a word
+                sums = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
                 rows = len(offsets) - 1
                 yield pa.RecordBatch.from_arrays([ids.slice(at, rows), pa.array(np.diff(offsets)), pa.array(np.diff(sums[words.bounds]))], schema=COUNTED)
 
