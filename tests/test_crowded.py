@@ -68,3 +68,9 @@ def test_episodes(crowd, gap, tie, kinds):
 def test_whole_pieces(crowd):
     args = (crowd, ["k"], "t", ["v"], 40)
     same(carry_previous(*args, tie=["id"], crowded=False, **HEAVY), carry_previous(*args, tie=["id"]))
+
+
+def test_columns_of_any_name(crowd):
+    """Names of the operators' own variables are free for columns."""
+    rows = crowd.selectExpr("k AS x", "t AS i", "kind AS s", "id AS c")
+    same(state_episodes(rows, ["x"], "i", "s", tie=["c"], **HEAVY), state_episodes(rows, ["x"], "i", "s", tie=["c"]))

@@ -93,7 +93,7 @@ def time_chunks(df: DataFrame, keys: Sequence[str], time: str, hot_rows: int = H
     values = tell or apart or [f"`{f.name}`" for f in df.schema if "map<" not in f.dataType.simpleString()]
     place = "struct(" + ", ".join([f"{time} AS a0", *[f"{c} AS a{i + 1}" for i, c in enumerate(order)], f"xxhash64({', '.join(values)}) AS h"]) + ")"
     heavy = df.join(F.broadcast(hot.select(*keys)), keys, "left_semi").selectExpr("*", f"{cell} AS _chunk")
-    part = f"CASE WHEN _splits IS NULL THEN 0 ELSE size(filter(_splits, s -> s <= {place})) END AS _sub"
+    part = f"CASE WHEN _splits IS NULL THEN 0 ELSE size(filter(_splits, _one -> _one <= {place})) END AS _sub"
     every = df.join(F.broadcast(hot), keys, "left").selectExpr(
         *df.columns, f"CASE WHEN {missing} THEN {dealing_number(apart)} WHEN _hot_n IS NULL THEN 0L ELSE {cell} END AS _chunk")
     if not crowded:
