@@ -3,7 +3,7 @@
 A window of ``window`` words holds, wherever it stands in a text, a whole block of ``window // 2`` words that begins at
 a multiple of that number. So the blocks of all texts are the reference index, and every rolling run of as many
 words probes it. A hit that occurs elsewhere too anchors a possible repeat: the words around it, as far as a window with that anchor
-reaches, are compared exactly, which extends the anchors to maximal repeats of ``window`` words or more.
+reaches, are compared by window, which extends the anchors to maximal repeats of ``window`` words or more.
 A window is removed if its word sequence starts earlier: in a smaller doc_id, or before in the same document.
 
 Three passes over the documents of a unit, and two exchanges (see ``exchange``): probes with the index, then the
