@@ -23,7 +23,7 @@ from tidespan.functions.temporal import HOUR, SECOND, floor_div, micros
 #: Ten thousand years, the span of all timestamps; the largest cell is as wide.
 SPAN_SECONDS = 320_000_000_000
 #: Cells of one level that reach over a window, at most, without the one at its end.
-CELLS = 16
+CELLS = 4
 LEAF_SECONDS = HOUR // SECOND
 
 
