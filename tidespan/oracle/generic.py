@@ -23,6 +23,18 @@ def _lookback(extra: str) -> str:
         GROUP BY ALL"""
 
 
+def _exact(total: str) -> str:
+    """The double next to a whole number of 2^-60ths: 53 bits are kept, the rest rounds half to even."""
+    low = f"greatest(0, CAST(floor(log2(greatest(abs({total}), 1)::DOUBLE)) AS INTEGER) - 52)"
+    unit = f"(1::HUGEINT << {low})"
+    kept, rest = f"(abs({total}) // {unit})", f"(abs({total}) % {unit})"
+    up = f"CASE WHEN {rest} * 2 > {unit} OR ({rest} * 2 = {unit} AND {kept} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"sign({total}) * ({kept} + {up})::DOUBLE * pow(2, {low} - 60)"
+
+
+#: Values are multiples of 2^-60 (0.01 and more), so whole numbers add up without error.
+EXACT_SUM = "sum(CAST(value * pow(2, 60) AS HUGEINT))"
+
 CTES = {
     "ev": "SELECT *, date_trunc('hour', ts) AS th FROM events",
     "stays": "SELECT user_id, min(th) AS stay_start, max(th) - INTERVAL 37 HOUR AS stay_end FROM ev GROUP BY user_id",
@@ -159,6 +171,11 @@ FINALS = {
         + "), m AS (SELECT user_id, th, " + ", ".join(f"max(rate_{t}) AS rate_{t}" for t in TYPES) + """ FROM u GROUP BY ALL)
         SELECT *, round(coalesce(rate_error, 0) + coalesce(rate_view * 0.01::DOUBLE, 0) + coalesce(rate_click * 8.33::DOUBLE, 0)
         + coalesce(rate_purchase * 0.01::DOUBLE, 0) + coalesce(rate_signup, 0), 6) AS rate_total FROM m""",
+    "exact_totals": f"""WITH t AS (SELECT event_type, {EXACT_SUM}::HUGEINT AS s, count(value) AS n FROM events GROUP BY event_type)
+        SELECT event_type, {_exact('s')} AS total, {_exact('s')} / n AS mean FROM t""",
+    "exact_bin_avg": f"""WITH t AS (SELECT user_id, bin_start, event_type, {EXACT_SUM}::HUGEINT AS s, count(value) AS n FROM inbin GROUP BY ALL)
+        SELECT user_id, bin_start, {', '.join(f"max(CASE WHEN event_type = '{t}' THEN {_exact('s')} / n END) AS {t}" for t in TYPES)}
+        FROM t GROUP BY ALL""",
     "sum_by_time": """SELECT user_id, th, round(sum(value), 2) AS output FROM ev WHERE event_type IN ('click', 'view', 'signup') GROUP BY ALL""",
     "guarded_pivot": """SELECT user_id, th, round(avg(CASE WHEN event_type = 'error' AND value > 0 AND value < 100 THEN value END), 6) AS error,
         round(avg(CASE WHEN event_type IN ('view', 'signup') AND value > 50 AND value < 400 THEN value END), 6) AS seen,

@@ -26,6 +26,7 @@ from tidespan.operators.bins import (
 )
 from tidespan.operators.codes import CodeRule, code_flags
 from tidespan.operators.episodes import episode_features, state_episodes
+from tidespan.operators.exact import exact_aggregate
 from tidespan.operators.intervals import interval_join, points_in_windows
 from tidespan.operators.outer import full_outer_distinct, keep_groups
 from tidespan.operators.pivot import Measure, guarded_pivot
@@ -200,6 +201,10 @@ class Generic:
             "user_id", "cast(ts AS date) AS day", "event_type", "cast(floor(value / 50) AS bigint) AS band", "value")
         return group(rows, ["user_id", "day", "event_type", "band"], r6("avg(value)", "mean"), "count(1) AS n")
 
+    def exact_totals(self) -> DataFrame:
+        """Sum and average per type to the last bit, in any order of the rows."""
+        return exact_aggregate(self.table("events"), ["event_type"], {"total": "value"}, {"mean": "value"})
+
     # --- ordered operators -----------------------------------------------------------------------
     def asof_fallback(self) -> DataFrame:
         kinds = ("view", "click")
@@ -249,6 +254,12 @@ class Generic:
     def bin_avg(self) -> DataFrame:
         return self.on_spine(self.means()).selectExpr("user_id", "bin_start", *[r6(t) for t in TYPES])
 
+    def exact_bin_avg(self) -> DataFrame:
+        events = self.events(*TYPES).select("user_id", "th", "event_type", "value")
+        binned = assign_bins(events, self.stays(), USER, "th", "stay_start", "stay_end")
+        means = exact_aggregate(binned, BIN, means={t: f"CASE WHEN event_type = '{t}' THEN value END" for t in TYPES})
+        return self.on_spine(means).select("user_id", "bin_start", *TYPES)
+
     def bin_any_flag(self) -> DataFrame:
         events = self.events("error").select("user_id", "th")
         flags = bin_aggregate(events, self.stays(), USER, "th", "stay_start", "stay_end", ["max(1) AS any_error"])
@@ -439,7 +450,7 @@ HEAVY_ROWS = 20
 QUERIES = (
     "code_prefilter_scan", "dim_label_filter", "category_map", "text_flag_by_subject", "stay_outcomes",
     "cohort_first_stay", "order_ranks", "window_avg_ratio", "subject_left_joins", "code_flags", "weighted_index",
-    "union_pivot_rates", "sum_by_time", "guarded_pivot", "asof_fallback", "carry_previous",
+    "union_pivot_rates", "sum_by_time", "exact_totals", "exact_bin_avg", "guarded_pivot", "asof_fallback", "carry_previous",
     "full_outer_distinct", "group_by_measure", "priority_row_number", "first_service", "distinct_on_first",
     "text_classifier", "text_max_label", "time_spine", "bin_avg", "bin_any_flag", "bin_distinct_list",
     "interval_overlap_flag", "interval_overlap_pairs", "lookback_flags", "lookback_still_active", "flag_union_join", "state_episodes",
