@@ -165,10 +165,10 @@ def packed(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     return ranked.mapInArrow(place, schema + ", sequence_id long, offset long")
 
 
-def packed_documents(docs: DataFrame, path: str, pattern: str, special=(), end_id: int = 0, capacity: int = 2048) -> DataFrame:
-    """Pieces of all documents with their place, without the ids."""
-    pieces = token_pieces(docs, path, pattern, special, end_id, capacity).drop("ids")
-    return packed(written(pieces, "pieces"), capacity)
+def packed_documents(docs: DataFrame, path: str, pattern: str, special=(), end_id: int = 0, capacity: int = 2048, ids: bool = False) -> DataFrame:
+    """Pieces of all documents with their place, and with their ids if asked for (``sequences`` joins them)."""
+    pieces = token_pieces(docs, path, pattern, special, end_id, capacity)
+    return packed(written(pieces if ids else pieces.drop("ids"), "pieces"), capacity)
 
 
 def sequences(placed: DataFrame) -> DataFrame:
