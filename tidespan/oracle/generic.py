@@ -129,6 +129,8 @@ CTES = {
 FINALS = {
     "code_prefilter_scan": """SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events
         WHERE event_type IN ('error', 'view', 'purchase') GROUP BY event_type""",
+    "code_prefilter_clustered": f"""WITH t AS (SELECT event_type, {EXACT_SUM}::HUGEINT AS s, count(value) AS n FROM events
+        WHERE event_type IN ('error', 'view', 'purchase') GROUP BY event_type) SELECT event_type, {_exact('s')} AS total, {_exact('s')} / n AS mean FROM t""",
     "dim_label_filter": """SELECT p_name, count(*) AS n, round(sum(l_quantity), 2) AS quantity
         FROM lineitem JOIN part ON l_partkey = p_partkey WHERE regexp_matches(lower(p_name), 'widget|ring') GROUP BY p_name""",
     "category_map": """SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'postSurgical '
@@ -155,6 +157,12 @@ FINALS = {
         LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1) ON o_custkey = c_custkey
         LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey""",
     "code_flags": "SELECT * FROM brand_flags",
+    "code_book_flags": f"""WITH r AS (SELECT printf('%04X', i * 7919 % 65536) AS low, printf('%04X', least(65535, i * 7919 % 65536 + i % 7)) AS high,
+          i % 40 AS flag, CASE WHEN i % 3 = 0 THEN i % 2 END AS version FROM range(5000) t(i)),
+        c AS (SELECT DISTINCT l_partkey, printf('%08X', CAST(l_partkey::HUGEINT * 2654435761 % 4294967296 AS BIGINT)) AS code FROM lineitem),
+        h AS (SELECT DISTINCT l_partkey, flag FROM c JOIN r ON substr(code, 1, 4) BETWEEN low AND high AND (version IS NULL OR version = l_partkey % 2))
+        SELECT l_orderkey, {', '.join(f"max(CASE WHEN flag = {f} THEN 1 ELSE 0 END) AS b{f}" for f in range(40))}
+        FROM lineitem LEFT JOIN h USING (l_partkey) GROUP BY l_orderkey""",
     "weighted_index": """SELECT l_orderkey, f_prefix + greatest(f_list, 3 * f_range) + greatest(2 * f_version, f_short_range) AS index
         FROM brand_flags""",
     "text_classifier": """SELECT p_partkey, CASE WHEN p_name IS NULL THEN NULL WHEN p_name ILIKE '%bolt%' OR p_name ILIKE '%ring%' THEN 'fastener'
@@ -197,6 +205,9 @@ FINALS = {
         v AS (SELECT user_id, th, max(value) AS view FROM ev WHERE event_type = 'view' GROUP BY ALL)
         SELECT c.user_id, c.th, c.click, v.view FROM c LEFT JOIN v ON v.user_id = c.user_id AND v.th = c.th
         UNION SELECT v.user_id, v.th, NULL, v.view FROM v ANTI JOIN c ON v.user_id = c.user_id AND v.th = c.th""",
+    "full_outer_grid": """WITH s AS (SELECT DISTINCT user_id, th AS signup_time, CAST(floor(value / 100) AS BIGINT) AS signup FROM ev WHERE event_type = 'signup'),
+        e AS (SELECT DISTINCT user_id, th AS error_time, CAST(floor(value / 100) AS BIGINT) AS error FROM ev WHERE event_type = 'error')
+        SELECT coalesce(s.user_id, e.user_id) AS user_id, signup_time, signup, error_time, error FROM s FULL JOIN e ON s.user_id = e.user_id""",
     "priority_row_number": """SELECT event_id, user_id, day, event_type, value FROM (SELECT *, CAST(ts AS DATE) AS day,
         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_type DESC, value, event_id DESC) AS rn FROM ev) WHERE rn = 1""",
     "first_service": """SELECT conv_id, turn, role FROM (SELECT conv_id, turn, role,

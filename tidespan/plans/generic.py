@@ -24,16 +24,17 @@ from tidespan.operators.bins import (
     lookback_bins,
     overlapped_bins,
 )
+from tidespan.operators.codebook import code_book_flags
 from tidespan.operators.codes import CodeRule, code_flags
 from tidespan.operators.episodes import episode_features, state_episodes
 from tidespan.operators.exact import exact_aggregate
 from tidespan.operators.intervals import interval_join, points_in_windows
-from tidespan.operators.outer import full_outer_distinct, keep_groups
+from tidespan.operators.outer import full_outer_distinct, full_outer_grid, keep_groups
 from tidespan.operators.pivot import Measure, guarded_pivot
 from tidespan.operators.ranking import dense_rank_by_time, earliest_by_time, first_per_key, smallest_time
 from tidespan.operators.spine import time_spine
 from tidespan.sources.registry import Sources, materialize, shared_folder
-from tidespan.sources.snapshots import write_snapshot
+from tidespan.sources.snapshots import read_where, write_snapshot
 
 TYPES = ("click", "error", "purchase", "signup", "view")
 LOOKBACK = ("error", "purchase", "signup")
@@ -77,6 +78,13 @@ class Generic:
         kept = self.table("events").filter(in_list("event_type", ("error", "view", "purchase")))
         return group(kept, ["event_type"], "count(1) AS n", "round(sum(value), 2) AS total")
 
+    def code_prefilter_clustered(self) -> DataFrame:
+        """The same from a copy whose files lie along a curve over type, user and time."""
+        path = f"{shared_folder(self.table.spark)}/tidespan/clustered-{uuid.uuid4().hex}"
+        write_snapshot(self.table("events"), path, cluster_by=["event_type", "user_id", "ts"])
+        kept = read_where(self.table.spark, path, {"event_type": ["error", "view", "purchase"]})
+        return exact_aggregate(kept, ["event_type"], {"total": "value"}, {"mean": "value"})
+
     def dim_label_filter(self) -> DataFrame:
         wanted = self.table("part").filter(matches_any("p_name", ("widget", "ring"))).selectExpr("p_partkey AS key", "p_name")
         lines = self.table("lineitem").selectExpr("l_partkey AS key", "l_quantity")
@@ -161,6 +169,19 @@ class Generic:
         coded = self.coded_lines("p_brand", "p_size % 2 AS version")
         return code_flags(coded, ["l_orderkey"], "p_brand", "version", self.BRAND_RULES)
 
+    @staticmethod
+    def code_book() -> dict[str, list[CodeRule]]:
+        """5,000 rules for 40 flags: ranges of four hexadecimal digits, a third of them for one version alone."""
+        book = {f"b{flag}": [] for flag in range(40)}
+        for i in range(5000):
+            low = i * 7919 % 65536
+            book[f"b{i % 40}"].append(CodeRule(i % 2 if i % 3 == 0 else None, 4, ranges=((f"{low:04X}", f"{min(65535, low + i % 7):04X}"),)))
+        return book
+
+    def code_book_flags(self) -> DataFrame:
+        code = "lpad(hex(pmod(l_partkey * 2654435761, 4294967296)), 8, '0')"
+        return code_book_flags(self.table("lineitem"), ["l_orderkey"], code, "l_partkey % 2", self.code_book(), **self.salts)
+
     def weighted_index(self) -> DataFrame:
         return self.code_flags().selectExpr(
             "l_orderkey",
@@ -228,6 +249,10 @@ class Generic:
         views = group(self.events("view"), ["user_id", "th"], "max(value) AS view")
         return full_outer_distinct(clicks, views, ["user_id", "th"])
 
+    def full_outer_grid(self) -> DataFrame:
+        sides = [self.events(t).selectExpr("user_id", f"th AS {t}_time", f"cast(floor(value / 100) AS bigint) AS {t}") for t in ("signup", "error")]
+        return full_outer_grid(*sides, USER, **({"cell_rows": self.salts["hot_rows"]} if self.salts else {}))
+
     def priority_row_number(self) -> DataFrame:
         rows = self.table("events").selectExpr("event_id", "user_id", "cast(ts AS date) AS day", "event_type", "value")
         return first_per_key(rows, ["user_id", "day"],
@@ -444,14 +469,15 @@ class Generic:
 
 
 # queries whose ordered or salted operators treat heavy keys apart; also run with nearly every key heavy
-HEAVY = ("asof_fallback", "carry_previous", "state_episodes", "episode_features", "episode_bin_overlap", "interval_overlap_flag", "final_semi_filter")
+HEAVY = ("asof_fallback", "carry_previous", "state_episodes", "episode_features", "episode_bin_overlap", "interval_overlap_flag", "final_semi_filter",
+         "code_book_flags", "full_outer_grid")
 HEAVY_ROWS = 20
 
 QUERIES = (
-    "code_prefilter_scan", "dim_label_filter", "category_map", "text_flag_by_subject", "stay_outcomes",
-    "cohort_first_stay", "order_ranks", "window_avg_ratio", "subject_left_joins", "code_flags", "weighted_index",
+    "code_prefilter_scan", "code_prefilter_clustered", "dim_label_filter", "category_map", "text_flag_by_subject", "stay_outcomes",
+    "cohort_first_stay", "order_ranks", "window_avg_ratio", "subject_left_joins", "code_flags", "code_book_flags", "weighted_index",
     "union_pivot_rates", "sum_by_time", "exact_totals", "exact_bin_avg", "guarded_pivot", "asof_fallback", "carry_previous",
-    "full_outer_distinct", "group_by_measure", "priority_row_number", "first_service", "distinct_on_first",
+    "full_outer_distinct", "full_outer_grid", "group_by_measure", "priority_row_number", "first_service", "distinct_on_first",
     "text_classifier", "text_max_label", "time_spine", "bin_avg", "bin_any_flag", "bin_distinct_list",
     "interval_overlap_flag", "interval_overlap_pairs", "lookback_flags", "lookback_still_active", "flag_union_join", "state_episodes",
     "episode_features", "episode_bin_overlap", "rule_cascade_flag", "wide_bin_table", "daily_scores",
