@@ -5,13 +5,18 @@ order of grams that all documents follow. Three orders are used. All put rare gr
 documents hold them, counted over the whole corpus); among equally frequent ones each order is another
 permutation. A document whose prefix holds only grams of its own, in any of the orders, has no partner and drops out at once.
 
-Candidates come from the first order and must pass length and position bounds there; then they must share a prefix
-gram under the second and the third order too; the rest is verified on the whole sets. Equal sets are one class from the start. A frequent
+Candidates come from the first order; length and position bounds are part of the key they meet on. Then they must share a prefix
+gram under the second and the third order too, and only for the pairs left are whole sets fetched and compared. Equal sets are one class from the start. A frequent
 prefix gram does not make all pairs of its documents: first each is compared with the one that has the gram
 earliest in its order, and classes that turn out linked are joined into components. Then only documents
 of different components are paired, and of these only with at least one outside the largest component of the gram. No
 link between different texts is lost by this: a pair left out is in one component already.
 
+The place of a gram in the order bounds the size of a partner: with n grams and the first shared one at place p, a partner of m >= n grams
+needs (t + 1) / t * (n - p) >= n + m. So the smaller document asks the few size bands from its own to that bound, and the larger
+one waits in its own band. Forms that share their boilerplate have what is their own at the head of the order; where that is too
+much for the similarity, the bound is below their size, they ask nobody, and however many there are, no pairs are made.
+
 Defined results: null or empty text, or no word: no grams, linked with nothing, component its own doc_id; fewer words than n:
 the whole sequence is the one gram; rows with equal sets are linked; rows of one doc_id count as documents of their own,
 component and smallest doc_id come from all linked rows; a null doc_id is the smallest; an empty table gives none; other columns are ignored.
@@ -29,12 +34,15 @@ from pyspark.sql import functions as F
 
 from tidespan.llm.components import components
 from tidespan.llm.exchange import ANSWERED, SENT, SLICE_BYTES, Told, answered, codes, count_of, received, sent, with_units
-from tidespan.llm.tables import prepared, texts_of, total_bytes, written
+from tidespan.llm.tables import prepared, spread_join, texts_of, total_bytes, written
 from tidespan.llm.texts import U64, Words, mix, rolling, text_parts
 
 #: Permutations of equally frequent grams; one order each.
 SALTS = (0x51ED2701, 0x7FEB352D, 0x846CA68B)
-SETS = "doc_id long, n int, sig binary, grams binary, tokens array<long>, places array<int>, prefix2 binary, prefix3 binary"
+SETS = "doc_id long, n int, sig binary, grams binary, tokens array<long>, places array<int>, prefix2 array<long>, prefix3 array<long>"
+#: Size bands in a factor of e.
+BANDS = 40
+
 
 
 def gram_sets(column: pa.ChunkedArray, words: int) -> Iterator[np.ndarray]:
@@ -100,11 +108,11 @@ def described(texts: pa.Table, told: pa.Table, words: int, tenths: tuple[int, in
         sets.append(raw if found else None)
         tokens.append(found[0][0].astype(np.int64) if found else None)
         places.append(found[0][1].astype(np.int32) if found else None)
-        p2.append(np.sort(found[1][0]).astype("<u8").tobytes() if found else None)
-        p3.append(np.sort(found[2][0]).astype("<u8").tobytes() if found else None)
+        p2.append(found[1][0].astype(np.int64) if found else None)
+        p3.append(found[2][0].astype(np.int64) if found else None)
     return pa.table({
         "doc_id": texts.column("doc_id"), "n": pa.array(n, pa.int32()), "sig": pa.array(sig, pa.binary()), "grams": pa.array(sets, pa.binary()),
-        "tokens": pa.array(tokens, pa.list_(pa.int64())), "places": pa.array(places, pa.list_(pa.int32())), "prefix2": pa.array(p2, pa.binary()), "prefix3": pa.array(p3, pa.binary()),
+        "tokens": pa.array(tokens, pa.list_(pa.int64())), "places": pa.array(places, pa.list_(pa.int32())), "prefix2": pa.array(p2, pa.list_(pa.int64())), "prefix3": pa.array(p3, pa.list_(pa.int64())),
     })
 
 
@@ -116,21 +124,21 @@ def _common(a: bytes, b: bytes) -> int:
 
 def verified(pairs: DataFrame, sets: DataFrame, tenths: tuple[int, int]) -> DataFrame:
     """Pairs (a, b) of signatures that share a prefix gram in the other orders and reach the similarity."""
-    side = lambda x: sets.select(F.col("sig").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "prefix2", "prefix3", "grams")])
-    rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"{c}_{x}" for c in ("n", "prefix2", "prefix3", "grams") for x in "ab"])
+    def both(pairs: DataFrame, *columns: str) -> DataFrame:
+        side = lambda x: sets.select(F.col("sig").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns])
+        return pairs.join(side("a"), "a").join(side("b"), "b")
+
+    left = both(pairs, "prefix2", "prefix3").where("arrays_overlap(prefix2_a, prefix2_b) AND arrays_overlap(prefix3_a, prefix3_b)").select("a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            na, nb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for i in range(batch.num_rows):
-                if all(_common(batch.column(c)[i].as_py(), batch.column(c + 1)[i].as_py()) for c in (4, 6)):
-                    inner = _common(batch.column(8)[i].as_py(), batch.column(9)[i].as_py())
-                    if tenths[1] * inner >= tenths[0] * (na[i] + nb[i] - inner):
-                        linked.append(i)
-            yield batch.take(pa.array(linked, pa.int64())).select(["a", "b"])
+            x, y = batch.column("grams_a"), batch.column("grams_b")
+            inner = np.array([_common(x[i].as_py(), y[i].as_py()) for i in range(batch.num_rows)], np.int64)
+            sizes = batch.column("n_a").to_numpy().astype(np.int64) + batch.column("n_b").to_numpy()
+            linked = np.flatnonzero(tenths[1] * inner >= tenths[0] * (sizes - inner))
+            yield batch.take(pa.array(linked)).select(["a", "b"])
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return both(left, "n", "grams").mapInArrow(run, "a binary, b binary")
 
 
 def _close(a: str, b: str, tenths: tuple[int, int]) -> str:
@@ -140,6 +148,22 @@ def _close(a: str, b: str, tenths: tuple[int, int]) -> str:
     return f"{u} * least({a}.n, {b}.n) >= {t} * greatest({a}.n, {b}.n) AND {a}.n - {a}.place >= {need} AND {b}.n - {b}.place >= {need}"
 
 
+def meetings(held: DataFrame, tenths: tuple[int, int]) -> DataFrame:
+    """Distinct pairs (a, b) of postings (gram, place, sig, n, component, major) of one gram and different components that pass the bounds.
+
+    The smaller by (n, sig) asks the bands of the sizes its place allows, the larger waits in its own; two of the major component never meet.
+    """
+    t, u = tenths
+    band = "cast(floor(ln({n}) * %d) AS int)" % BANDS
+    most = f"least((n - place) * {t + u}L div {t}L - n, n * {u}L div {t}L)"
+    asking = held.withColumn("most", F.expr(most)).where("most >= n").selectExpr("*", f"explode(sequence({band.format(n='n')}, {band.format(n='most')})) AS band")
+    waiting = held.withColumn("band", F.expr(band.format(n="n")))
+    on = F.expr("p.gram = q.gram AND p.band = q.band AND p.component <> q.component AND struct(p.n, p.sig) < struct(q.n, q.sig) AND " + _close("p", "q", tenths))
+    sides = (asking.where("NOT major"), waiting), (asking.where("major"), waiting.where("NOT major"))
+    some, more = (p.alias("p").join(q.alias("q"), on).select(F.least("p.sig", "q.sig").alias("a"), F.greatest("p.sig", "q.sig").alias("b")) for p, q in sides)
+    return some.union(more).distinct()
+
+
 def linked_documents(docs: DataFrame, words: int = 4, tenths: tuple[int, int] = (85, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every row. ``tenths``: the similarity as a fraction."""
     return _linked(docs, words, tenths, id_col, text_col, False)
@@ -171,22 +195,24 @@ def _linked(docs: DataFrame, words: int, tenths: tuple[int, int], id_col: str, t
     grades = units.groupBy("unit").applyInArrow(send, SENT).groupBy("slice").applyInArrow(grade, ANSWERED)
     rows = written(units.groupBy("unit").cogroup(grades.groupBy("unit")).applyInArrow(describe, SETS + (", mark binary" if marked else "")), "gram-sets")
 
-    classes = rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("f")).select("sig", "f.doc_id", "f.known")
+    classes = rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("f"), F.count(F.lit(1)).alias("copies"))
+    classes = classes.select("sig", "f.doc_id", "f.known", "copies")
     sets = written(_one_of_each(rows.where("grams IS NOT NULL"), classes), "classes")
 
     postings = sets.select("sig", "n", F.explode(F.arrays_zip("tokens", "places")).alias("x")).select("sig", "n", F.col("x.tokens").alias("gram"), F.col("x.places").alias("place"))
     lead = postings.groupBy("gram").agg(F.min(F.struct("place", "sig", "n")).alias("f"), F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    postings = written(postings.join(lead, "gram").select("gram", "place", "sig", "n", "f"), "postings")
+    postings = written(spread_join(postings, lead, "gram", "holders", postings.count()).where("f IS NOT NULL").select("gram", "place", "sig", "n", "f"), "postings")
 
     star = postings.select("gram", F.struct("place", "sig", "n").alias("p"), "f").where("p.sig <> f.sig AND " + _close("p", "f", tenths))
     first = written(verified(star.select(F.col("f.sig").alias("a"), F.col("p.sig").alias("b")).distinct(), sets, tenths), "first-links")
     parts = written(components(first), "first-components")
 
     held = postings.drop("f").join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    largest = held.groupBy("gram", "component").count().groupBy("gram").agg(F.max(F.struct("count", "component")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    held = written(held.join(largest, "gram").withColumn("major", F.expr("component = m.component")).drop("m", "parts"), "open-postings")
-    across = held.where("NOT major").alias("p").join(held.alias("q"), F.expr("p.gram = q.gram AND p.component <> q.component AND (q.major OR p.sig < q.sig) AND " + _close("p", "q", tenths)))
-    pairs = across.select(F.least("p.sig", "q.sig").alias("a"), F.greatest("p.sig", "q.sig").alias("b")).distinct()
+    largest = held.groupBy("gram", "component").count().groupBy("gram").agg(
+        F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("holders"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    open_ = spread_join(held, largest, "gram", "holders", postings.count()).where("m IS NOT NULL")
+    held = written(open_.withColumn("major", F.expr("component = m.component")).drop("m", "parts"), "open-postings")
+    pairs = meetings(held, tenths)
     second = written(verified(pairs, sets, tenths), "second-links")
 
     # the first components as stars, joined by the links between them
@@ -194,8 +220,8 @@ def _linked(docs: DataFrame, words: int, tenths: tuple[int, int], id_col: str, t
     named = whole.join(classes.withColumnRenamed("sig", "node"), "node")
     least = named.groupBy("component").agg(F.min(F.struct("known", "doc_id")).alias("f"))
     joined = whole.join(least, "component").select(F.col("node").alias("sig"), F.col("f.doc_id").alias("linked_id"), F.lit(True).alias("linked"))
-    ids = classes.join(joined, "sig", "left").select("sig", F.when(F.col("linked"), F.col("linked_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    return rows.select("doc_id", "n", "sig", *more).join(ids, "sig", "left").select(
+    ids = classes.join(joined, "sig", "left").select("sig", "copies", F.when(F.col("linked"), F.col("linked_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return spread_join(rows.select("doc_id", "n", "sig", *more), ids, "sig", "copies", rows.count()).select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), *more)
 
 

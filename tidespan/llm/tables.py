@@ -39,6 +39,28 @@ def written(df: DataFrame, name: str, partitions: Iterable[str] = ()) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key with more than this part of all rows is frequent; there are fewer such keys.
+FREQUENT = 1000
+
+
+def spread_join(big: DataFrame, small: DataFrame, key: str, copies: str, rows: int) -> DataFrame:
+    """``big`` with the columns of ``small``, which has one row a key (left join), and no task with all rows of a frequent key.
+
+    ``copies``: how many rows of ``big`` have the key, ``rows`` how many there are. Keys with more than one row in ``FREQUENT`` are fewer than that
+    and come by a broadcast; these rows and those without key are then dealt evenly past the exchange of the others. ``big`` must be
+    read from a table, for rows are dealt by their place.
+    """
+    others = [c for c in small.columns if c not in (key, copies)]
+    found = small.select(key, F.struct(*others).alias("_found"), (F.col(copies) * FREQUENT > rows).alias("_frequent"))
+    frequent = found.where("_frequent").select(key, F.col("_found").alias("_known"))
+    first = big.join(F.broadcast(frequent), key, "left")
+    asked = F.when(F.col("_known").isNull(), F.col(key))
+    first = first.withColumn("_asked", asked).withColumn("_turn", F.when(F.col("_asked").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1)))
+    rest = found.where("NOT _frequent").select(F.col(key).alias("_asked"), F.lit(-1).cast("long").alias("_turn"), "_found")
+    joined = first.join(rest, ["_asked", "_turn"], "left").withColumn("_found", F.coalesce("_known", "_found"))
+    return joined.select(*big.columns, *[F.col("_found").getField(c).alias(c) for c in others])
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     """Bounds the Arrow batches that Python workers get; long texts would make large ones."""
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
