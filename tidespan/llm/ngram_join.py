@@ -210,7 +210,7 @@ def _linked(docs: DataFrame, words: int, tenths: tuple[int, int], id_col: str, t
     held = postings.drop("f").join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     largest = held.groupBy("gram", "component").count().groupBy("gram").agg(
         F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("holders"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_ = spread_join(held, largest, "gram", "holders", postings.count()).where("m IS NOT NULL")
+    open_ = spread_join(held, largest, "gram", "holders", postings.count(), ["sig", "gram"]).where("m IS NOT NULL")
     held = written(open_.withColumn("major", F.expr("component = m.component")).drop("m", "parts"), "open-postings")
     pairs = meetings(held, tenths)
     second = written(verified(pairs, sets, tenths), "second-links")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,21 +43,24 @@ def written(df: DataFrame, name: str, partitions: Iterable[str] = ()) -> DataFra
 FREQUENT = 1000
 
 
-def spread_join(big: DataFrame, small: DataFrame, key: str, copies: str, rows: int) -> DataFrame:
+def spread_join(big: DataFrame, small: DataFrame, key: str, copies: str, rows: int, apart: Sequence[str] = ()) -> DataFrame:
     """``big`` with the columns of ``small``, which has one row a key (left join), and no task with all rows of a frequent key.
 
     ``copies``: how many rows of ``big`` have the key, ``rows`` how many there are. Keys with more than one row in ``FREQUENT`` are fewer than that
-    and come by a broadcast; these rows and those without key are then dealt evenly past the exchange of the others. ``big`` must be
-    read from a table, for rows are dealt by their place.
+    and come by a broadcast; these rows and those without key are then dealt evenly past the exchange of the others: by their place, if ``big`` is
+    read from a table, else by the hash of columns that tell them apart (the place of a row behind an exchange may change when a task runs again).
     """
     others = [c for c in small.columns if c not in (key, copies)]
     found = small.select(key, F.struct(*others).alias("_found"), (F.col(copies) * FREQUENT > rows).alias("_frequent"))
     frequent = found.where("_frequent").select(key, F.col("_found").alias("_known"))
     first = big.join(F.broadcast(frequent), key, "left")
-    asked = F.when(F.col("_known").isNull(), F.col(key))
-    first = first.withColumn("_asked", asked).withColumn("_turn", F.when(F.col("_asked").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1)))
-    rest = found.where("NOT _frequent").select(F.col(key).alias("_asked"), F.lit(-1).cast("long").alias("_turn"), "_found")
-    joined = first.join(rest, ["_asked", "_turn"], "left").withColumn("_found", F.coalesce("_known", "_found"))
+    open_ = F.when(F.col("_known").isNull(), F.col(key))
+    place = F.xxhash64(*apart) if apart else F.monotonically_increasing_id()
+    turn = F.when(open_.isNull(), place).otherwise(F.lit(-1))
+    # one column: of two, an exchange may take the key alone, which leaves all rows without one in a task
+    first = first.withColumn("_asked", F.struct(open_.alias("key"), turn.alias("turn")))
+    rest = found.where("NOT _frequent").select(F.struct(F.col(key).alias("key"), F.lit(-1).cast("long").alias("turn")).alias("_asked"), "_found")
+    joined = first.join(rest, "_asked", "left").withColumn("_found", F.coalesce("_known", "_found"))
     return joined.select(*big.columns, *[F.col("_found").getField(c).alias(c) for c in others])
 
 
