@@ -5,6 +5,7 @@ import os
 import pytest
 
 from tests.helpers import rows, same
+from tidespan.sources.clustered import clustered
 from tidespan.sources.snapshots import read_snapshot, read_where, vacuum, write_snapshot
 
 BY = ["code", "stay", "at"]
@@ -62,3 +63,11 @@ def test_empty_one_column_and_older_version(spark, table, tmp_path):
     assert len([n for n in os.listdir(path) if n.startswith("snapshot-")]) == 1
     with pytest.raises(ValueError):
         write_snapshot(spark.range(5), path, ["id"], cluster_by=["id"])
+
+
+def test_wide_rows_make_smaller_files(spark):
+    wide = spark.range(3_000).selectExpr("id", "repeat('x', 1000) AS text", "array(id, NULL) AS list", "cast(NULL AS string) AS none")
+    laid = clustered(wide, ["id"], file_bytes=100_000)
+    sizes = laid.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(sizes) == 3_000 and max(sizes) <= 200 and laid.columns == wide.columns
+    assert clustered(wide, ["id"]).rdd.getNumPartitions() == 1
