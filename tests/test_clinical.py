@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
-from tests.helpers import T0, at, rows
+from tests.helpers import T0, at, rows, same
 from tidespan.plans import measurements, severity, stays, treatments, ventilation
 from tidespan.plans.pipeline import STAGES, WIDE, Options, Pipeline
 from tidespan.sources.contracts import CLINICAL, conform, struct
@@ -475,3 +475,34 @@ def test_write(pipeline, tmp_path):
     again = pipeline.write(str(tmp_path), ("cohort",))
     assert again["cohort"].count() == pipeline.cohort_table.count()
     assert len(STAGES) == 28
+
+
+def exchanges(spark, df) -> list[str]:
+    """Keys of the exchanges when nothing is broadcast."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = df.select("*")._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    return [x for x in lines if "Exchange hashpartitioning" in x]
+
+
+def test_wide_rows_pass_one_join(spark, pipeline):
+    assert not {"weight", "heartrate"} & set(pipeline.scored_bins.columns)
+    assert len(exchanges(spark, pipeline.overalltable2())) == 2  # the wide rows and the scored bins
+    picked = pipeline.overalltable2_table.groupBy("subject_id").agg({"is_intubated": "max", "ph": "max"}).filter("`max(is_intubated)` > 0 AND `max(ph)` IS NOT NULL")
+    same(pipeline.final_data(), pipeline.overalltable2_table.join(picked.select("subject_id"), "subject_id", "left_semi"))
+
+
+def test_vital_signs_of_stays(spark, pipeline):
+    of = pipeline.ventilated_stays
+    got = pipeline.getallvitalsigns(of)
+    assert not any("measure" in x for x in exchanges(spark, got))
+    assert len(same(got, pipeline.getallvitalsigns().join(of.select("stay_id"), "stay_id", "left_semi"))) > 0
+
+
+def test_features_of_stays_alone(pipeline):
+    of = pipeline.ventilated_stays
+    for found, key in ((pipeline.vasopressors, "stay_id"), (pipeline.geturineoutput, "stay_id"), (pipeline.getalllabvalues, "subject_id")):
+        same(found(of), found().join(of.select(key).distinct(), key, "left_semi"))
